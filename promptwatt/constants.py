@@ -15,8 +15,13 @@ from __future__ import annotations
 # explicit class so Spark (Java) and DuckDB (RE2) agree on it.
 WS = (r"\t\n\x0B\f\r \x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+# The non-ASCII members of WS (plus \x1c-\x1f), listed as characters: Spark
+# maps them to ' ' with a one-to-one translate, then uses Java's fast \s.
+EXOTIC_WS = ("\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+             + "\u2028\u2029\u202f\u205f\u3000")
 # Control characters stripped by the cleaner.
 CTRL = r"\x00-\x1f\x7f-\x9f"
+CTRL_CHARS = "".join(chr(c) for c in list(range(0x00, 0x20)) + list(range(0x7F, 0xA0)))
 # Characters counted by punct_ratio.
 PUNCT_CLASS = r"[.,!?;:\"'()\[\]{}\-]"
 

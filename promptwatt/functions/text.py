@@ -35,15 +35,21 @@ def round_half(c: Column, digits: int) -> Column:
     return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
+def norm_ws(c: str | Column) -> Column:
+    """Map the rare non-ASCII whitespace characters to ' ' (one-to-one, so
+    lengths and positions are unchanged); Java's ``\\s`` then equals the
+    Unicode whitespace class and regexes stay on the fast path."""
+    return F.translate(col(c), K.EXOTIC_WS, " " * len(K.EXOTIC_WS))
+
+
 def clean(c: str | Column) -> Column:
     """Collapse whitespace, trim, strip control characters."""
-    collapsed = F.trim(F.regexp_replace(col(c).cast("string"), f"[{K.WS}]+", " "))
-    return F.regexp_replace(collapsed, f"[{K.CTRL}]", "")
+    return F.translate(collapse_ws(c), K.CTRL_CHARS, "")
 
 
 def collapse_ws(c: str | Column) -> Column:
     """Whitespace collapse + trim only (the first half of C1)."""
-    return F.trim(F.regexp_replace(col(c).cast("string"), f"[{K.WS}]+", " "))
+    return F.trim(F.regexp_replace(norm_ws(col(c).cast("string")), r"\s+", " "))
 
 
 def word_tokens(c: str | Column) -> Column:
@@ -55,20 +61,31 @@ def word_tokens(c: str | Column) -> Column:
                     lambda x: (x != F.lit("")) & ~x.contains("-"))
 
 
-def sentences(c: str | Column) -> Column:
-    """Sentence pieces (array<string>), empty pieces dropped."""
-    marked = F.regexp_replace(col(c), f"([.!?]+)[{K.WS}]+", "$1" + SENT_MARK)
-    return F.filter(F.split(marked, SENT_MARK), lambda s: s.rlike(f"[^{K.WS}]"))
+def sentences(c: str | Column, normalized: bool = False) -> Column:
+    """Sentence pieces (array<string>), empty pieces dropped.
+
+    ``normalized``: the input holds no non-ASCII whitespace (cleaned text or
+    :func:`norm_ws` output), so the faster ``\\s`` classes are exact."""
+    ws, nws = (r"\s", r"\S") if normalized else (f"[{K.WS}]", f"[^{K.WS}]")
+    marked = F.regexp_replace(col(c), f"([.!?]+){ws}+", "$1" + SENT_MARK)
+    return F.filter(F.split(marked, SENT_MARK), lambda s: s.rlike(nws))
 
 
-def ws_word_count(c: str | Column) -> Column:
+def ws_word_count(c: str | Column, normalized: bool = False) -> Column:
     """Number of whitespace-separated words (Python ``len(s.split())``)."""
-    return F.regexp_count(col(c), F.lit(f"[^{K.WS}]+")).cast("long")
+    c = col(c) if normalized else norm_ws(c)
+    return F.regexp_count(c, F.lit(r"\S+")).cast("long")
+
+
+def count_chars(c: str | Column, chars: str) -> Column:
+    """Occurrences of any of the given single characters."""
+    c = col(c)
+    return (F.length(c) - F.length(F.translate(c, chars, ""))).cast("long")
 
 
 def ws_words(c: str | Column) -> Column:
     """Whitespace-separated words (array<string>), no empty pieces."""
-    return F.filter(F.split(col(c), f"[{K.WS}]+"), lambda x: x != F.lit(""))
+    return F.filter(F.split(norm_ws(c), r"\s+"), lambda x: x != F.lit(""))
 
 
 def count_sub(c: str | Column, sub: str) -> Column:

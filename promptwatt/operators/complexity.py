@@ -19,9 +19,9 @@ COMPONENTS = ("sentence_complexity", "vocabulary_complexity", "syntactic_complex
 # Control characters that are not whitespace: only when a text holds one of
 # these can raw-text tokens differ from cleaned-text tokens.
 _CTRL_NOT_WS = r"[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]"
-_CAPITALIZED = (rf"(?<![^{K.WS}])\p{{Lu}}[^\p{{Lu}}\p{{Lt}}{K.WS}]*\p{{Ll}}"
-                rf"[^\p{{Lu}}\p{{Lt}}{K.WS}]*(?![^{K.WS}])")
-_SECTIONS = rf"(?dm)(#+[{K.WS}]|^\p{{Nd}}+\.|^[a-z]\))"
+# Both run on norm_ws(text), where Java's \s is the full whitespace class.
+_CAPITALIZED = r"(?<!\S)\p{Lu}[^\p{Lu}\p{Lt}\s]*\p{Ll}[^\p{Lu}\p{Lt}\s]*(?!\S)"
+_SECTIONS = r"(?dm)(#+\s|^\p{Nd}+\.|^[a-z]\))"
 
 
 def _clip(c: Column) -> Column:
@@ -40,43 +40,43 @@ def complexity(df: DataFrame, text_col: str = "text", *, weights=None,
     w = tuple(weights) if weights is not None else K.COMPLEXITY_WEIGHTS
     raw = F.col(text_col).cast("string")
     raw = F.coalesce(raw, F.lit(""))
+    staged = df.withColumn("_raw", raw).withColumn("_rawn", T.norm_ws("_raw"))
+    raw, rawn = F.col("_raw"), F.col("_rawn")
     has_ctrl = raw.rlike(_CTRL_NOT_WS)
     rw = T.word_tokens(raw)
-    rs = T.sentences(raw)
+    rs = T.sentences(rawn, normalized=True)
     if words_col is not None:
         rw = F.when(has_ctrl, rw).otherwise(F.col(words_col))
     if sents_col is not None:
         rs = F.when(has_ctrl, rs).otherwise(F.col(sents_col))
-    lower = F.lower(raw)
-    staged = df.withColumn("_rw", rw).withColumn("_rs", rs).withColumn(
-        "_lens", F.transform("_rs", lambda s: T.ws_word_count(s)))
+    staged = (staged.withColumn("_lower", F.lower(raw)).withColumn("_rw", rw).withColumn("_rs", rs)
+              .withColumn("_lens", F.transform("_rs", lambda s: T.ws_word_count(s, normalized=True))))
+    lower = F.col("_lower")
     zero = F.lit(0).cast("long")
     stats = staged.select(
         "*",
         F.size("_rs").cast("long").alias("_ns"),
         F.aggregate("_lens", zero, lambda a, x: a + x).alias("_s1"),
         F.aggregate("_lens", zero, lambda a, x: a + x * x).alias("_s2"),
-        (T.count_sub(raw, ",") + T.count_sub(raw, ";") + T.count_sub(lower, " and ")
+        (T.count_chars(raw, ",;") + T.count_sub(lower, " and ")
          + T.count_sub(lower, " but ")).alias("_clauses"),
         F.size("_rw").cast("long").alias("_n"),
         F.size(F.array_distinct("_rw")).cast("long").alias("_distinct"),
         T.total_length("_rw").alias("_lensum"),
         T.count_in("_rw", K.TECHNICAL_TERMS).alias("_tech"),
         F.size(F.filter("_rw", lambda x: F.length(x) > 8)).cast("long").alias("_long"),
-        (T.count_sub(raw, "(") + T.count_sub(raw, "[") + T.count_sub(raw, "{")).alias("_parens"),
-        T.count_sub(raw, "?").alias("_q"),
+        T.count_chars(raw, "([{").alias("_parens"),
+        T.count_chars(raw, "?").alias("_q"),
         _sum_flags([lower.contains(x) for x in K.REASONING_WORDS]).alias("_qw"),
         _sum_flags([lower.contains(x) for x in K.CONDITIONAL_MARKERS]).alias("_cond"),
-        (T.count_sub(raw, ":") + T.count_regex(raw, r"\p{Nd}+\.") + T.count_sub(raw, "•")
-         + T.count_sub(raw, "-")).alias("_list"),
+        (T.count_chars(raw, ":•-") + T.count_regex(raw, r"\p{Nd}+\.")).alias("_list"),
         F.length(F.replace(raw, F.lit(" "), F.lit(""))).cast("long").alias("_nonspace"),
-        T.count_regex(raw, _CAPITALIZED).alias("_caps"),
+        T.count_regex(rawn, _CAPITALIZED).alias("_caps"),
         T.count_regex(raw, r"\p{Nd}+").alias("_nums"),
         F.length(raw).cast("long").alias("_chars"),
         T.count_sub(raw, "\n\n").alias("_paras"),
-        (T.count_sub(raw, "```") + T.count_sub(raw, "`") + T.count_sub(raw, '"')
-         + T.count_sub(raw, "'")).alias("_fmt"),
-        T.count_regex(raw, _SECTIONS).alias("_sections"),
+        (T.count_sub(raw, "```") + T.count_chars(raw, "`\"'")).alias("_fmt"),
+        T.count_regex(rawn, _SECTIONS).alias("_sections"),
     )
     c = F.col
     ns, n = c("_ns"), c("_n")

@@ -42,10 +42,10 @@ def features(df: DataFrame, text_col: str = "text", *, tags_col: str | None = No
     t = F.col(text_col)
     out = (df.withColumn("_clean", T.clean(t))
              .withColumn("_words", T.word_tokens(F.col("_clean")))
-             .withColumn("_sents", T.sentences(F.col("_clean"))))
+             .withColumn("_sents", T.sentences(F.col("_clean"), normalized=True)))
     n = F.size("_words").cast("long")
     tokens = (token_counter(F.col("_clean")) if token_counter is not None
-              else T.ws_word_count(F.col("_clean")))
+              else T.ws_word_count(F.col("_clean"), normalized=True))
     if max_tokens is not None:
         tokens = F.least(tokens, F.lit(max_tokens))
     stop = T.count_in("_words", K.STOPWORDS)

@@ -20,7 +20,7 @@ from ..functions import text as T
 from ..operators.complexity import COMPONENTS, complexity
 from ..operators.energy import estimate_energy
 from ..operators.features import FEATURE_ORDER, features
-from ..session import read_table
+from ..session import read_table, spread
 from . import sqlgen as S
 from .analyze import analyze
 
@@ -51,7 +51,7 @@ def _region_sql(id_col: str) -> str:
 
 
 def docs(spark, sf_dir) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 # ---------------------------------------------------------------------------

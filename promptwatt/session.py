@@ -17,6 +17,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     """Local session for tests and the benchmark (UI off, AQE on, UTC)."""
     spark = (SparkSession.builder.master(master).appName(app_name)
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -52,3 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin a DataFrame whose scan yields fewer partitions than the
+    cluster has cores (e.g. one large single-row-group file), so CPU-heavy
+    text expressions run in parallel. A no-op — no shuffle — when the input
+    already has enough partitions, which is the case for a many-file table."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    return df.repartition(want)
