@@ -14,6 +14,7 @@ import duckdb
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
 from promptwatt.session import TABLES, get_session  # noqa: E402
+from promptwatt.plans import registry  # noqa: E402,F401
 import __spark_entry__ as E  # noqa: E402
 
 
