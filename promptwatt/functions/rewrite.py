@@ -41,24 +41,27 @@ def capitalize_first(c: Column) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, BIG))
 
 
-def _gated_fold(df: DataFrame, src: str, dst: str, lowered: str, pairs, flags: str = "") -> DataFrame:
-    """Apply ordered (phrase → replacement) regexes to ``src`` only on rows
-    whose lower-cased text contains at least one phrase."""
-    folded = F.col(src)
-    gate = F.lit(False)
-    for phrase, repl in pairs:
-        folded = F.regexp_replace(folded, flags + _phrase_regex(phrase), repl)
-        gate = gate | F.col(lowered).contains(phrase)
-    return df.withColumn(dst, F.when(gate, folded).otherwise(F.col(src)))
+def _rule_fold(start: Column, rules, gate_on=None) -> Column:
+    """Apply ordered (gate literal, regex, replacement) rules in one
+    ``aggregate`` over a literal rule array. A rule's regex runs only when its
+    gate literal occurs in the current text (``gate_on(acc)``, default the
+    text itself), so unaffected rows cost one substring scan per rule."""
+    arr = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r"))
+                    for g, p, r in rules])
+    gate = gate_on or (lambda acc: acc)
+    return F.aggregate(arr, start, lambda acc, rule: F.when(
+        gate(acc).contains(rule["g"]), F.regexp_replace(acc, rule["p"], rule["r"])).otherwise(acc))
+
+
+VERBOSE_RULES = tuple((ph, _phrase_regex(ph), rep) for ph, rep in K.VERBOSE_PHRASES)
+REDUNDANT_RULES = tuple((ph, "(?iu)" + _phrase_regex(ph), rep) for ph, rep in K.REDUNDANT_PAIRS)
 
 
 # R1 -------------------------------------------------------------------------
 def remove_verbose(df: DataFrame, src: str, dst: str) -> DataFrame:
     """Lower-case the whole text, replace the 103 verbose phrases in order,
     then capitalise every '. '-separated piece."""
-    low = _tmp(dst, "low")
-    df = df.withColumn(low, F.lower(F.col(src)))
-    df = _gated_fold(df, low, _tmp(dst, "fold"), low, K.VERBOSE_PHRASES)
+    df = df.withColumn(_tmp(dst, "fold"), _rule_fold(F.lower(F.col(src)), VERBOSE_RULES))
     pieces = F.split(F.col(_tmp(dst, "fold")), r"\. ")
     df = df.withColumn(dst, F.array_join(F.transform(pieces, capitalize_first), ". "))
     return _drop_tmp(df, dst)
@@ -78,9 +81,7 @@ def remove_redundancy(df: DataFrame, src: str, dst: str) -> DataFrame:
     """R5 duplicate removal, then the 15 redundant pairs (case-insensitive)."""
     d = _tmp(dst, "dd")
     df = dedup_content(df, src, d)
-    low = _tmp(dst, "low")
-    df = df.withColumn(low, F.lower(F.col(d)))
-    df = _gated_fold(df, d, dst, low, K.REDUNDANT_PAIRS, flags="(?iu)")
+    df = df.withColumn(dst, _rule_fold(F.col(d), REDUNDANT_RULES, gate_on=F.lower))
     return _drop_tmp(df, dst)
 
 
@@ -203,15 +204,23 @@ def _to_java(pattern: str) -> str:
 
 
 POLITENESS_JAVA = tuple("(?idu)" + _to_java(p) for p in K.POLITENESS_PATTERNS)
+# A lower-case literal every match of the pattern contains (our own gate; an
+# empty gate means "always run" — the anchored patterns fail fast anyway).
+_POLITENESS_GATES = ("", "", "", "thank", "thank", "please", "kindly", "hope", "looking",
+                     "question", "free", "hesitate", "know", "regard", "sincerely", "thank")
+POLITENESS_RULES = tuple(zip(_POLITENESS_GATES, POLITENESS_JAVA, [""] * len(POLITENESS_JAVA)))
 
 
 def remove_politeness(df: DataFrame, src: str, dst: str) -> DataFrame:
     """The 16 greeting / thanks / please / sign-off patterns in order
     (case-insensitive), then collapse whitespace."""
-    x = T.norm_ws(F.col(src))
-    for p in POLITENESS_JAVA:
-        x = F.regexp_replace(x, p, "")
-    return df.withColumn(dst, F.trim(F.regexp_replace(x, r"\s+", " ")))
+    low = _tmp(dst, "low")
+    df = df.withColumn(low, F.lower(F.col(src)))
+    # Removal only shortens the text, so gating on the original lower-cased
+    # text is exact; the gate literal sits inside every match.
+    x = _rule_fold(T.norm_ws(F.col(src)), POLITENESS_RULES, gate_on=lambda acc: F.col(low))
+    df = df.withColumn(dst, F.trim(F.regexp_replace(x, r"\s+", " ")))
+    return _drop_tmp(df, dst)
 
 
 # R9 -------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from ..functions import text as T
 from .complexity import complexity
 from .energy import estimate_energy
 from .features import features
-from .rewrite import simplify
+from .rewrite import _strategy_columns, simplify
 
 CANDIDATES = K.OPTIMIZER_STRATEGIES  # t5, simplify, compress, truncate, combined
 
@@ -49,23 +49,24 @@ def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
     at that point (the documented intent) instead of the failing one."""
     thr = max(0.55, min_similarity - 0.10)
     t = F.col(text_col)
-    d = simplify(df, text_col, "t5", min_similarity=thr, prefix="_o1_")
-    d = simplify(d, text_col, "auto", min_similarity=thr, prefix="_o2_")
-    d = simplify(d, text_col, "compress", min_similarity=thr, prefix="_o3_")
-    d = simplify(d, text_col, "truncate", min_similarity=thr, prefix="_o4_")
-    # combined: round 2 and 3 run on the previous round's output
-    d = simplify(d, "_o2_simplified", "truncate", min_similarity=thr, prefix="_o5_")
+    # t5 / simplify(auto) / compress / truncate share one dedup + one
+    # aggressive chain per prompt.
+    d = _strategy_columns(df, text_col, {"t5", "auto", "compress", "truncate"}, "_o0", thr)
+    for s in ("t5", "auto", "compress", "truncate"):
+        d = d.withColumn(f"_o0_cand_{s}", R._strip_ws(F.col(f"_o0_out_{s}")))
+    # combined: rounds 2 and 3 run on the previous round's output
+    d = simplify(d, "_o0_cand_auto", "truncate", min_similarity=thr, prefix="_o5_")
     d = simplify(d, "_o5_simplified", "t5", min_similarity=thr, prefix="_o6_")
-    c1, c2, c3 = F.col("_o2_simplified"), F.col("_o5_simplified"), F.col("_o6_simplified")
+    c1, c2, c3 = F.col("_o0_cand_auto"), F.col("_o5_simplified"), F.col("_o6_simplified")
     s1, s2 = R.jaccard(t, c1), R.jaccard(t, c2)
     if revert:
         combined = F.when(s1 < min_similarity, t).when(s2 < min_similarity, c1).otherwise(c3)
     else:
         combined = F.when(s1 < min_similarity, c1).when(s2 < min_similarity, c2).otherwise(c3)
     d = d.select(*[c for c in d.columns if not c.startswith("_o")],
-                 F.col("_o1_simplified").alias("_cand_t5"), c1.alias("_cand_simplify"),
-                 F.col("_o3_simplified").alias("_cand_compress"),
-                 F.col("_o4_simplified").alias("_cand_truncate"), combined.alias("_cand_combined"))
+                 F.col("_o0_cand_t5").alias("_cand_t5"), c1.alias("_cand_simplify"),
+                 F.col("_o0_cand_compress").alias("_cand_compress"),
+                 F.col("_o0_cand_truncate").alias("_cand_truncate"), combined.alias("_cand_combined"))
     return d
 
 
