@@ -5,5 +5,6 @@ from __future__ import annotations
 from . import catalog
 from . import catalog_logs  # noqa: F401  (registers on import)
 from . import catalog_rewrite  # noqa: F401
+from . import catalog_ml  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
