@@ -274,3 +274,41 @@ def training_set(spark, sf_dir):
     aug = LB.augment(measured, id_col="doc_id")
     out = LB.union_sources(synthetic=m, measured=measured, augmented=aug)
     return out.withColumn("is_train", LB.split_flag(F.col("doc_id")))
+
+
+# A1 + A10: isolation forest over the anomaly features (rows-only check) ----------
+_IF_COLS = ["token_count", "complexity_score", "char_count", "avg_word_length",
+            "vocabulary_richness", "lexical_density", "token_to_word_ratio", "complexity_to_length_ratio"]
+
+
+@register("isolation_forest", None)
+def isolation_forest(spark, sf_dir):
+    from ..operators import isolation as ISO
+    from ..operators.anomaly import anomaly_features
+    m = anomaly_features(measurements(spark, sf_dir)).select("doc_id", *_IF_COLS)
+    return ISO.detect(m, _IF_COLS, "doc_id").select("doc_id", "if_score", "if_anomaly", "decision_score")
+
+
+# Feature statistics and fence flags -------------------------------------------
+@register("anomaly_feature_stats", with_meas(" UNION ALL ".join(
+    f"""SELECT {S.s(c)} AS feature, {_r(f'avg({c})')} AS mean, {_r(f'stddev_samp({c})')} AS std,
+        {_r(f'quantile_cont({c}, 0.25)')} AS q1, {_r(f'quantile_cont({c}, 0.75)')} AS q3,
+        {_r(f'quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)')} AS iqr FROM m"""
+    for c in ("token_count", "complexity_score", "char_count", "avg_word_length"))))
+def anomaly_feature_stats(spark, sf_dir):
+    from ..operators.anomaly import feature_statistics
+    st = feature_statistics(measurements(spark, sf_dir),
+                            ["token_count", "complexity_score", "char_count", "avg_word_length"])
+    return st.select("feature", *[T.round_half(F.col(c), 6).alias(c) for c in ("mean", "std", "q1", "q3")],
+                     T.round_half(F.col("q3") - F.col("q1"), 6).alias("iqr"))
+
+
+# Model selection on the measurements (rows-only check) ------------
+@register("energy_model_selection", None)
+def energy_model_selection(spark, sf_dir):
+    from ..operators import ml as ML
+    cols = ["token_count", "word_count", "char_count", "complexity_score", "avg_word_length",
+            "avg_sentence_length"]
+    m = measurements(spark, sf_dir).select("doc_id", *cols, "label_b")
+    _, metrics = ML.select_best(m, cols, "label_b", "doc_id", kinds=("boosting", "forest", "ridge", "elastic_net"))
+    return metrics.select("model", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("r2", "rmse", "mae")])
