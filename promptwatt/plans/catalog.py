@@ -67,7 +67,10 @@ def _flagship_spark(spark, sf_dir):
                  T.round_half(F.sum("carbon_footprint_kg") * 1e6, 4).alias("total_carbon_mg"),
                  T.round_half(F.sum("electricity_cost_usd") * 1e6, 4).alias("total_cost_micro_usd"),
                  F.sum(F.col("is_anomaly").cast("long")).alias("anomalies"),
-                 T.round_half(F.avg("complexity_score"), 6).alias("avg_complexity"),
+                 # complexity has 4 decimals: average it from an exact integer
+                 # sum so the result does not depend on summation order
+                 (F.sum(F.floor(F.col("complexity_score") * 10000 + 0.5)) / (F.count(F.lit(1)) * 10000.0))
+                 .alias("avg_complexity"),
                  T.round_half(F.avg("token_count"), 4).alias("avg_tokens")))
 
 
@@ -90,7 +93,7 @@ _FLAGSHIP_SQL = S.with_ctes(
         {S.round_half('sum(carbon_footprint_kg) * ' + S.d(1e6), 4)} AS total_carbon_mg,
         {S.round_half('sum(electricity_cost_usd) * ' + S.d(1e6), 4)} AS total_cost_micro_usd,
         CAST(sum(CAST(is_anomaly AS BIGINT)) AS BIGINT) AS anomalies,
-        {S.round_half('avg(complexity_score)', 6)} AS avg_complexity,
+        CAST(sum(floor(complexity_score * {S.d(10000.0)} + {S.d(0.5)})) AS BIGINT) / (count(*) * {S.d(10000.0)}) AS avg_complexity,
         {S.round_half('avg(token_count)', 4)} AS avg_tokens
     FROM a3 GROUP BY lang, energy_level""")
 
