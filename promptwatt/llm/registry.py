@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import queries_text
+from . import queries_dedup, queries_text
 
-REGISTRY = {**queries_text.QUERIES}
+REGISTRY = {**queries_text.QUERIES, **queries_dedup.QUERIES}
