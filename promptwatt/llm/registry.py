@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_text
+from . import queries_corpus, queries_dedup, queries_text
 
-REGISTRY = {**queries_text.QUERIES, **queries_dedup.QUERIES}
+REGISTRY = {**queries_text.QUERIES, **queries_dedup.QUERIES, **queries_corpus.QUERIES}
