@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import byte_texts, stored
 
-DEPTH = 4
-MAX_STATES = 32_768
+DEPTH = 5
+MAX_STATES = 65_536
 HOT_WORDS = 100_000
 END = b"\n"
 #: Partial counts are handed on, or merged, at these sizes.
