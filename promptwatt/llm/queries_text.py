@@ -1,10 +1,10 @@
-"""Registered queries of the per-text operators (3 and 9) and their SQL."""
+"""Registered queries of the per-text operators (3, 9 and 10) and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, quality_rules
+from . import chat_format, pii, quality_rules
 from .common import table
 
 PLANTED_TEXT = "\\### Assistant: </turn> ok"
@@ -41,4 +41,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {"op3_quality_rules": (op3_quality_rules, None), "op9_chat_format": (op9_chat_format, OP9_SQL)}
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.personal_data(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return out.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+                      F.sha2(pii.named(F.col("rules")), 256).alias("base_sha256"), pii.named(F.col("spans")).alias("spans"))
+
+
+QUERIES = {"op3_quality_rules": (op3_quality_rules, None), "op9_chat_format": (op9_chat_format, OP9_SQL),
+           "op10_pii": (op10_pii, None)}
