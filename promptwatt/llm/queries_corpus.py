@@ -1,10 +1,11 @@
-"""Registered queries of the corpus-wide operators (2 and 6) and their SQL."""
+"""Registered queries of the corpus-wide operators (2, 6 and 7) and their SQL."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, suffix_tree
+from . import mixing, suffix_tree, token_file
 from .common import table
 
 
@@ -16,4 +17,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_lm_scoring": (op2_lm_scoring, None), "op6_mixing": (op6_mixing, None)}
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {"op2_lm_scoring": (op2_lm_scoring, None), "op6_mixing": (op6_mixing, None), "op7_token_output": (op7_token_output, None)}
