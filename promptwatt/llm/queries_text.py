@@ -1,15 +1,19 @@
-"""Registered queries of the per-text operators (3, 9 and 10) and their SQL."""
+"""Registered queries of the per-text operators (1, 3, 9 and 10) and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, pii, quality_rules
+from . import chat_format, html_extract, pii, quality_rules
 from .common import table
 
 PLANTED_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(pii.named(F.col("rules")), 256).alias("base_sha256"), pii.named(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op3_quality_rules": (op3_quality_rules, None), "op9_chat_format": (op9_chat_format, OP9_SQL),
+QUERIES = {"op1_html_extraction": (op1_html_extraction, None), "op3_quality_rules": (op3_quality_rules, None), "op9_chat_format": (op9_chat_format, OP9_SQL),
            "op10_pii": (op10_pii, None)}
