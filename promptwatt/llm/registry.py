@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import queries_corpus, queries_dedup, queries_text
 
-REGISTRY = {**queries_text.QUERIES, **queries_dedup.QUERIES, **queries_corpus.QUERIES}
+REGISTRY = {**queries_text.QUERIES, **queries_dedup.QUERIES, **queries_corpus.QUERIES,
+            "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}

@@ -162,3 +162,12 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     found = connected_components(links(nodes.filter("rep is not null"), radius, tile))
     named = nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """The rows of docs, with all their columns, that stay: of each group the one
+    with the smallest doc_id, and of rows with that doc_id one. Rows without a
+    doc_id stay."""
+    first = near_duplicates(docs, width, radius, tile).filter("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    with_id = docs.filter("doc_id is not null").join(first, F.col("doc_id").cast("long") == F.col("_first"), "left_semi").dropDuplicates(["doc_id"])
+    return with_id.unionByName(docs.filter("doc_id is null"))
