@@ -16,6 +16,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,10 +30,12 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LANGUAGES = 256
 COMMON_SHARE = 0.002
-#: Texts with fewer words have too noisy a word histogram to be held against it.
-MIN_WORDS_FOR_WORD_TEST = 200
+#: Guards: texts with fewer words are not held against the references, and since
+#: short histograms are noisy, the limit on the word distance is wider by
+#: WORD_SCATTER / sqrt(words).
+MIN_WORDS_FOR_TESTS = 50
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.60
+MAX_WORD_DISTANCE, WORD_SCATTER = 0.24, 1.6
 SYMBOLS = b"#*$%&|<>"
 #: A partial word count is handed on when it holds this many words.
 FLUSH_WORDS = 200_000
@@ -185,14 +188,11 @@ def quality_rules(docs: DataFrame, max_char_distance: float = MAX_CHAR_DISTANCE,
                 failed = base_fails(base[0], base[4])
                 ref = refs.get(lang, refs.get(POOLED))
                 char_d = word_d = None
-                if ref is not None and words:
+                if ref is not None and len(words) >= MIN_WORDS_FOR_TESTS:
                     char_d = distance(class_counts(text), ref[0])
-                    if len(words) >= MIN_WORDS_FOR_WORD_TEST:
-                        counts = np.zeros(len(ref[2]))
-                        for w in words:
-                            counts[ref[1].get(w, -1)] += 1
-                        word_d = distance(counts, ref[2])
-                kept = not failed and (char_d is None or char_d <= max_char_distance) and (word_d is None or word_d <= max_word_distance)
+                    counts = np.bincount([ref[1].get(w, len(ref[1])) for w in words], minlength=len(ref[2]))
+                    word_d = distance(counts, ref[2])
+                kept = not failed and (char_d is None or char_d <= max_char_distance and word_d <= max_word_distance + WORD_SCATTER / math.sqrt(len(words)))
                 out.append((*base, failed, kept, char_d, word_d))
             cols = list(zip(*out)) or [()] * 9
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
