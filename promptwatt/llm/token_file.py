@@ -4,9 +4,9 @@ Documents are dealt to shards by ranges of doc_id and sorted within them; a task
 encodes its documents, appends END_ID to each and writes one shard: an Arrow file
 (a stream of record batches with a footer) whose batches all hold BATCH_ROWS
 sequences, the last one fewer. Columns: `ids`, a fixed-size list of SEQUENCE
-unsigned 32-bit integers, and `mask`, a fixed-size list of bytes: 0 after the end
-of the shard's ids, 2 at a document's end id, 1 elsewhere. Batches are
-uncompressed, so a reader maps the file and gets row r as a view of batch
+unsigned integers (16 bits if the vocabulary allows, else 32), and `mask`, a
+fixed-size list of bits that are off after the end of the shard's ids. Batches
+are uncompressed, so a reader maps the file and gets row r as views of batch
 r // BATCH_ROWS without copying. A second Arrow file holds doc_id, start (within
 the shard) and n_tokens of its documents. Files are written under a name of the
 attempt and renamed at the end, so a task that runs twice leaves one whole shard.
@@ -51,12 +51,13 @@ class Odd(Exception):
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    """Encodes texts to the bytes of little-endian ids of type `kind`."""
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes | None] = {}
 
@@ -65,7 +66,7 @@ class Encoder:
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
@@ -105,47 +106,42 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 class ShardWriter:
     """Writes ids as batches of full sequences and the index of documents."""
 
-    def __init__(self, fs: pafs.FileSystem, path: str, sequence: int):
-        self.fs, self.path, self.sequence = fs, path, sequence
+    def __init__(self, fs: pafs.FileSystem, path: str, sequence: int, kind: np.dtype):
+        self.fs, self.path, self.sequence, self.kind = fs, path, sequence, kind
         self.temp = f"{path}.{uuid.uuid4().hex}"
         self.sinks = [fs.open_output_stream(f"{self.temp}.{kind}") for kind in ("arrow", "index")]
-        kinds = [pa.list_(pa.uint32(), sequence), pa.list_(pa.uint8(), sequence)]
+        kinds = [pa.list_(pa.from_numpy_dtype(kind), sequence), pa.list_(pa.bool_(), sequence)]
         self.schema = pa.schema(list(zip(("ids", "mask"), kinds)))
         self.files = [pa.ipc.new_file(s, x) for s, x in zip(self.sinks, (self.schema, INDEX))]
-        self.ids, self.marks, self.held, self.n, self.docs = [], [], 0, 0, 0
+        self.ids, self.held, self.n, self.docs = [], 0, 0, 0
 
     def add(self, doc_ids: list, encoded: list[bytes]) -> None:
-        sizes = np.array([len(x) // 4 + 1 for x in encoded], np.int64)
+        sizes = np.array([len(x) // self.kind.itemsize + 1 for x in encoded], np.int64)
         ends = np.cumsum(sizes)
-        end = np.array([END_ID], "<u4").tobytes()
-        self.ids.append(np.frombuffer(end.join([*encoded, b""]), "<u4"))
-        mark = np.ones(int(ends[-1]), np.uint8)
-        mark[ends - 1] = 2
-        self.marks.append(mark)
+        end = np.array([END_ID], self.kind).tobytes()
+        self.ids.append(np.frombuffer(end.join([*encoded, b""]), self.kind))
         self.files[1].write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(self.n + ends - sizes), pa.array(sizes)], schema=INDEX))
         self.n += int(ends[-1])
-        self.held += len(mark)
+        self.held += int(ends[-1])
         self.docs += len(doc_ids)
         if self.held >= BATCH_ROWS * self.sequence:
-            self._write(BATCH_ROWS)
-
-    def _write(self, rows: int, last: bool = False) -> None:
-        """Writes batches of so many sequences; the rest stays unless it is the last."""
-        ids, marks = np.concatenate(self.ids), np.concatenate(self.marks)
-        if last and len(ids) % self.sequence:
-            pad = self.sequence - len(ids) % self.sequence
-            ids, marks = np.append(ids, np.zeros(pad, np.uint32)), np.append(marks, np.zeros(pad, np.uint8))
-        size, at = rows * self.sequence, 0
+            self._write()
+
+    def _write(self, last: bool = False) -> None:
+        """Writes full batches; the rest stays unless it is the last."""
+        ids, at, size = np.concatenate(self.ids), 0, BATCH_ROWS * self.sequence
         while len(ids) - at >= size or last and at < len(ids):
-            part = slice(at, min(at + size, len(ids)))
-            cols = [pa.FixedSizeListArray.from_arrays(pa.array(x[part]), self.sequence) for x in (ids, marks)]
+            part = ids[at:at + size]
+            pad = -len(part) % self.sequence
+            mask = np.arange(len(part) + pad) < len(part)
+            cols = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.sequence) for x in (np.append(part, np.zeros(pad, self.kind)) if pad else part, mask)]
             self.files[0].write_batch(pa.record_batch(cols, schema=self.schema))
-            at += size
-        self.ids, self.marks, self.held = [ids[at:]], [marks[at:]], max(0, len(ids) - at)
+            at += len(part)
+        self.ids, self.held = [ids[at:]], len(ids) - at
 
     def close(self) -> None:
         if self.held:
-            self._write(BATCH_ROWS, last=True)
+            self._write(last=True)
         for f in (*self.files, *self.sinks):
             f.close()
         for kind in ("arrow", "index"):
@@ -165,7 +161,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, sequenc
                 continue
             if writer is None:
                 fs, path = filesystem(folder)
-                writer = ShardWriter(fs, f"{path}/shard-{shard:06d}", sequence)
+                writer = ShardWriter(fs, f"{path}/shard-{shard:06d}", sequence, encoder(model.value).kind)
             ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             for k in range(0, len(ids), 512):
                 writer.add(ids[k:k + 512], encoder(model.value).encode(texts[k:k + 512]))
@@ -185,14 +181,16 @@ class SequenceFile:
         self.source = pa.memory_map(local) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(local)
         self.file = pa.ipc.open_file(self.source)
 
-    def column(self, batch: int, name: str) -> np.ndarray:
+        self.size = self.file.schema.field("ids").type.list_size
+
+    def column(self, batch: int, name: str) -> pa.Array:
         """All values of a batch, flat."""
         col = self.file.get_batch(batch).column(name)
-        return col.values.slice(col.offset * col.type.list_size, len(col) * col.type.list_size).to_numpy(zero_copy_only=True)
+        return col.values.slice(col.offset * self.size, len(col) * self.size)
 
-    def __getitem__(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        size = self.file.schema.field("ids").type.list_size
-        return tuple(self.column(row // BATCH_ROWS, c)[row % BATCH_ROWS * size:][:size] for c in ("ids", "mask"))
+    def __getitem__(self, row: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        ids, mask = (self.column(row // BATCH_ROWS, c).slice(row % BATCH_ROWS * self.size, self.size) for c in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
 
 def read_index(path: str) -> pa.Table:
@@ -205,13 +203,13 @@ def shard_documents(path: str) -> Iterator[tuple[int, int, np.ndarray]]:
     """doc_id, start within the shard and ids of each document of a shard; a
     batch of sequences is mapped at a time."""
     file, index = SequenceFile(path), read_index(path)
-    size = BATCH_ROWS * file.file.schema.field("ids").type.list_size
+    size = BATCH_ROWS * file.size
     at, ids = -1, None
     for doc_id, start, n in zip(*(index[c].to_pylist() for c in ("doc_id", "start", "n_tokens"))):
         parts, k = [], start
         while k < start + n:
             if k // size != at:
-                at, ids = k // size, file.column(k // size, "ids")
+                at, ids = k // size, file.column(k // size, "ids").to_numpy(zero_copy_only=True)
             parts.append(ids[k - at * size:start + n - at * size])
             k += len(parts[-1])
         yield doc_id, start, parts[0] if len(parts) == 1 else np.concatenate(parts)
