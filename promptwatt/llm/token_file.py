@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,14 +43,10 @@ SEQUENCE = 2048
 BATCH_ROWS = 256
 END_ID = 2
 #: Pieces that a worker remembers; it starts afresh when it holds more.
-HELD_PIECES = 400_000
+HELD_PIECES = 1_000_000
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-class Odd(Exception):
-    """The text can't be cut at its spaces."""
-
-
 class Encoder:
     """Encodes texts to the bytes of little-endian ids of type `kind`."""
 
@@ -58,30 +55,33 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = "HI"[self.kind.itemsize // 4]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes | None] = {}
 
     def _plain(self, piece: str) -> bool:
-        return bool(piece) and not piece[0].isspace() and not piece[-1].isspace() and not any(s in piece for s in self.special)
+        return piece != "" and piece.strip() == piece and not ("<|" in piece and any(s in piece for s in self.special))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
+        heads = [c.pop(0) for c in cut]
         if len(self.pieces) > HELD_PIECES:
             self.pieces.clear()
-        new = sorted({p for c in cut for p in c[1:] if p not in self.pieces})
+        new = list(set().union(*cut).difference(self.pieces))
         plain = [p for p in new if self._plain(p)]
-        self.pieces.update((p, None) for p in new)
+        if len(plain) < len(new):  # no bytes: a text with such a piece can't be cut
+            self.pieces.update(dict.fromkeys(new))
         self.pieces.update(zip(plain, self._whole([" " + p for p in plain])))
-        heads = self._whole([c[0] if len(c) == 1 or self._plain(c[0]) else "" for c in cut])
-        out: list[bytes | None] = []
-        for c, head in zip(cut, heads):
-            parts = [self.pieces[p] for p in c[1:]]
-            cuttable = len(c) == 1 or (None not in parts and self._plain(c[0]))
-            out.append(head + b"".join(parts) if cuttable else None)
+        cuttable = [not c or self._plain(h) for c, h in zip(cut, heads)]
+        out: list[bytes | None] = self._whole([h if ok else "" for h, ok in zip(heads, cuttable)])
+        for k, c in enumerate(cut):
+            try:
+                out[k] = b"".join([out[k], *map(self.pieces.__getitem__, c)]) if cuttable[k] else None
+            except TypeError:
+                out[k] = None
         odd = [k for k, x in enumerate(out) if x is None]
         for k, x in zip(odd, self._whole([texts[k] for k in odd])):
             out[k] = x
