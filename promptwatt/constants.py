@@ -404,3 +404,22 @@ LOG_LIMIT = 1000
 STANDARDS = (("r2", ">=", 0.80), ("mape", "<=", 25.0), ("bias_low", ">=", 0.90),
              ("bias_high", "<=", 1.10), ("correlation", ">=", 0.85),
              ("within_20", ">=", 70.0))
+
+# Bands and texts of the interpretation of a validation (V5).
+CORRELATION_BANDS = (
+    (0.6, "[OK] Good correlation with real measurements (r > 0.6)"),
+    (0.3, "[OK] Moderate correlation with real measurements (r > 0.3)\n     Model captures relative energy patterns correctly"),
+    (0.0, "[!] Weak positive correlation - relative patterns partially captured"),
+)
+CORRELATION_REST = "[X] Negative correlation - model may need fundamental revision"
+BIAS_TEXTS = {
+    "fair": "[OK] Model predictions are well-calibrated (bias within +/-20%)",
+    "over": ("[!] Model over-predicts by ~", "%\n    Consider applying calibration factor for production use"),
+    "under": ("[!] Model under-predicts by ~", "%\n    Calibration factor: ",
+              "x to match real measurements\n    This is expected when synthetic formula differs from actual hardware"),
+}
+MAPE_BANDS = (
+    (20.0, "[OK] Good prediction accuracy (MAPE < 20%)"),
+    (40.0, "[OK] Acceptable prediction accuracy (MAPE 20-40%)"),
+)
+MAPE_REST = "[!] High absolute error - expected for synthetic vs real comparison\n    Focus on correlation for relative rankings"

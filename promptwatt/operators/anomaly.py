@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
+from .quantiles import exact_quantiles
 
 SEVERITIES = ("normal", "low", "medium", "high", "critical")
 TYPES = ("normal", "high_tokens", "high_complexity", "unusual_pattern")
@@ -53,9 +54,7 @@ def detect(df: DataFrame, *, threshold: float = K.ANOMALY_THRESHOLD,
     h = F.col("_h")
     is_anom = h < limit
     score = (h / F.lit(100.0))
-    severity = (F.when(~is_anom, "normal")
-                .when(h < -90, "critical").when(h < -70, "high")
-                .when(h < -50, "medium").when(h < -30, "low").otherwise("normal"))
+    severity = severity_band(h, is_anom)
     atype = (F.when(~is_anom, "normal").when(tok > 500, "high_tokens")
              .when(cx > 0.8, "high_complexity").otherwise("unusual_pattern"))
     ept = F.col("energy_per_token") if energy_col is not None else F.lit(0.0)
@@ -90,6 +89,13 @@ def detect(df: DataFrame, *, threshold: float = K.ANOMALY_THRESHOLD,
     return out
 
 
+def severity_band(hundredths: Column, is_anomaly: Column) -> Column:
+    """A3: severity of an anomaly score in hundredths (K.SEVERITY_LEVELS);
+    scores that are no anomaly are normal."""
+    bands = F.coalesce(*[F.when(hundredths < int(round(limit * 100)), name) for limit, name in K.SEVERITY_LEVELS], F.lit("normal"))
+    return F.when(~is_anomaly, "normal").otherwise(bands)
+
+
 def anomaly_statistics(detected: DataFrame) -> DataFrame:
     """One row — totals, rate, severity and type counts (zero-filled),
     average/min/max score. One aggregation pass."""
@@ -104,24 +110,13 @@ def anomaly_statistics(detected: DataFrame) -> DataFrame:
     return out.withColumn("anomaly_rate", F.col("total_anomalies") / F.col("total_analyzed"))
 
 
-def feature_statistics(df: DataFrame, cols: list[str], *, approx: bool = False,
-                       accuracy: int = 10_000) -> DataFrame:
-    """Mean, sample std, q1, q3, IQR per feature — one aggregation pass,
-    returned long (one row per feature). ``approx`` switches the exact
-    percentile (value→count map per group) to percentile_approx for columns
-    with very many distinct values."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.75], accuracy) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))))
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 q.alias(f"{c}__q")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"),
-                     F.col(f"{c}__std").alias("std"), F.col(f"{c}__q")[0].alias("q1"),
-                     F.col(f"{c}__q")[1].alias("q3")) for c in cols]
-    return (wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+def feature_statistics(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Mean, sample std, exact q1, q3 and IQR per feature, one row each."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")).select("s.*")
+    base = long.groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
+    q = exact_quantiles(long, "x", [0.25, 0.75], ["feature"])
+    return (base.join(q, "feature", "left")
+                .select("feature", "mean", "std", F.get("quantiles", F.lit(0)).alias("q1"), F.get("quantiles", F.lit(1)).alias("q3"))
                 .withColumn("iqr", F.col("q3") - F.col("q1")))
 
 

@@ -137,6 +137,6 @@ def complexity_impact(level: Column) -> Column:
     return m[level]
 
 
-def color_band(score: Column, bounds=((0.4, "green"), (0.7, "orange")), top="red") -> Column:
+def color_band(score: Column, bounds=((0.4, "green"), (0.7, "yellow")), top="red") -> Column:
     """UI colour bands (<0.4 / <0.7), or any other bounds."""
     return T.bucketize(score, bounds, top)

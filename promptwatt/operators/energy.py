@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import text as T
 
-MAX_BROADCAST_ROWS = 100_000
-
 
 def region_factors(spark: SparkSession) -> DataFrame:
     """The built-in 5-row factors table (region, cost_per_kwh, kg_per_kwh)."""
@@ -26,13 +24,6 @@ def region_factors(spark: SparkSession) -> DataFrame:
                                  "region string, cost_per_kwh double, kg_per_kwh double")
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a lookup side only after checking its row count is bounded;
-    beyond the bound the join falls back to Catalyst's shuffle join."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def config_scale(num_layers=K.BASELINE_LAYERS, training_hours=K.BASELINE_TRAINING_HOURS,
                  flops_per_hour=K.BASELINE_FLOPS):
     """E4 factor; a Python float for numeric inputs, a Column otherwise."""
@@ -113,7 +104,7 @@ def estimate_energy(df: DataFrame, *, tokens_col: str = "token_count",
         fac = factors if factors is not None else region_factors(spark)
         fac = fac.select(F.col("region").alias("_region_key"),
                          F.col("cost_per_kwh").alias("_cost"), F.col("kg_per_kwh").alias("_kg"))
-        fac = F.broadcast(fac) if factors is None else broadcast_if_small(fac)
+        fac = F.broadcast(fac) if factors is None else fac  # five rows, or Catalyst's choice by bytes
         out = (out.join(fac, out[region_col] == fac["_region_key"], "left")
                   .drop("_region_key")
                   .withColumn("_cost", F.coalesce("_cost", F.lit(K.DEFAULT_COST_PER_KWH)))

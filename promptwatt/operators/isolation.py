@@ -1,7 +1,7 @@
 """Isolation forest (A10) on Spark.
 
 Fit: each of ``n_trees`` trees draws its own deterministic subsample
-(Bernoulli on a hash of (row id, tree) with rate ≈ 2·sample/N, then the
+(Bernoulli on a 64-bit hash of (row id, tree) with rate ≈ 3·sample/N, then the
 ``sample`` smallest hashes); rows are routed to their trees and grouped by
 tree id, and each group is grown into a small node table with numpy in
 ``applyInPandas``. The forest is at most n_trees × (2·sample − 1) nodes — its
@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 NODE_SCHEMA = "tree long, node long, feature int, threshold double, left long, right long, size long"
 
 
@@ -55,16 +57,20 @@ def _grow(tree_id: int, X: np.ndarray, max_depth: int, rng: np.random.Generator)
     return nodes
 
 
+def sample_bound(n: int, m: int) -> int:
+    """Highest signed 64-bit hash at which one of n rows is drawn, so that about
+    3 m rows are (all of them, if there are fewer)."""
+    return -(1 << 63) + min((1 << 64) - 1, 3 * m * (1 << 64) // max(n, 1))
+
+
 def fit(df: DataFrame, feature_cols: list[str], id_col: str, *, n_trees: int = 100,
         sample: int = 256, seed: int = 42) -> DataFrame:
     """Grow the forest; returns the node table (a small DataFrame)."""
     n = df.count()
     m = min(sample, n)
-    rate = min(1.0, 3.0 * m / max(n, 1))
-    scale = 1_000_000
+    bound = sample_bound(n, m)
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = F.filter(trees, lambda t: F.pmod(F.xxhash64(F.col(id_col), t, F.lit(seed)), F.lit(scale))
-                      < int(rate * scale))
+    picked = F.filter(trees, lambda t: F.xxhash64(F.col(id_col), t, F.lit(seed)) <= F.lit(bound))
     rows = (df.select(id_col, *feature_cols).withColumn("tree", F.explode(picked))
               .withColumn("_h", F.xxhash64(F.col(id_col), F.col("tree"), F.lit(seed + 1))))
     w = Window.partitionBy("tree").orderBy("_h")
@@ -85,6 +91,8 @@ def score(df: DataFrame, nodes: DataFrame, feature_cols: list[str], sample: int,
     """Anomaly score s = 2^(−E[h(x)]/c(sample)) per row (higher = more
     anomalous), computed batch-wise with numpy against the broadcast forest."""
     forest = nodes.toPandas()   # bounded: n_trees × (2·sample − 1) rows
+    if sample > 0 and forest.empty:
+        raise ValueError("no tree was grown: no row was drawn")
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(forest)
     cn = _c(sample)
@@ -137,10 +145,10 @@ def detect(df: DataFrame, feature_cols: list[str], id_col: str, *, n_trees: int
     z = z.select(*df.columns, *[F.when(F.col(f"{c}__s") > 0, (F.col(c) - F.col(f"{c}__m")) / F.col(f"{c}__s"))
                                 .otherwise(F.lit(0.0)).alias(f"_z_{c}") for c in feature_cols])
     zcols = [f"_z_{c}" for c in feature_cols]
-    from pyspark import StorageLevel
-    z = z.persist(StorageLevel.MEMORY_AND_DISK)   # read by fit, count and score
+    ensure_checkpoint_dir(df.sparkSession)
+    z = z.checkpoint()   # read by fit, count and score
     nodes, m = fit(z, zcols, id_col, n_trees=n_trees, sample=sample, seed=seed)
-    scored = score(z, nodes, zcols, m)
+    scored = score(z, nodes, zcols, m).checkpoint()   # read for the threshold and the result
     thr = scored.agg(F.percentile_approx("if_score", 1 - contamination, 10_000).alias("_thr"))
     out = scored.crossJoin(F.broadcast(thr))
     return (out.withColumn("if_anomaly", F.col("if_score") > F.col("_thr"))

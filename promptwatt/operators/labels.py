@@ -22,9 +22,10 @@ def _lookup(key: Column, table, default: float) -> Column:
 
 
 def unit_hash(id_col: Column, seed: int, salt: str = "") -> Column:
-    """Deterministic U[0, 1) per row from xxhash64(id, seed, salt)."""
-    h = F.xxhash64(id_col, F.lit(seed), F.lit(salt))
-    return F.pmod(h, F.lit(1_000_003)).cast("double") / 1_000_003
+    """Deterministic U[0, 1) per row: the first 13 hex digits of
+    md5(id:seed:salt), which any engine can repeat."""
+    key = F.concat_ws(":", id_col.cast("string"), F.lit(str(seed)), F.lit(salt))
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(16 ** 13)
 
 
 def label_a(df: DataFrame, *, category_col: str, id_col: str | None = None,
@@ -106,7 +107,7 @@ def augment(df: DataFrame, *, id_col: str, copies: int = 5, seed: int = 42) -> D
 def split_flag(id_col: Column, train_percent: int = 80, seed: int = 42) -> Column:
     """Stable 80/20 split on a hash of the id (independent of
     partitioning, unlike randomSplit)."""
-    return F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(100)) < train_percent
+    return unit_hash(id_col, seed, "split") < train_percent / 100
 
 
 def weighted_sample(df: DataFrame, category_col: str, fractions: dict[str, float],
@@ -117,15 +118,12 @@ def weighted_sample(df: DataFrame, category_col: str, fractions: dict[str, float
     return df.filter(unit_hash(F.col(id_col), seed, "w") < frac)
 
 
-def expand_templates(templates: DataFrame, topics: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Template × topic cross product into prompt rows. Both sides are
-    small by construction; the product size is checked before it is built."""
-    nt = templates.count()
-    np_ = topics.limit(max_rows + 1).count()
-    if nt * np_ > max_rows:
-        raise ValueError(f"template × topic product of {nt * np_} rows exceeds {max_rows}")
-    return (topics.crossJoin(F.broadcast(templates))
-            .withColumn("prompt", F.replace(F.col("template"), F.lit("{topic}"), F.col("topic"))))
+def expand_templates(topics: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
+    """Every topic in every (category, template) of the list, which is an
+    argument of the plan: one projection and one explode, no join."""
+    each = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(t).alias("template")) for c, t in templates])
+    out = topics.withColumn("_t", F.explode(each)).select(*topics.columns, "_t.category", "_t.template")
+    return out.withColumn("prompt", F.replace(F.col("template"), F.lit("{topic}"), F.col("topic")))
 
 
 def flatten_category_map(df: DataFrame, map_col: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
+from .quantiles import exact_quantiles
 
 LOG_COLUMNS = ("id", "timestamp", "prompt_hash", "prompt_preview", "token_count",
                "complexity_score", "energy_kwh", "carbon_kg", "water_liters", "is_anomaly",
@@ -66,7 +67,7 @@ def in_period(log: DataFrame, start=None, end=None, *, end_inclusive: bool = Tru
     return log.filter(cond)
 
 
-def recent_logs(log: DataFrame, start=None, end=None, limit: int | None = K.LOG_LIMIT) -> DataFrame:
+def recent_logs(log: DataFrame, start=None, end=None, limit: int | None = None) -> DataFrame:
     """L2: logs in a period, newest first; an optional row limit (top-k by
     time → TakeOrderedAndProject, no global sort)."""
     out = in_period(log, start, end).orderBy(F.col("timestamp").desc(), F.col("id").desc())
@@ -108,27 +109,22 @@ def period_statistics(log: DataFrame, start=None, end=None) -> DataFrame:
         F.when(tp == 0, F.lit("No data available for the specified period")).alias("message"))
 
 
-def energy_percentiles(log: DataFrame, start=None, end=None, *, approx: bool = False,
-                       col: str = "energy_kwh") -> DataFrame:
-    """L4: p25/p50/p75/p95 with linear interpolation (exact ``percentile``,
-    value→count map per group) over the whole period; ``approx`` switches to
-    percentile_approx for very many distinct values."""
-    x = in_period(log, start, end)
+def energy_percentiles(log: DataFrame, start=None, end=None, *, col: str = "energy_kwh") -> DataFrame:
+    """L4: exact p25/p50/p75/p95 with linear interpolation over the whole
+    period; one row, of zeros for an empty period."""
     ps = [0.25, 0.50, 0.75, 0.95]
-    q = (F.percentile_approx(col, ps, 10_000) if approx
-         else F.percentile(F.col(col), F.array(*[F.lit(p) for p in ps])))
-    r = x.agg(q.alias("_q"))
-    return r.select(*[F.coalesce(T.round_half(F.col("_q")[i], 6), F.lit(0.0)).alias(f"p{int(p * 100)}")
+    r = exact_quantiles(in_period(log, start, end), col, ps).agg(F.first("quantiles").alias("_q"))
+    return r.select(*[F.coalesce(T.round_half(F.get("_q", F.lit(i)), 6), F.lit(0.0)).alias(f"p{int(p * 100)}")
                       for i, p in enumerate(ps)])
 
 
 def transparency_report(log: DataFrame, start: dt.datetime, end: dt.datetime, *,
-                        as_of: dt.datetime, approx: bool = False) -> DataFrame:
-    """One report row. Statistics and percentiles come from one scan each
-    (both single-row aggregates, joined as 1×1). The report id is derived
+                        as_of: dt.datetime) -> DataFrame:
+    """One report row: sums from one scan, exact percentiles from their own
+    two (single rows, joined as 1×1). The report id is derived
     from the period (no clock, no uuid) so re-running is idempotent."""
     stats = period_statistics(log, start, end)
-    pct = energy_percentiles(log, start, end, approx=approx)
+    pct = energy_percentiles(log, start, end)
     r = stats.crossJoin(pct)
     deadline = dt.date.fromisoformat(K.EU_REPORTING_DEADLINE)
     days_left = (dt.datetime.combine(deadline, dt.time()) - as_of).days
@@ -234,18 +230,20 @@ def last_n_days_statistics(log: DataFrame, as_of: dt.datetime, days: int | None)
     return period_statistics(log, start, None)
 
 
-def benchmarks(log: DataFrame, model_col: str, category_col: str, *, approx: bool = False) -> DataFrame:
+def benchmarks(log: DataFrame, model_col: str, category_col: str) -> DataFrame:
     """Per (model_type, prompt_category): avg energy, avg tokens, n, and
-    p25/50/75/95 — one grouped aggregation."""
+    exact p25/50/75/95."""
     ps = [0.25, 0.50, 0.75, 0.95]
-    q = (F.percentile_approx("energy_kwh", ps, 10_000) if approx
-         else F.percentile(F.col("energy_kwh"), F.array(*[F.lit(p) for p in ps])))
-    g = log.groupBy(F.col(model_col).alias("model_type"), F.col(category_col).alias("prompt_category")).agg(
+    log = log.select(F.col(model_col).alias("model_type"), F.col(category_col).alias("prompt_category"), "energy_kwh", "token_count")
+    q = exact_quantiles(log, "energy_kwh", ps, ["model_type", "prompt_category"]).select(
+        F.col("model_type").alias("_m"), F.col("prompt_category").alias("_p"), F.col("quantiles").alias("_q"))
+    g = log.groupBy("model_type", "prompt_category").agg(
         T.round_half(F.avg("energy_kwh"), 6).alias("avg_energy_kwh"),
         T.round_half(F.avg("token_count"), 4).alias("avg_tokens"),
-        F.count(F.lit(1)).alias("sample_count"), q.alias("_q"))
+        F.count(F.lit(1)).alias("sample_count"))
+    g = g.join(q, g["model_type"].eqNullSafe(q["_m"]) & g["prompt_category"].eqNullSafe(q["_p"]), "left")
     return g.select("model_type", "prompt_category", "avg_energy_kwh", "avg_tokens", "sample_count",
-                    *[T.round_half(F.col("_q")[i], 6).alias(f"percentile_{int(p * 100)}")
+                    *[T.round_half(F.get("_q", F.lit(i)), 6).alias(f"percentile_{int(p * 100)}")
                       for i, p in enumerate(ps)])
 
 
@@ -266,15 +264,27 @@ def log_summary(log: DataFrame) -> DataFrame:
 
 def sessionize(log: DataFrame, *, user_col: str, gap_seconds: int, ts_col: str = "timestamp") -> DataFrame:
     """Gap sessionization: a new session starts when the gap to the user's
-    previous event exceeds ``gap_seconds``. One window partitioned by user
-    (lag + running sum); session id = (user, ordinal)."""
-    w = Window.partitionBy(user_col).orderBy(F.col(ts_col), F.col("id"))
-    prev = F.lag(ts_col).over(w)
-    gap = F.col(ts_col) - prev
-    new = F.when(prev.isNull() | (gap > F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")), 1).otherwise(0)
-    return (log.withColumn("_new", new)
-            .withColumn("session_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .drop("_new"))
+    previous event exceeds ``gap_seconds``; session id = (user, ordinal).
+
+    A user's events are cut by day, so that a window holds one day of a user.
+    Starts are counted within the day; the days' counts and last times (a row
+    for each user and day) carry ordinals and gaps over midnight."""
+    if ts_col != "timestamp":
+        log = log.withColumn("timestamp", F.col(ts_col))
+    late = lambda t, before: before.isNull() | (t - before > F.expr(f"INTERVAL {int(gap_seconds)} SECONDS"))
+    day = Window.partitionBy(user_col, "_day").orderBy("timestamp", "id")
+    rows = log.withColumn("_day", F.to_date("timestamp"))
+    rows = rows.withColumn("_first", F.row_number().over(day) == 1).withColumn("_new", late(F.col("timestamp"), F.lag("timestamp").over(day)))
+    rows = rows.withColumn("_no", F.sum((F.col("_new") & ~F.col("_first")).cast("long")).over(day.rowsBetween(Window.unboundedPreceding, 0)))
+    user = Window.partitionBy("_user").orderBy("_of")
+    days = rows.groupBy(F.col(user_col).alias("_user"), F.col("_day").alias("_of")).agg(
+        F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to"), F.max("_no").alias("_more"))
+    days = days.withColumn("_starts", late(F.col("_from"), F.lag("_to").over(user)).cast("long"))
+    # ordinal of the day's first session: all starts up to it, without the day's own later ones
+    days = days.withColumn("_base", F.sum(F.col("_starts") + F.col("_more")).over(user.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_more"))
+    days = days.select("_user", "_of", "_base")
+    out = rows.join(days, F.col(user_col).eqNullSafe(F.col("_user")) & F.col("_day").eqNullSafe(F.col("_of")))
+    return out.withColumn("session_no", F.col("_base") + F.col("_no")).drop("_day", "_first", "_new", "_no", "_user", "_of", "_base")
 
 
 def session_metrics(log: DataFrame, *, user_col: str, gap_seconds: int) -> DataFrame:

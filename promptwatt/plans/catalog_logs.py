@@ -59,7 +59,7 @@ LOG_SQL = f"""SELECT event_id AS id, ts AS timestamp,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS token_count,
     CAST(json_extract_string(props, '$.k') AS BIGINT) / {S.d(100.0)} AS complexity_score,
     value AS energy_kwh,
-    value * {S.str_list([]) if False else '[' + ', '.join(S.d(x) for x in KGS) + ']'}[(user_id % 5) + 1] AS carbon_kg,
+    value * {'[' + ', '.join(S.d(x) for x in KGS) + ']'}[(user_id % 5) + 1] AS carbon_kg,
     value * {S.d(K.WATER_L_PER_KWH)} AS water_liters,
     (event_type = 'error') AS is_anomaly,
     (event_type = 'purchase') AS was_optimized,
@@ -122,7 +122,7 @@ def pct_sql(where: str, prefix: str = "p") -> str:
     f"SELECT id, timestamp, energy_kwh, region FROM log WHERE {period_sql(R_START, R_END)} "
     f"ORDER BY timestamp DESC, id DESC LIMIT {K.LOG_LIMIT}"))
 def recent_logs_q(spark, sf_dir):
-    return L.recent_logs(event_log(spark, sf_dir), R_START, R_END).select("id", "timestamp", "energy_kwh", "region")
+    return L.recent_logs(event_log(spark, sf_dir), R_START, R_END, limit=K.LOG_LIMIT).select("id", "timestamp", "energy_kwh", "region")
 
 
 # L3 ------------------------------------------------------------------------

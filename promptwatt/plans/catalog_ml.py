@@ -112,7 +112,7 @@ def calibration_fit(spark, sf_dir):
 
 
 # V1–V4, V7, V8 -------------------------------------------------------------------
-_METRICS = ("rmse", "mae", "r2", "mape", "correlation", "bias", "max_error", "within_10", "within_20")
+_METRICS = ("rmse", "mae", "r2", "mape", "mape_shifted", "mape_raw", "correlation", "bias", "max_error", "within_10", "within_20")
 
 
 def _metrics_sql(group: str | None) -> str:
@@ -125,6 +125,8 @@ def _metrics_sql(group: str | None) -> str:
         {_r('avg(abs(predicted - label_a))')} AS mae,
         {_r('1 - sum((predicted - label_a) * (predicted - label_a)) / sum((label_a - _ybar) * (label_a - _ybar))')} AS r2,
         {_r(f'avg({rel}) * 100')} AS mape,
+        {_r('avg(abs(predicted - label_a) / (label_a + CAST(1e-6 AS DOUBLE))) * 100')} AS mape_shifted,
+        {_r('avg(CASE WHEN label_a <> 0 THEN abs((predicted - label_a) / label_a) END) * 100')} AS mape_raw,
         {_r('corr(label_a, predicted)')} AS correlation,
         {_r('avg(predicted) / avg(label_a)')} AS bias,
         {_r('max(abs(predicted - label_a))')} AS max_error,
@@ -145,15 +147,15 @@ def _rounded_metrics(df: DataFrame, keys=()):
     return df.select(*keys, "n", *[T.round_half(F.col(c), 6).alias(c) for c in _METRICS], "enough_predictions")
 
 
-@register("validation_metrics", with_meas(f"""SELECT *, array_to_string(list_filter([
+@register("validation_metrics", with_meas(f"""SELECT *, failed_standards = '' AS meets_standards FROM (SELECT *, array_to_string(list_filter([
       CASE WHEN NOT (r2 >= {S.d(0.80)}) THEN 'r2' END, CASE WHEN NOT (mape <= {S.d(25.0)}) THEN 'mape' END,
       CASE WHEN NOT (bias >= {S.d(0.90)} AND bias <= {S.d(1.10)}) THEN 'bias' END,
       CASE WHEN NOT (correlation >= {S.d(0.85)}) THEN 'correlation' END,
       CASE WHEN NOT (within_20 >= {S.d(70.0)}) THEN 'within_20' END], lambda z: z IS NOT NULL), ',') AS failed_standards
-    FROM vm""", extra=[_ybar(None), ("vm", _metrics_sql(None))]))
+    FROM vm)""", extra=[_ybar(None), ("vm", _metrics_sql(None))]))
 def validation_metrics(spark, sf_dir):
     m = V.regression_metrics(measurements(spark, sf_dir), "label_a", "predicted")
-    return V.standards_check(_rounded_metrics(m)).drop("meets_standards")
+    return V.standards_check(_rounded_metrics(m))
 
 
 @register("validation_by_lang", with_meas(_metrics_sql("lang"), extra=[_ybar("lang")]))
@@ -169,10 +171,20 @@ _DCOLS = ("token_count", "word_count", "char_count", "avg_word_length", "avg_sen
 
 @register("describe_features", with_meas(" UNION ALL ".join(
     f"""SELECT {S.s(c)} AS "column", count({c}) AS n, {_r(f'avg({c})')} AS mean, {_r(f'stddev_samp({c})')} AS std,
-        {_r(f'min(CAST({c} AS DOUBLE))')} AS min, {_r(f'max(CAST({c} AS DOUBLE))')} AS max FROM m""" for c in _DCOLS)))
+        {_r(f'min(CAST({c} AS DOUBLE))')} AS min, {_r(f'max(CAST({c} AS DOUBLE))')} AS max,
+        {_r(f'quantile_cont({c}, 0.25)')} AS q1, {_r(f'quantile_cont({c}, 0.5)')} AS median,
+        {_r(f'quantile_cont({c}, 0.75)')} AS q3 FROM m""" for c in _DCOLS)))
 def describe_features(spark, sf_dir):
     d = V.describe(measurements(spark, sf_dir), list(_DCOLS))
-    return d.select("column", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("mean", "std", "min", "max")])
+    return d.select("column", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("mean", "std", "min", "max", "q1", "median", "q3")])
+
+
+@register("correlation_matrix", with_meas(" UNION ALL ".join(
+    f"SELECT {S.s(a)} AS feature_a, {S.s(b)} AS feature_b, {_r(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS correlation FROM m"
+    for a in _DCOLS for b in _DCOLS)))
+def correlation_matrix(spark, sf_dir):
+    d = V.correlation_matrix(measurements(spark, sf_dir), list(_DCOLS))
+    return d.select("feature_a", "feature_b", T.round_half(F.col("correlation"), 6).alias("correlation"))
 
 
 @register("feature_correlations", with_meas(" UNION ALL ".join(
@@ -184,8 +196,9 @@ def feature_correlations(spark, sf_dir):
 
 
 # D3 / D4 ---------------------------------------------------------------------------
-_BIN_SQL = ("CASE WHEN avg_word_length <= 5 THEN 'short' WHEN avg_word_length <= 6 THEN 'medium' "
-            "WHEN avg_word_length <= 7 THEN 'long' ELSE 'very_long' END")
+_BIN_SQL = ("CASE WHEN avg_word_length > 0 AND avg_word_length <= 5 THEN 'Simple' "
+            "WHEN avg_word_length > 5 AND avg_word_length <= 6 THEN 'Moderate' "
+            "WHEN avg_word_length > 6 AND avg_word_length <= 7 THEN 'Complex' WHEN avg_word_length > 7 THEN 'Very Complex' END")
 
 
 @register("word_length_bins", with_meas(f"""SELECT {_BIN_SQL} AS bin, count(*) AS n, {_r('min(label_a)')} AS min,
@@ -214,16 +227,18 @@ def layer_stats(spark, sf_dir):
 
 
 # D6 --------------------------------------------------------------------------------
-@register("median_split", with_meas(f"""SELECT CAST(sum(CAST(token_count > _med AS BIGINT)) AS BIGINT) AS high_count,
-    CAST(sum(CAST(NOT (token_count > _med) AS BIGINT)) AS BIGINT) AS low_count,
-    {_r('avg(CASE WHEN token_count > _med THEN label_a END)')} AS high_mean,
-    {_r('avg(CASE WHEN NOT (token_count > _med) THEN label_a END)')} AS low_mean,
-    {_r('(avg(CASE WHEN token_count > _med THEN label_a END) - avg(CASE WHEN NOT (token_count > _med) THEN label_a END)) / avg(CASE WHEN token_count > _med THEN label_a END) * 100')} AS potential_savings_percent
-    FROM m CROSS JOIN (SELECT quantile_cont(token_count, 0.5) AS _med FROM m)"""))
+_MEANS = ("token_count", "avg_word_length")
+
+
+@register("median_split", with_meas(f"""SELECT CAST(count(*) FILTER (label_a > _med) AS BIGINT) AS high_count,
+    CAST(count(*) FILTER (label_a <= _med) AS BIGINT) AS low_count,
+    {_r('avg(label_a) FILTER (label_a > _med)')} AS high_mean, {_r('avg(label_a) FILTER (label_a <= _med)')} AS low_mean,
+    {", ".join(f"{_r(f'avg({c}) FILTER (label_a {op} _med)')} AS {side}_{c}" for c in _MEANS for side, op in (("high", ">"), ("low", "<=")))},
+    {_r('(avg(label_a) FILTER (label_a > _med) - avg(label_a) FILTER (label_a <= _med)) / avg(label_a) FILTER (label_a > _med) * 100')} AS potential_savings_percent
+    FROM m CROSS JOIN (SELECT quantile_cont(label_a, 0.5) AS _med FROM m)"""))
 def median_split(spark, sf_dir):
-    d = V.median_split(measurements(spark, sf_dir), "token_count", "label_a")
-    return d.select("high_count", "low_count", *[T.round_half(F.col(c), 6).alias(c) for c in
-                                                 ("high_mean", "low_mean", "potential_savings_percent")])
+    d = V.median_split(measurements(spark, sf_dir), "label_a", "label_a", _MEANS)
+    return d.select("high_count", "low_count", *[T.round_half(F.col(c), 6).alias(c) for c in d.columns if not c.endswith("_count") or c.endswith("token_count")])
 
 
 # D7 / D8 ---------------------------------------------------------------------------
@@ -265,15 +280,29 @@ def features_left_labels(spark, sf_dir):
         F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("toxic", F.lit(-1)).alias("toxic"))
 
 
-# Assembled training set (hash-based, rows-only check) --------------
-@register("training_set", None)
+# Assembled training set; every tenth document counts as measured ------
+def _unit(key: str, salt: str) -> str:
+    return f"(CAST(('0x' || substr(md5({key} || ':42:{salt}'), 1, 13)) AS BIGINT) / {S.d(float(16 ** 13))})"
+
+
+_ID, _COPY = "CAST(doc_id AS VARCHAR)", "(CAST(doc_id AS VARCHAR) || ':' || CAST(copy AS VARCHAR))"
+
+
+@register("training_set", with_meas(f"""SELECT doc_id, token_count, complexity_score, {_r('energy_joules')} AS energy_joules, data_source, copy,
+    {_unit(_ID, 'split')} < {S.d(0.8)} AS is_train FROM (
+      SELECT doc_id, token_count, complexity_score, label_b AS energy_joules, 'synthetic' AS data_source, -1 AS copy FROM m
+      UNION ALL SELECT doc_id, token_count, complexity_score, label_b, 'measured', -1 FROM m WHERE doc_id % 10 = 0
+      UNION ALL SELECT doc_id, greatest(1, token_count + CAST(floor({_unit(_COPY, 'tok')} * 3) AS BIGINT) - 1), complexity_score,
+        label_b * ({S.d(0.97)} + {S.d(0.06)} * {_unit(_COPY, 'e')}), 'augmented', copy
+        FROM m CROSS JOIN (SELECT unnest(range(1, 6)) AS copy) WHERE doc_id % 10 = 0)"""))
 def training_set(spark, sf_dir):
     m = measurements(spark, sf_dir).select("doc_id", "token_count", "complexity_score",
                                            F.col("label_b").alias("energy_joules"))
     measured = m.filter(F.pmod("doc_id", F.lit(10)) == 0)
     aug = LB.augment(measured, id_col="doc_id")
     out = LB.union_sources(synthetic=m, measured=measured, augmented=aug)
-    return out.withColumn("is_train", LB.split_flag(F.col("doc_id")))
+    return (out.withColumn("is_train", LB.split_flag(F.col("doc_id"))).withColumn("copy", F.coalesce("copy", F.lit(-1)))
+            .withColumn("energy_joules", T.round_half(F.col("energy_joules"), 6)))
 
 
 # A1 + A10: isolation forest over the anomaly features (rows-only check) ----------

@@ -42,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="promptwatt-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -55,13 +57,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin a DataFrame whose scan yields fewer partitions than the
-    cluster has cores (e.g. one large single-row-group file), so CPU-heavy
-    text expressions run in parallel. A no-op — no shuffle — when the input
-    already has enough partitions, which is the case for a many-file table."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
-        return df
-    return df.repartition(want)
+SPREAD_CONF = "promptwatt.scan.partitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The scan as it is, split by ``spark.sql.files.maxPartitionBytes``; only a
+    caller that sets ``promptwatt.scan.partitions`` (the local benchmark, whose
+    table is one file with one row group) gets a round-robin to that number."""
+    n = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(n)) if n else df

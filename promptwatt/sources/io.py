@@ -46,10 +46,12 @@ def export_logs(log: DataFrame, path: str, start=None, end=None, limit: int | No
     return n
 
 
-def append_log(log_rows: DataFrame, path: str) -> None:
-    """IO5: append log rows partitioned by event date."""
-    (log_rows.withColumn("event_date", F.to_date("timestamp"))
-     .write.mode("append").partitionBy("event_date").parquet(path))
+def append_log(log_rows: DataFrame, path: str, batch: str) -> None:
+    """IO5: add a batch of log rows, partitioned by event date and batch. A
+    batch that is written again replaces itself, so a retry adds nothing twice."""
+    (log_rows.withColumn("event_date", F.to_date("timestamp")).withColumn("batch", F.lit(batch))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date", "batch").parquet(path))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -68,36 +70,42 @@ def apply_retention(spark: SparkSession, path: str, as_of, days_to_keep: int = 9
     if deleted:
         kept = old.filter(F.col("timestamp") >= L.ts_lit(cutoff))
         ckpt = kept.checkpoint()   # cut lineage: we overwrite what we read
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (ckpt.write.mode("overwrite").partitionBy("event_date").parquet(path))
+        parts = ["event_date"] + ["batch"] * ("batch" in log.columns)
+        (ckpt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
         # Partitions that became empty keep their old files under dynamic
-        # overwrite; remove rows there by overwriting them with nothing is not
-        # possible, so drop the emptied date directories explicitly.
-        emptied = (old.select("event_date").distinct()
-                   .join(ckpt.select("event_date").distinct(), "event_date", "left_anti"))
-        _drop_partitions(spark, path, [r[0] for r in emptied.collect()])
+        # overwrite, so drop their directories explicitly.
+        emptied = (old.select(*parts).distinct().join(ckpt.select(*parts).distinct(), parts, "left_anti"))
+        _drop_partitions(spark, path, ["/".join(f"{c}={v}" for c, v in zip(parts, r)) for r in emptied.collect()])
     return deleted
 
 
-def _drop_partitions(spark: SparkSession, path: str, dates) -> None:
-    if not dates:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in dates:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/event_date={d}")
-        p.getFileSystem(conf).delete(p, True)
+def _path(spark: SparkSession, path: str):
+    """(file system, path) for any store that Hadoop knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _drop_partitions(spark: SparkSession, path: str, parts: list[str]) -> None:
+    for x in parts:
+        fs, p = _path(spark, f"{path.rstrip('/')}/{x}")
+        fs.delete(p, True)
 
 
 def write_reports(reports: DataFrame, path: str, spark: SparkSession) -> DataFrame:
-    """IO6: upsert report rows keyed by report_id into a Parquet table."""
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first write: no table yet
-        existing = None
-    merged = reports if existing is None else L.upsert_reports(existing, reports)
-    merged = merged.checkpoint()   # the overwrite below replaces the input files
-    merged.write.mode("overwrite").parquet(path)
+    """IO6: upsert report rows keyed by report_id into a Parquet table. The new
+    state is written beside the table and takes its place when it is whole; a
+    run that ends in between is completed by the next one. Read errors other
+    than a table that does not exist are raised."""
+    fs, table = _path(spark, path)
+    _, following = _path(spark, f"{path.rstrip('/')}.next")
+    _, whole = _path(spark, f"{path.rstrip('/')}.next/_SUCCESS")
+    if not fs.exists(table) and fs.exists(whole):
+        fs.rename(following, table)
+    merged = L.upsert_reports(spark.read.parquet(path), reports) if fs.exists(table) else reports
+    merged.write.mode("overwrite").parquet(f"{path.rstrip('/')}.next")
+    fs.delete(table, True)
+    if not fs.rename(following, table):
+        raise OSError(f"{path}.next could not take the place of {path}")
     return spark.read.parquet(path)
 
 
