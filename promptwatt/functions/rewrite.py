@@ -11,6 +11,7 @@ depend on the JDK's ``\\b`` semantics. Phrase folds are gated by cheap
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -43,11 +44,16 @@ def capitalize_first(c: Column) -> Column:
 
 def _rule_fold(start: Column, rules, gate_on=None) -> Column:
     """Apply ordered (gate literal, regex, replacement) rules in one
-    ``aggregate`` over a literal rule array. A rule's regex runs only when its
-    gate literal occurs in the current text (``gate_on(acc)``, default the
-    text itself), so unaffected rows cost one substring scan per rule."""
-    arr = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r"))
-                    for g, p, r in rules])
+    ``aggregate`` over a rule array, which is one literal after constant
+    folding. A rule's regex runs only when its gate literal occurs in the
+    current text (``gate_on(acc)``, default the text itself), so unaffected
+    rows cost one substring scan per rule. Leading rules without a gate are
+    plain replacements with literal patterns."""
+    rules = list(rules)
+    while rules and not rules[0][0]:
+        start = F.regexp_replace(start, rules[0][1], rules[0][2])
+        rules.pop(0)
+    arr = F.from_json(F.lit(json.dumps([dict(zip("gpr", r)) for r in rules])), "array<struct<g:string,p:string,r:string>>")
     gate = gate_on or (lambda acc: acc)
     return F.aggregate(arr, start, lambda acc, rule: F.when(
         gate(acc).contains(rule["g"]), F.regexp_replace(acc, rule["p"], rule["r"])).otherwise(acc))
@@ -79,10 +85,10 @@ def remove_fillers(df: DataFrame, src: str, dst: str) -> DataFrame:
 # R3 -------------------------------------------------------------------------
 def remove_redundancy(df: DataFrame, src: str, dst: str) -> DataFrame:
     """R5 duplicate removal, then the 15 redundant pairs (case-insensitive)."""
-    d = _tmp(dst, "dd")
-    df = dedup_content(df, src, d)
-    df = df.withColumn(dst, _rule_fold(F.col(d), REDUNDANT_RULES, gate_on=F.lower))
-    return _drop_tmp(df, dst)
+    d, low = _tmp(dst, "dd"), _tmp(dst, "low")
+    df = dedup_content(df, src, d).withColumn(low, F.lower(F.col(d)))
+    gate = lambda acc: F.when(acc == F.col(d), F.col(low)).otherwise(F.lower(acc))  # noqa: E731  lowered anew only once changed
+    return _drop_tmp(df.withColumn(dst, _rule_fold(F.col(d), REDUNDANT_RULES, gate_on=gate)), dst)
 
 
 # R4 -------------------------------------------------------------------------
@@ -102,11 +108,11 @@ def _norm_sentence(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(s), r"[^\p{L}\p{N}_\s]", ""))
 
 
-def dedup_content(df: DataFrame, src: str, dst: str) -> DataFrame:
+def dedup_content(df: DataFrame, src: str, dst: str, min_prefix: int = 50, max_prefix: int = 499) -> DataFrame:
     """Remove copy-pasted content. Texts under 20 characters are untouched.
     On the whitespace-normalised text: (a) if at least 80 % of the
     '.'-separated parts equal the first one, keep it; (b) else the shortest
-    prefix (50…499 chars) whose non-overlapping repeats cover 70 % of the
+    prefix (``min_prefix`` to ``max_prefix`` characters) whose non-overlapping repeats cover 70 % of the
     text, cut after its last '.' beyond position 20. A result under 60 % of the
     length wins. Otherwise drop repeated sentences (compared lower-cased
     without punctuation, first kept) and join with '. ' + final '.' — only if
@@ -122,13 +128,13 @@ def dedup_content(df: DataFrame, src: str, dst: str) -> DataFrame:
     same = F.size(F.filter(F.col(pn), lambda p: p == F.element_at(F.col(pn), 1)))
     pat_a = F.when((ln >= 100) & (F.size(parts) >= 2) & (same >= F.size(parts) * 0.8),
                    F.concat(F.element_at(F.col(parts), 1), F.lit(".")))
-    # (b): first prefix length L in [50, min(n // 2, 499)] with count >= 2 and
-    # count * L / n >= 0.7; only rows whose 50-char prefix recurs can qualify,
+    # (b): first prefix length L in [min_prefix, min(n // 2, max_prefix)] with count >= 2 and
+    # count * L / n >= 0.7; only rows whose shortest prefix recurs can qualify,
     # and the aggregate stops doing work once L is found.
-    hi = F.least(F.floor(ln / 2), F.lit(499)).cast("int")
-    pre = F.expr(f"locate(substring(`{nm}`, 1, 50), `{nm}`, 51) > 0")
+    hi = F.least(F.floor(ln / 2), F.lit(max_prefix)).cast("int")
+    pre = F.expr(f"locate(substring(`{nm}`, 1, {min_prefix}), `{nm}`, {min_prefix + 1}) > 0")
     found = F.aggregate(
-        F.sequence(F.lit(50), hi), F.lit(0),
+        F.when(hi >= min_prefix, F.sequence(F.lit(min_prefix), hi)).otherwise(F.array().cast("array<int>")), F.lit(0),
         lambda acc, L: F.when(acc > 0, acc).otherwise(
             F.when(_covers(n, ln, L), L).otherwise(F.lit(0))))
     Lname = _tmp(dst, "L")
@@ -146,11 +152,13 @@ def dedup_content(df: DataFrame, src: str, dst: str) -> DataFrame:
     sents, norms = _tmp(dst, "s"), _tmp(dst, "sn")
     df = df.withColumn(sents, T.sentences(n, normalized=True))
     df = df.withColumn(norms, F.transform(sents, _norm_sentence))
-    kept = F.filter(F.arrays_zip(F.col(sents).alias("s"), F.col(norms).alias("k")),
-                    lambda z, i: (z["k"] != F.lit("")) & (F.array_position(F.col(norms), z["k"]) == i + 1))
-    df = df.withColumn(_tmp(dst, "kept"), kept)
+    # first of equal sentences: sorted by (norm, place), a sentence is first where its norm begins
+    order = _tmp(dst, "so")
+    df = df.withColumn(order, F.array_sort(F.transform(F.col(norms), lambda k, i: F.struct(k.alias("k"), i.alias("i")))))
+    firsts = F.filter(F.col(order), lambda z, i: (z["k"] != F.lit("")) & ((i == 0) | (F.get(F.col(order), i - 1)["k"] != z["k"])))
+    df = df.withColumn(_tmp(dst, "kept"), F.array_sort(F.transform(firsts, lambda z: z["i"])))
     kc = F.col(_tmp(dst, "kept"))
-    joined = F.array_join(F.transform(kc, lambda z: F.trim(z["s"])), ". ")
+    joined = F.array_join(F.transform(kc, lambda i: F.trim(F.get(F.col(sents), i))), ". ")
     joined = F.when(joined.endswith("."), joined).otherwise(F.concat(joined, F.lit(".")))
     sent_dedup = F.when((F.size(sents) > 1) & (F.size(kc) < F.size(sents)), joined)
     short = t.isNull() | (F.length(t) < 20)

@@ -1,9 +1,9 @@
 """Ranking rewrites by predicted savings.
 
 Candidates (t5, simplify, compress, truncate, combined) are columns of the
-prompt's row; each is scored with the same features → complexity → energy
-operators, kept/ranked inside the row's array, and only then exploded —
-the whole optimizer is a chain of projections with no shuffle.
+prompt's row; prompt and candidates become rows that pass one features →
+complexity → energy chain, and one shuffle by row brings them together again,
+where they are kept and ranked inside an array.
 """
 
 from __future__ import annotations
@@ -76,31 +76,37 @@ def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
     """O1–O5 for strategy "auto": one row per prompt with the best rewrite,
     its metrics and the ranked alternatives (array of structs, top-k)."""
     d = candidate_texts(df.select(id_col, text_col), text_col, min_similarity=min_similarity,
-                        revert=revert)
-    d = score_text(d, text_col, "_orig", energy_kwargs)
-    for s in CANDIDATES:
-        d = score_text(d, f"_cand_{s}", f"_c_{s}", energy_kwargs)
+                        revert=revert).withColumnRenamed(text_col, "_t").withColumn("_row", F.monotonically_increasing_id())
+    # one scoring chain over a row for each text; the prompt itself comes first
+    texts = F.array(F.col("_t"), *[F.col(f"_cand_{s}") for s in CANDIDATES])
+    x = score_text(d.select("_row", id_col, "_t", F.posexplode(texts).alias("_k", "_x")), "_x", "_s", energy_kwargs)
+    x = x.withColumn("_sim", F.when(F.col("_k") > 0, R.jaccard(F.col("_t"), F.col("_x"))))
+    same = F.trim(R._strip_ws(F.col("_x"))) == F.trim(R._strip_ws(F.col("_t")))
+    x = x.select("_row", id_col, F.struct("_k", "_x", F.col("_s_energy").alias("e"), F.col("_s_cx").alias("cx"), F.col("_sim").alias("sim"), same.alias("same")).alias("_c"))
+    x = x.groupBy("_row").agg(F.first(id_col).alias(id_col), F.array_sort(F.collect_list("_c")).alias("_cs"))
+    at = lambda k: F.get("_cs", F.lit(k))
+    d = x.select(id_col, "_cs", at(0)["_x"].alias(text_col), at(0)["e"].alias("_orig_energy"), at(0)["cx"].alias("_orig_cx"))
     t = F.col(text_col)
     oe, ocx = F.col("_orig_energy"), F.col("_orig_cx")
-    structs = []
-    for i, s in enumerate(CANDIDATES):
-        txt, e, cx = F.col(f"_cand_{s}"), F.col(f"_c_{s}_energy"), F.col(f"_c_{s}_cx")
-        sim = R.jaccard(t, txt)
+    names = F.array(*[F.lit(s) for s in CANDIDATES])
+
+    def one(c: Column) -> Column:
+        txt, e, cx, sim = c["_x"], c["e"], c["cx"], c["sim"]
         red = F.when(oe > 0, (oe - e) / oe * 100).otherwise(F.lit(0.0))
         cred = F.when(ocx > 0, (ocx - cx) / ocx * 100).otherwise(F.lit(0.0))
         score = F.when(red > 0, F.lit(0.50) * (red / 50) + F.lit(0.25) * sim
                        + F.lit(0.15) * F.greatest(F.lit(0.0), cred / 50)
                        + F.lit(0.10) * F.greatest(F.lit(0.0), 1 - F.length(txt) / F.length(t))
                        ).otherwise(F.lit(0.1) * sim)
-        keep = (F.trim(R._strip_ws(txt)) != F.trim(R._strip_ws(t))) & (sim >= min_similarity)
-        structs.append(F.struct(
-            F.lit(i).alias("strategy_rank"), F.lit(s).alias("strategy"), txt.alias("prompt"),
+        return F.struct(
+            (c["_k"] - 1).alias("strategy_rank"), F.get(names, c["_k"] - 1).alias("strategy"), txt.alias("prompt"),
             T.round_half(sim, 4).alias("similarity"), T.round_half(e, 2).alias("energy_joules"),
             T.round_half(red, 2).alias("energy_reduction_percent"),
             T.round_half(cred, 2).alias("complexity_reduction_percent"),
             T.round_half(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4).alias("optimization_score"),
-            keep.alias("_keep"), e.alias("_e"), cx.alias("_cx"), sim.alias("_sim")))
-    d = d.withColumn("_all", F.array(*structs))
+            (~c["same"] & (sim >= min_similarity)).alias("_keep"), e.alias("_e"), cx.alias("_cx"), sim.alias("_sim"))
+
+    d = d.withColumn("_all", F.transform(F.slice("_cs", 2, len(CANDIDATES)), one))
     kept = F.filter("_all", lambda a: a["_keep"])
     ranked = F.array_sort(kept, lambda a, b: F.when(a["optimization_score"] > b["optimization_score"], -1)
                           .when(a["optimization_score"] < b["optimization_score"], 1)
