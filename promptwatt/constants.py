@@ -423,3 +423,11 @@ MAPE_BANDS = (
     (40.0, "[OK] Acceptable prediction accuracy (MAPE 20-40%)"),
 )
 MAPE_REST = "[!] High absolute error - expected for synthetic vs real comparison\n    Focus on correlation for relative rankings"
+
+# Steps that the optimizer records.
+SIMPLIFY_STEPS = ("T5-based text simplification", "Rule-based optimization")
+STRATEGY_STEPS = {
+    "compress": ("Compressed sentence structure", "Removed parenthetical expressions"),
+    "truncate": ("Truncated to essential content", "Focused on key sentences"),
+    "paraphrase": ("Generated alternative phrasing", "Selected most efficient version"),
+}

@@ -298,6 +298,20 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(A, B)) / union).otherwise(F.lit(0.0))
 
 
+def best_paraphrase(text: Column, alternatives: Column, min_similarity: float, similarity=jaccard) -> Column:
+    """Of an array of paraphrases the one with the highest mean of token
+    reduction and similarity, among those with fewer tokens than the text and a
+    similarity of at least max(0.55, min_similarity - 0.15); null if there is
+    none, or if the first one is the text itself."""
+    tokens, limit = T.ws_word_count(text), max(0.55, min_similarity - 0.15)
+    scored = F.transform(alternatives, lambda a: F.struct(T.ws_word_count(a).alias("n"), similarity(text, a).alias("s"), a.alias("a")))
+    fit = F.filter(scored, lambda z: (z["s"] >= limit) & (z["n"] < tokens))
+    best = F.aggregate(fit, F.struct(F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("a")), lambda acc, z: F.when(
+        0.5 * (tokens - z["n"]) / tokens + 0.5 * z["s"] > acc["score"],
+        F.struct((0.5 * (tokens - z["n"]) / tokens + 0.5 * z["s"]).alias("score"), z["a"].alias("a"))).otherwise(acc), lambda acc: acc["a"])
+    return F.when(F.coalesce(F.get(alternatives, F.lit(0)) != text, F.lit(False)), best)
+
+
 def cosine(a: Column, b: Column) -> Column:
     """M2: cosine of two float arrays; 0 when a norm is 0."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)

@@ -52,6 +52,13 @@ def collapse_ws(c: str | Column) -> Column:
     return F.trim(F.regexp_replace(norm_ws(col(c).cast("string")), r"\s+", " "))
 
 
+def clean_prompt(c: str | Column, min_chars: int = 6) -> Column:
+    """White space collapsed and trimmed; null if fewer than ``min_chars``
+    characters remain (a null text counts as too short)."""
+    x = F.trim(collapse_ws(c))
+    return F.when(F.length(x) >= min_chars, x)
+
+
 def word_tokens(c: str | Column) -> Column:
     """Lower-cased, fully alphanumeric word tokens (array<string>)."""
     spaced = F.regexp_replace(F.lower(col(c)), r"[^\p{L}\p{N}\-]+", " ")

@@ -148,11 +148,10 @@ def transparency_report(log: DataFrame, start: dt.datetime, end: dt.datetime, *,
         F.when(tp > 0, 100).otherwise(0).alias("data_completeness_percent"))
 
 
-def report_json(report: DataFrame) -> DataFrame:
-    """IO8: nested report document (period, summary, distribution, impact,
-    optimization, anomalies, compliance) as one JSON string per row."""
+def report_document() -> Column:
+    """The nested document of a report row (IO8)."""
     c = F.col
-    doc = F.struct(
+    return F.struct(
         c("report_id"), c("generated_at"),
         F.struct(c("period_start").alias("start"), c("period_end").alias("end"),
                  c("duration_days")).alias("period"),
@@ -173,10 +172,15 @@ def report_json(report: DataFrame) -> DataFrame:
         F.struct(c("compliance_standard").alias("standard"), c("deadline"),
                  c("days_until_deadline"), c("compliance_status").alias("status"),
                  c("data_completeness_percent")).alias("compliance"))
+
+
+def report_json(report: DataFrame) -> DataFrame:
+    """IO8: nested report document (period, summary, distribution, impact,
+    optimization, anomalies, compliance) as one JSON string per row."""
     return report.select("report_id", "generated_at", "period_start", "period_end",
                          "total_energy_kwh", "total_carbon_kg", "total_water_liters",
                          "total_prompts", "anomaly_count", "optimization_count",
-                         F.to_json(doc).alias("report_data"), "compliance_status")
+                         F.to_json(report_document()).alias("report_data"), "compliance_status")
 
 
 def daily_reports(log: DataFrame, *, as_of: dt.datetime) -> DataFrame:
@@ -214,6 +218,13 @@ def latest_reports(reports: DataFrame, limit: int = 10) -> DataFrame:
     return reports.orderBy(F.col("generated_at").desc(), F.col("report_id").desc()).limit(limit)
 
 
+def decode_reports(stored: DataFrame, like: DataFrame) -> DataFrame:
+    """``full_report`` parsed from the stored documents, with the types that
+    ``like`` (report rows as L5 makes them) gives them; null if not readable."""
+    kind = like.select(report_document().alias("d")).schema["d"].dataType
+    return stored.withColumn("full_report", F.from_json("report_data", kind))
+
+
 def hourly_breakdown(log: DataFrame, day: dt.date) -> DataFrame:
     """One day (half-open), count / sum / avg by hour 'HH'."""
     start = dt.datetime.combine(day, dt.time())

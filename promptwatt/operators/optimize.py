@@ -39,9 +39,14 @@ def score_text(df: DataFrame, col: str, prefix: str, energy_kwargs: dict | None
     return x.withColumnsRenamed({k: v for k, v in ren.items() if k in x.columns})
 
 
+def _percent(c: Column) -> Column:
+    return T.round_half(c, 0).cast("long").cast("string")
+
+
 def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
-                    revert: bool = False) -> DataFrame:
-    """O1/O2: the five candidate texts as columns ``_cand_{strategy}``.
+                    revert: bool = False, paraphraser=None, similarity=R.jaccard) -> DataFrame:
+    """O1/O2: the five candidate texts as columns ``_cand_{strategy}``, and the
+    steps of the simplify and combined strategies.
 
     The simplifier runs with threshold max(0.55, min − 0.10). Combined =
     simplify → truncate → paraphrase, stopping once similarity to the prompt
@@ -51,14 +56,22 @@ def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
     t = F.col(text_col)
     # t5 / simplify(auto) / compress / truncate share one dedup + one
     # aggressive chain per prompt.
-    d = _strategy_columns(df, text_col, {"t5", "auto", "compress", "truncate"}, "_o0", thr)
+    d = _strategy_columns(df, text_col, {"t5", "auto", "compress", "truncate"}, "_o0", thr, paraphraser, similarity)
     for s in ("t5", "auto", "compress", "truncate"):
         d = d.withColumn(f"_o0_cand_{s}", R._strip_ws(F.col(f"_o0_out_{s}")))
     # combined: rounds 2 and 3 run on the previous round's output
-    d = simplify(d, "_o0_cand_auto", "truncate", min_similarity=thr, prefix="_o5_")
-    d = simplify(d, "_o5_simplified", "t5", min_similarity=thr, prefix="_o6_")
+    hooks = dict(min_similarity=thr, paraphraser=paraphraser, similarity=similarity)
+    d = simplify(d, "_o0_cand_auto", "truncate", prefix="_o5_", **hooks)
+    d = simplify(d, "_o5_simplified", "t5", prefix="_o6_", **hooks)
     c1, c2, c3 = F.col("_o0_cand_auto"), F.col("_o5_simplified"), F.col("_o6_simplified")
-    s1, s2 = R.jaccard(t, c1), R.jaccard(t, c2)
+    s1, s2 = similarity(t, c1), similarity(t, c2)
+    tokens, lab = T.ws_word_count(t), F.col("_o0_lab_auto")
+    reduction = F.when(tokens > 0, (tokens - T.ws_word_count(F.col("_o0_out_auto"))) / tokens * 100).otherwise(F.lit(0.0))
+    steps = F.array(F.concat(F.lit("Applied "), lab, F.lit(" strategy")),
+                    F.when(lab.contains("t5"), F.lit(K.SIMPLIFY_STEPS[0])).otherwise(F.lit(K.SIMPLIFY_STEPS[1])),
+                    F.concat(F.lit("Achieved "), _percent(T.round_half(reduction, 2)), F.lit("% token reduction")))
+    more = lambda ok, name: F.when(ok, F.array(*[F.lit(x) for x in K.STRATEGY_STEPS[name]])).otherwise(F.array().cast("array<string>"))
+    all_steps = F.concat(steps, more(s1 >= min_similarity, "truncate"), more((s1 >= min_similarity) & (s2 >= min_similarity), "paraphrase"))
     if revert:
         combined = F.when(s1 < min_similarity, t).when(s2 < min_similarity, c1).otherwise(c3)
     else:
@@ -66,26 +79,32 @@ def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
     d = d.select(*[c for c in d.columns if not c.startswith("_o")],
                  F.col("_o0_cand_t5").alias("_cand_t5"), c1.alias("_cand_simplify"),
                  F.col("_o0_cand_compress").alias("_cand_compress"),
-                 F.col("_o0_cand_truncate").alias("_cand_truncate"), combined.alias("_cand_combined"))
+                 F.col("_o0_cand_truncate").alias("_cand_truncate"), combined.alias("_cand_combined"), steps.alias("_steps_simplify"), all_steps.alias("_steps_combined"))
     return d
 
 
 def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
-             min_similarity: float = K.OPTIMIZER_MIN_SIMILARITY, max_alternatives: int = 5,
-             energy_kwargs: dict | None = None, revert: bool = False) -> DataFrame:
-    """O1–O5 for strategy "auto": one row per prompt with the best rewrite,
-    its metrics and the ranked alternatives (array of structs, top-k)."""
+             strategy: str = "auto", min_similarity: float = K.OPTIMIZER_MIN_SIMILARITY,
+             max_alternatives: int | None = None, energy_kwargs: dict | None = None, revert: bool = False,
+             paraphraser=None, similarity=R.jaccard) -> DataFrame:
+    """One row per prompt with the chosen rewrite, its metrics, the steps
+    taken and the ranked alternatives (array of structs, top-k).
+
+    "auto" takes the best alternative, or the combined text if none is kept;
+    simplify, compress, truncate and paraphrase take that text, any other name
+    the combined one. Five alternatives are listed for "auto", else three."""
+    max_alternatives = max_alternatives or (5 if strategy == "auto" else 3)
     d = candidate_texts(df.select(id_col, text_col), text_col, min_similarity=min_similarity,
-                        revert=revert).withColumnRenamed(text_col, "_t").withColumn("_row", F.monotonically_increasing_id())
+                        revert=revert, paraphraser=paraphraser, similarity=similarity).withColumnRenamed(text_col, "_t").withColumn("_row", F.monotonically_increasing_id())
     # one scoring chain over a row for each text; the prompt itself comes first
     texts = F.array(F.col("_t"), *[F.col(f"_cand_{s}") for s in CANDIDATES])
-    x = score_text(d.select("_row", id_col, "_t", F.posexplode(texts).alias("_k", "_x")), "_x", "_s", energy_kwargs)
-    x = x.withColumn("_sim", F.when(F.col("_k") > 0, R.jaccard(F.col("_t"), F.col("_x"))))
+    x = score_text(d.select("_row", id_col, "_t", "_steps_simplify", "_steps_combined", F.posexplode(texts).alias("_k", "_x")), "_x", "_s", energy_kwargs)
+    x = x.withColumn("_sim", F.when(F.col("_k") > 0, similarity(F.col("_t"), F.col("_x"))))
     same = F.trim(R._strip_ws(F.col("_x"))) == F.trim(R._strip_ws(F.col("_t")))
-    x = x.select("_row", id_col, F.struct("_k", "_x", F.col("_s_energy").alias("e"), F.col("_s_cx").alias("cx"), F.col("_sim").alias("sim"), same.alias("same")).alias("_c"))
-    x = x.groupBy("_row").agg(F.first(id_col).alias(id_col), F.array_sort(F.collect_list("_c")).alias("_cs"))
+    x = x.select("_row", id_col, "_steps_simplify", "_steps_combined", F.struct("_k", "_x", F.col("_s_energy").alias("e"), F.col("_s_cx").alias("cx"), F.col("_sim").alias("sim"), same.alias("same")).alias("_c"))
+    x = x.groupBy("_row").agg(*[F.first(c).alias(c) for c in (id_col, "_steps_simplify", "_steps_combined")], F.array_sort(F.collect_list("_c")).alias("_cs"))
     at = lambda k: F.get("_cs", F.lit(k))
-    d = x.select(id_col, "_cs", at(0)["_x"].alias(text_col), at(0)["e"].alias("_orig_energy"), at(0)["cx"].alias("_orig_cx"))
+    d = x.select(id_col, "_steps_simplify", "_steps_combined", "_cs", at(0)["_x"].alias(text_col), at(0)["e"].alias("_orig_energy"), at(0)["cx"].alias("_orig_cx"))
     t = F.col(text_col)
     oe, ocx = F.col("_orig_energy"), F.col("_orig_cx")
     names = F.array(*[F.lit(s) for s in CANDIDATES])
@@ -112,9 +131,18 @@ def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
                           .when(a["optimization_score"] < b["optimization_score"], 1)
                           .otherwise(a["strategy_rank"] - b["strategy_rank"]))
     d = d.withColumn("_ranked", F.slice(ranked, 1, max_alternatives))
-    best = F.when(F.size("_ranked") > 0, F.element_at("_ranked", 1)).otherwise(
-        F.element_at("_all", len(CANDIDATES)))   # fallback: combined
-    d = d.withColumn("_best", best)
+    at_named = {"simplify": "simplify", "compress": "compress", "truncate": "truncate", "paraphrase": "t5"}.get(strategy, "combined")
+    named = F.element_at("_all", CANDIDATES.index(at_named) + 1)
+    steps = {"simplify": F.col("_steps_simplify"), "combined": F.col("_steps_combined")}.get(
+        at_named, F.array(*[F.lit(x) for x in K.STRATEGY_STEPS.get(strategy, ())]))
+    used = F.lit(strategy)
+    best = named
+    if strategy == "auto":
+        any_kept = F.size("_ranked") > 0
+        best = F.when(any_kept, F.element_at("_ranked", 1)).otherwise(named)
+        used = F.when(any_kept, F.get("_ranked", F.lit(0))["strategy"]).otherwise(F.lit("combined"))
+        steps = F.when(any_kept, F.array(F.concat(F.lit("Applied "), used, F.lit(" strategy")))).otherwise(steps)
+    d = d.withColumn("_best", best).withColumn("_used", used).withColumn("optimization_steps", steps)
     b = F.col("_best")
     saved = oe - b["_e"]
     red = F.when(oe > 0, saved / oe * 100).otherwise(F.lit(0.0))
@@ -132,7 +160,7 @@ def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
         T.round_half(F.greatest(F.lit(0.0), red), 2).alias("energy_reduction_percent"),
         T.round_half(b["_sim"], 4).alias("semantic_similarity"),
         T.round_half(F.greatest(F.lit(0.0), cred), 2).alias("complexity_reduction"),
-        F.when(F.size("_ranked") > 0, b["strategy"]).otherwise(F.lit("combined")).alias("strategy_used"),
+        F.col("_used").alias("strategy_used"), "optimization_steps",
         F.transform("_ranked", lambda a: F.struct(*[a[f] for f in alt_fields])).alias("alternatives"),
         T.round_half(F.greatest(F.lit(0.0), F.least(F.lit(1.0), overall)), 4).alias("optimization_score"))
 

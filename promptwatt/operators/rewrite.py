@@ -26,7 +26,7 @@ ALL_STRATEGIES = ("t5", "paraphrase", "auto", "aggressive", "verbose", "filler",
 
 
 def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similarity: float,
-                      paraphraser=None) -> DataFrame:
+                      paraphraser=None, similarity=R.jaccard) -> DataFrame:
     """Compute, once per row, the rewritten text of every strategy in
     ``needed`` as column ``{p}_out_{strategy}`` plus its label column
     ``{p}_lab_{strategy}``; stages no strategy needs are not built."""
@@ -44,7 +44,10 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
 
     if needed & {"t5", "paraphrase", "aggressive", "auto"}:
         df = R.aggressive(df, base, f"{p}_agg")
-        neural = paraphraser(b) if paraphraser is not None else F.col(f"{p}_agg")
+        neural = F.col(f"{p}_agg")
+        if paraphraser is not None:  # hook U3: text -> array of paraphrases
+            df = df.withColumn(f"{p}_par", paraphraser(b))
+            neural = F.coalesce(R.best_paraphrase(b, F.col(f"{p}_par"), min_similarity, similarity), neural)
         df = df.withColumn(f"{p}_neural", neural)
     outs: dict[str, tuple[Column, Column]] = {}
     if needed & {"t5", "paraphrase"}:
@@ -67,8 +70,8 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
             df, base, f"{p}_q1"), f"{p}_q1", f"{p}_q2"), f"{p}_q2", f"{p}_q3"), f"{p}_q3", f"{p}_rules")
         orig_tokens = T.ws_word_count(t)
         nt, rt = T.ws_word_count(F.col(f"{p}_neural")), T.ws_word_count(F.col(f"{p}_rr"))
-        rule_ok = (rt < nt) & (R.jaccard(b, F.col(f"{p}_rr")) >= min_similarity)
-        neural_ok = (R.jaccard(b, F.col(f"{p}_neural")) >= min_similarity) & (nt < orig_tokens)
+        rule_ok = (rt < nt) & (similarity(b, F.col(f"{p}_rr")) >= min_similarity)
+        neural_ok = (similarity(b, F.col(f"{p}_neural")) >= min_similarity) & (nt < orig_tokens)
         df = df.withColumn(f"{p}_ach", F.when(rule_ok, 1).when(neural_ok, 2).otherwise(3))
         ch = F.col(f"{p}_ach")
         outs["auto"] = (F.when(ch == 1, F.col(f"{p}_rr")).when(ch == 2, F.col(f"{p}_neural"))
@@ -79,33 +82,36 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
     return df
 
 
-def _metrics(text: Column, base: Column, out: Column, label: Column) -> list[Column]:
+def _metrics(text: Column, base: Column, out: Column, label: Column, similarity=R.jaccard) -> list[Column]:
     ot, nt = T.ws_word_count(text), T.ws_word_count(out)
     red = F.when(ot > 0, (ot - nt) / ot * 100).otherwise(F.lit(0.0))
     return [R._strip_ws(out), label, ot, nt, T.round_half(red, 2), T.round_half(red * 0.8, 2),
-            T.round_half(R.jaccard(base, out), 4)]
+            T.round_half(similarity(base, out), 4)]
 
 
 def simplify(df: DataFrame, text_col: str = "text", strategy: str = "auto", *,
              min_similarity: float = K.SIMPLIFIER_MIN_SIMILARITY, prefix: str = "",
-             paraphraser=None) -> DataFrame:
+             paraphraser=None, similarity=R.jaccard) -> DataFrame:
     """Add the R12/R13 columns (optionally name-prefixed) for one strategy:
     simplified, strategy_used, original/simplified token counts, token and
     estimated energy reduction (0.8 × tokens) in %, Jaccard similarity to the
-    (deduplicated) input. ``paraphraser``: hook U3, a Column function
-    text → text standing in for the neural model."""
+    (deduplicated) input. ``paraphraser``: hook U3, a Column function from a
+    text to an array of paraphrases, accepted by R.best_paraphrase, else the
+    aggressive chain. ``similarity``: hook U2, a Column function of two texts,
+    for instance a cosine of embeddings."""
     if strategy not in ALL_STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}")
     p = f"{prefix}_sx"
-    df = _strategy_columns(df, text_col, {strategy}, p, min_similarity, paraphraser)
+    df = _strategy_columns(df, text_col, {strategy}, p, min_similarity, paraphraser, similarity)
     vals = _metrics(F.col(text_col), F.col(f"{p}_base"), F.col(f"{p}_out_{strategy}"),
-                    F.col(f"{p}_lab_{strategy}"))
+                    F.col(f"{p}_lab_{strategy}"), similarity)
     keep = [c for c in df.columns if not c.startswith(p)]
     return df.select(*keep, *[v.alias(prefix + nm) for v, nm in zip(vals, OUT)])
 
 
 def alternatives(df: DataFrame, id_col: str, text_col: str = "text", *,
-                 min_similarity: float = K.SIMPLIFIER_MIN_SIMILARITY, paraphraser=None) -> DataFrame:
+                 min_similarity: float = K.SIMPLIFIER_MIN_SIMILARITY, paraphraser=None,
+                 similarity=R.jaccard) -> DataFrame:
     """Every strategy per prompt; keep results that differ from the text,
     are not a repeat of an earlier strategy's result and reach the similarity
     threshold; order by estimated energy reduction (ties keep strategy order).
@@ -115,11 +121,11 @@ def alternatives(df: DataFrame, id_col: str, text_col: str = "text", *,
     p = "_alt"
     strategies = K.SIMPLIFY_STRATEGIES
     df = _strategy_columns(df.select(id_col, text_col), text_col, set(strategies), p,
-                           min_similarity, paraphraser)
+                           min_similarity, paraphraser, similarity)
     t, base = F.col(text_col), F.col(f"{p}_base")
     structs = []
     for i, nm in enumerate(strategies):
-        vals = _metrics(t, base, F.col(f"{p}_out_{nm}"), F.col(f"{p}_lab_{nm}"))
+        vals = _metrics(t, base, F.col(f"{p}_out_{nm}"), F.col(f"{p}_lab_{nm}"), similarity)
         structs.append(F.struct(F.lit(i).alias("strategy_rank"),
                                 *[v.alias(o) for v, o in zip(vals, OUT)]))
     df = df.select(id_col, text_col, F.array(*structs).alias("_all"))
@@ -137,8 +143,8 @@ def alternatives(df: DataFrame, id_col: str, text_col: str = "text", *,
 
 def fill_template(templates: DataFrame, values: DataFrame, key: str = "category") -> DataFrame:
     """Fill ``{placeholder}`` templates from columns of ``values`` joined
-    on ``key`` (templates are a handful of rows: broadcast)."""
-    joined = values.join(F.broadcast(templates), key, "left")
+    on ``key``; Catalyst picks the join by the templates' size."""
+    joined = values.join(templates, key, "left")
     out = F.col("template")
     for ph in ("topic", "item1", "item2", "content", "items"):
         if ph in values.columns:

@@ -61,12 +61,3 @@ def session_stream(log_stream: DataFrame, *, user_col: str, gap: str = "6 hours"
                     "prompts", T.round_half(F.col("energy_kwh"), 6).alias("energy_kwh"),
                     "anomalies", "optimizations"))
 
-
-def run_to_memory(stream: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None):
-    """Drive a stream to completion over the files present now (test helper)."""
-    w = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    q = w.start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)

@@ -119,3 +119,34 @@ def test_batch_equals_single(spark, prompts):
     single = _rows(analyze(one, "text", keep_components=False))
     assert whole["complex"]["energy_joules"] == single["complex"]["energy_joules"]
     assert whole["complex"]["complexity_score"] == single["complex"]["complexity_score"]
+
+
+def test_paraphrases_are_accepted_by_rule(spark):
+    df = spark.createDataFrame([("please tell me about the big red cat today", ["tell me about the big red cat", "no match here", "please tell me about the big red cat today now"]),
+                                ("short text", ["short text"]), ("a b c d", [])], "t string, alts array<string>")
+    out = [r[0] for r in df.select(R.best_paraphrase(F.col("t"), F.col("alts"), 0.75)).collect()]
+    assert out == ["tell me about the big red cat", None, None]
+    hooked = simplify(df.limit(1).select("t"), "t", "t5", paraphraser=lambda b: F.array(F.lit("tell me about the big red cat"))).first()
+    assert hooked.simplified == "tell me about the big red cat"
+    never = simplify(df.limit(1).select("t"), "t", "t5", paraphraser=lambda b: F.array(F.lit("x y"))).first()
+    assert never.simplified != "x y"
+
+
+def test_similarity_hook_replaces_word_overlap(spark, prompts):
+    same = lambda a, b: F.lit(1.0)
+    assert all(r.semantic_similarity == 1.0 for r in simplify(prompts, "text", "verbose", similarity=same).collect())
+
+
+def test_named_strategies_and_steps(spark):
+    from promptwatt.operators.optimize import optimize
+    df = spark.createDataFrame([(1, "In order to (really) explain this, we basically need it. Thanks. What is it?")], "id long, text string")
+    r = optimize(df, "id", strategy="compress").first()
+    assert r.strategy_used == "compress" and "(" not in r.optimized_prompt and r.optimization_steps[0] == "Compressed sentence structure" and len(r.alternatives) <= 3
+    auto = optimize(df, "id").first()
+    assert auto.optimization_steps[0].startswith("Applied ")
+
+
+def test_clean_prompt_length_rule(spark):
+    from promptwatt.functions.text import clean_prompt
+    df = spark.createDataFrame([("  a   b c ",), ("a  bc d",), ("abcdef",), ("abcde",), (None,)], "t string")
+    assert [r[0] for r in df.select(clean_prompt("t")).collect()] == [None, "a bc d", "abcdef", None, None]
