@@ -35,13 +35,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
         joined = rows.join(stats, same)
     else:
         joined = rows.crossJoin(F.broadcast(stats))
-    each = joined.select(*keys, "_v", F.explode("_s").alias("s")).filter(F.col("_v") <= F.col("s.b"))
-    inside = F.when(F.col("_v") >= F.col("s.a"), F.col("_v"))  # null stands for all below the bracket
-    counts = each.groupBy(*keys, F.col("s.k").alias("k"), F.col("s.at").alias("at"), inside.alias("_v")).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*keys, "k").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("upto", F.sum("c").over(w)).filter("_v is not null")
-    low, high = F.floor("at"), F.ceil("at")
-    holds = lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("c") <= r)
-    found = ranked.groupBy(*keys, "k", "at").agg(F.max(F.when(holds(low), F.col("_v"))).alias("x"), F.max(F.when(holds(high), F.col("_v"))).alias("y"))
-    found = found.withColumn("q", F.col("x") + (F.col("at") - F.floor("at")) * (F.col("y") - F.col("x")))
-    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda s: s["q"]).alias("quantiles"))
+    each = joined.select(*keys, "_v", F.explode("_s").alias("_e")).filter(F.col("_v") <= F.col("_e.b"))
+    inside = F.when(F.col("_v") >= F.col("_e.a"), F.col("_v"))  # null stands for all below the bracket
+    counts = each.groupBy(*keys, F.col("_e.k").alias("_k"), F.col("_e.at").alias("_at"), inside.alias("_v")).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*keys, "_k").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_upto", F.sum("_c").over(w)).filter("_v is not null")
+    low, high = F.floor("_at"), F.ceil("_at")
+    holds = lambda r: (F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)
+    found = ranked.groupBy(*keys, "_k", "_at").agg(F.max(F.when(holds(low), F.col("_v"))).alias("_x"), F.max(F.when(holds(high), F.col("_v"))).alias("_y"))
+    found = found.withColumn("_q", F.col("_x") + (F.col("_at") - F.floor("_at")) * (F.col("_y") - F.col("_x")))
+    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_q"))), lambda s: s["_q"]).alias("quantiles"))
