@@ -169,7 +169,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, sequenc
             writer.close()
             yield pa.record_batch({"shard": [shard], "n_tokens": [writer.n], "n_docs": [writer.docs]})
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return stored(rows.mapInArrow(run, "shard long, n_tokens long, n_docs long"), "token-manifest")
 
 
