@@ -7,6 +7,8 @@ question, so every third document gets a fixed lead-in and tail
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,24 +79,133 @@ def truncate_rewrite(spark, sf_dir):
     return R.truncate(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
 
 
-# R1 (no oracle: the fold needs lookaround word boundaries) ------------------
-@register("verbose_rewrite", None)
+# RE2 has no lookaround, so the neighbours of a phrase are groups,
+# and each replacement runs twice for phrases that share a neighbour. ------------
+_NB = r"[^\p{L}\p{N}_]"
+
+
+def _bounded_sql(x: str, pattern: str, rep: str) -> str:
+    one = lambda y: f"regexp_replace({y}, {S.s(f'(^|{_NB}){pattern}($|{_NB})')}, {S.s(chr(92) + '1' + rep + chr(92) + '2')}, 'g')"
+    return one(one(x))
+
+
+def _verbose_sql(x: str) -> str:
+    x = f"lower({x})"
+    for phrase, rep in K.VERBOSE_PHRASES:
+        x = _bounded_sql(x, re.escape(phrase).replace("\\ ", " ").replace("\\'", "'"), rep)
+    first = "CASE WHEN substr(p, 1, 1) = 'ß' THEN 'SS' ELSE upper(substr(p, 1, 1)) END"
+    return f"array_to_string(list_transform(string_split({x}, '. '), lambda p: {first} || substr(p, 2)), '. ')"
+
+
+@register("verbose_rewrite", S.with_ctes([("src", PROMPTS_SQL)], f"SELECT doc_id, {_verbose_sql('text')} AS simplified FROM src"))
 def verbose_rewrite(spark, sf_dir):
     return R.remove_verbose(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
 
 
-# R5 ------------------------------------------------------------------------
-@register("dedup_rewrite", None)
+def _polite_sql(x: str) -> str:
+    for p in K.POLITENESS_PATTERNS:
+        p = p.replace(r"\w", r"[\p{L}\p{N}_]")
+        inner = p.removeprefix(r"\b")
+        head = f"(^|{_NB})" if inner != p else ""
+        # a boundary after the phrase is a neighbour, or the tail that the pattern takes itself
+        inner = inner.replace(r"\b[,.]?\s*", rf"(?:[,.][{K.WS}]*|[{K.WS}]+|$)").replace(r"\b[^.]*[,.]?\s*", rf"(?:{_NB}[^.]*)?[,.]?[{K.WS}]*").replace(r"\b\s*", rf"(?:[{K.WS}]+|$)")
+        one = lambda y, h=head, i=inner: f"regexp_replace({y}, {S.s('(?i)' + h + i)}, {S.s(chr(92) + '1' if h else '')}, 'g')"
+        x = one(one(x)) if head else one(x)
+    return f"trim(regexp_replace({x}, '{_WSC}+', ' ', 'g'))"
+
+
+@register("polite_rewrite", S.with_ctes([("src", PROMPTS_SQL)], f"SELECT doc_id, {_polite_sql('text')} AS simplified FROM src"))
+def polite_rewrite(spark, sf_dir):
+    return R.remove_politeness(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
+
+
+_CORE = " OR ".join(["contains(z, '?')", *[f"contains(lower(z), {S.s(w)})" for w in K.ACTION_WORDS]])
+
+
+@register("core_question", S.with_ctes([("src", PROMPTS_SQL), ("s1", f"""SELECT doc_id, text,
+    list_transform({S.sentences('text')}, lambda z: {_strip_sql('z')}) AS s FROM src"""),
+    ("s2", f"SELECT *, list_filter(s, lambda z: {_CORE}) AS c FROM s1")],
+    "SELECT doc_id, CASE WHEN len(c) > 0 THEN array_to_string(c[1:2], ' ') WHEN len(s) > 0 THEN s[1] ELSE text END AS simplified FROM s2"))
+def core_question(spark, sf_dir):
+    return R.core_question(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
+
+
+# R5 / R6, R3, R10 -------------------------------------------------------------
+def _dedup_ctes(src: str, col: str, dst: str) -> list[tuple[str, str]]:
+    """CTEs that add ``dst``, the text of ``col`` without copied content; the
+    last one is named like dst."""
+    norm = lambda x: f"trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}_ ]', '', 'g'))"
+    return [
+        (f"{dst}1", f"SELECT *, {S.collapse_ws(col)} AS _n FROM {src}"),
+        (f"{dst}2", f"""SELECT *, length(_n) AS _ln, list_filter(list_transform(string_split(_n, '.'), lambda p: trim(p)), lambda p: p <> '') AS _parts,
+            {S.sentences('_n')} AS _s FROM {dst}1"""),
+        (f"{dst}3", f"SELECT *, list_transform(_parts, lambda p: {norm('p')}) AS _pn, list_transform(_s, lambda p: {norm('p')}) AS _sn FROM {dst}2"),
+        (f"{dst}4", f"""SELECT *, CASE WHEN _ln >= 100 AND len(_parts) >= 2 AND len(list_filter(_pn, lambda p: p = _pn[1])) >= len(_parts) * 0.8
+                THEN _parts[1] || '.' END AS _pa,
+            coalesce(CASE WHEN _ln >= 100 AND instr(substr(_n, 51), substr(_n, 1, 50)) > 0 THEN list_filter(range(50, least(_ln // 2, 499) + 1), lambda z:
+                (_ln - length(replace(_n, substr(_n, 1, z), ''))) // z >= 2
+                AND ((_ln - length(replace(_n, substr(_n, 1, z), ''))) // z) * z / _ln >= 0.7)[1] END, 0) AS _l,
+            list_filter(range(1, len(_s) + 1), lambda i: _sn[i] <> '' AND list_position(_sn, _sn[i]) = i) AS _k FROM {dst}3"""),
+        (f"{dst}5", f"""SELECT *, substr(_n, 1, _l) AS _p, array_to_string(list_transform(_k, lambda i: trim(_s[i])), '. ') AS _j FROM {dst}4"""),
+        (f"{dst}6", f"""SELECT *, coalesce(_pa, CASE WHEN _l > 0 THEN CASE WHEN contains(_p, '.') AND _l - instr(reverse(_p), '.') + 1 > 20
+                THEN trim(substr(_n, 1, _l - instr(reverse(_p), '.') + 1)) ELSE trim(_p) END END) AS _pat FROM {dst}5"""),
+        (dst, f"""SELECT * EXCLUDE (_n, _ln, _parts, _s, _pn, _sn, _pa, _l, _k, _p, _j, _pat), CASE WHEN {col} IS NULL OR length({col}) < 20 THEN {col}
+            WHEN _pat IS NOT NULL AND _pat <> '' AND length(_pat) < _ln * 0.6 THEN trim(_pat)
+            WHEN len(_s) > 1 AND len(_k) < len(_s) THEN CASE WHEN ends_with(_j, '.') THEN _j ELSE _j || '.' END ELSE {col} END AS {dst} FROM {dst}6"""),
+    ]
+
+
+def _redundant_sql(x: str) -> str:
+    for phrase, rep in K.REDUNDANT_PAIRS:
+        x = _bounded_sql(x, "(?i:" + re.escape(phrase).replace("\\ ", " ") + ")", rep)
+    return x
+
+
+def _filler_sql(x: str) -> str:
+    return (f"array_to_string(list_filter({S.ws_words(x)}, lambda w: NOT list_contains({S.str_list(K.FILLER_WORDS)}, "
+            f"trim(lower(w), {S.s(K.FILLER_STRIP)}))), ' ')")
+
+
+def _compress_sql(x: str) -> str:
+    return (f"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '\\([^)]*\\)', '', 'g'), "
+            f"',{_WSC}*which{_WSC}+[^,]+,', ',', 'g'), ',{_WSC}*who{_WSC}+[^,]+,', ',', 'g'), '{_WSC}+', ' ', 'g'))")
+
+
+def _core_sql(x: str, words: str) -> str:
+    sents = f"list_transform({S.sentences(x)}, lambda z: {_strip_sql('z')})"
+    core = f"list_filter({sents}, lambda z: {_CORE})"
+    return (f"CASE WHEN {words} <= 30 THEN {x} WHEN len({core}) > 0 THEN array_to_string(({core})[1:2], ' ') "
+            f"WHEN len({sents}) > 0 THEN ({sents})[1] ELSE {x} END")
+
+
+@register("dedup_rewrite", S.with_ctes([("src", PROMPTS_SQL), *_dedup_ctes("src", "text", "deduplicated")],
+                                       "SELECT doc_id, length(deduplicated) < length(text) AS shrunk, deduplicated FROM deduplicated"))
 def dedup_rewrite(spark, sf_dir):
     return (R.dedup_content(prompts(spark, sf_dir), "text", "deduplicated")
-            .select("doc_id", (F.length("deduplicated") < F.length("text")).alias("shrunk"),
-                    F.length("deduplicated").alias("chars")))
+            .select("doc_id", (F.length("deduplicated") < F.length("text")).alias("shrunk"), "deduplicated"))
+
+
+@register("redundancy_rewrite", S.with_ctes([("src", PROMPTS_SQL), *_dedup_ctes("src", "text", "dd")],
+                                            f"SELECT doc_id, {_redundant_sql('dd')} AS simplified FROM dd"))
+def redundancy_rewrite(spark, sf_dir):
+    return R.remove_redundancy(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
+
+
+@register("aggressive_rewrite", S.with_ctes([
+    ("src", PROMPTS_SQL), *_dedup_ctes("src", "text", "d1"), ("a1", f"SELECT doc_id, {_polite_sql('d1')} AS x1 FROM d1"),
+    ("a2", f"SELECT doc_id, {_verbose_sql('x1')} AS x2 FROM a1"), ("a3", f"SELECT doc_id, {_filler_sql('x2')} AS x3 FROM a2"),
+    *_dedup_ctes("a3", "x3", "d2"), ("a4", f"SELECT doc_id, {_redundant_sql('d2')} AS x4 FROM d2"),
+    ("a5", f"SELECT doc_id, {_compress_sql('x4')} AS x5 FROM a4"), ("a6", f"SELECT doc_id, {_core_sql('x5', S.ws_word_count('x5'))} AS x6 FROM a5"),
+    ("a7", f"SELECT doc_id, regexp_replace(trim(regexp_replace(x6, '{_WSC}+', ' ', 'g')), ' +([.,!?;:])', '\\1', 'g') AS x7 FROM a6")],
+    "SELECT doc_id, CASE WHEN substr(x7, 1, 1) = 'ß' THEN 'SS' ELSE upper(substr(x7, 1, 1)) END || substr(x7, 2) AS simplified FROM a7"))
+def aggressive_rewrite(spark, sf_dir):
+    return R.aggressive(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
 
 
 # O1–O5 -----------------------------------------------------------------------
 @register("optimize_best", None)
 def optimize_best(spark, sf_dir):
-    return O.optimize(prompts(spark, sf_dir), "doc_id").drop("original_prompt", "alternatives")
+    return O.optimize(prompts(spark, sf_dir), "doc_id").drop("original_prompt")
 
 
 @register("optimize_alternatives", None)
