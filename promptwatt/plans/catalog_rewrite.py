@@ -37,12 +37,6 @@ PROMPTS_SQL = (f"SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN {S.s(LEAD)} || tex
                f"ELSE text END AS text FROM documents")
 
 
-# R14 -----------------------------------------------------------------------
-@register("prompt_rewrites", None)
-def prompt_rewrites(spark, sf_dir):
-    return alternatives(prompts(spark, sf_dir), "doc_id")
-
-
 # R2 ------------------------------------------------------------------------
 @register("filler_removal", S.with_ctes([("src", PROMPTS_SQL)], f"""SELECT doc_id,
     array_to_string(list_filter({S.ws_words('text')},
@@ -191,17 +185,93 @@ def redundancy_rewrite(spark, sf_dir):
     return R.remove_redundancy(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
 
 
-@register("aggressive_rewrite", S.with_ctes([
-    ("src", PROMPTS_SQL), *_dedup_ctes("src", "text", "d1"), ("a1", f"SELECT doc_id, {_polite_sql('d1')} AS x1 FROM d1"),
-    ("a2", f"SELECT doc_id, {_verbose_sql('x1')} AS x2 FROM a1"), ("a3", f"SELECT doc_id, {_filler_sql('x2')} AS x3 FROM a2"),
-    *_dedup_ctes("a3", "x3", "d2"), ("a4", f"SELECT doc_id, {_redundant_sql('d2')} AS x4 FROM d2"),
-    ("a5", f"SELECT doc_id, {_compress_sql('x4')} AS x5 FROM a4"), ("a6", f"SELECT doc_id, {_core_sql('x5', S.ws_word_count('x5'))} AS x6 FROM a5"),
-    ("a7", f"SELECT doc_id, regexp_replace(trim(regexp_replace(x6, '{_WSC}+', ' ', 'g')), ' +([.,!?;:])', '\\1', 'g') AS x7 FROM a6")],
-    "SELECT doc_id, CASE WHEN substr(x7, 1, 1) = 'ß' THEN 'SS' ELSE upper(substr(x7, 1, 1)) END || substr(x7, 2) AS simplified FROM a7"))
+def _then(*steps: tuple[str, str, str]) -> list[tuple[str, str]]:
+    """CTEs (name, previous, SQL): each replaces the column named like the
+    previous CTE by one named like itself."""
+    return [(name, f"SELECT * EXCLUDE ({prev}), {sql} AS {name} FROM {prev}") for name, prev, sql in steps]
+
+
+def _aggressive_ctes(src: str, col: str, dst: str) -> list[tuple[str, str]]:
+    n = [f"{dst}_{k}" for k in range(8)]
+    tidy = f"regexp_replace(trim(regexp_replace({n[6]}, '{_WSC}+', ' ', 'g')), ' +([.,!?;:])', '\\1', 'g')"
+    upper = f"CASE WHEN substr({n[7]}, 1, 1) = 'ß' THEN 'SS' ELSE upper(substr({n[7]}, 1, 1)) END || substr({n[7]}, 2)"
+    return [*_dedup_ctes(src, col, n[0]), *_then((n[1], n[0], _polite_sql(n[0])), (n[2], n[1], _verbose_sql(n[1])), (n[3], n[2], _filler_sql(n[2]))),
+            *_dedup_ctes(n[3], n[3], n[4]), (f"{n[5]}", f"SELECT * EXCLUDE ({n[3]}, {n[4]}), {_compress_sql(_redundant_sql(n[4]))} AS {n[5]} FROM {n[4]}"),
+            *_then((n[6], n[5], _core_sql(n[5], S.ws_word_count(n[5]))), (n[7], n[6], tidy), (dst, n[7], upper))]
+
+
+@register("aggressive_rewrite", S.with_ctes([("src", PROMPTS_SQL), *_aggressive_ctes("src", "text", "simplified")], "SELECT doc_id, simplified FROM simplified"))
 def aggressive_rewrite(spark, sf_dir):
     return R.aggressive(prompts(spark, sf_dir), "text", "simplified").select("doc_id", "simplified")
 
 
+def _lower_words_sql(x: str) -> str:
+    return f"list_distinct({S.ws_words(f'lower({x})')})"
+
+
+# R12–R14 ---------------------------------------------------------------------
+def _jaccard_sql(a: str, b: str) -> str:
+    x, y = _lower_words_sql(a), _lower_words_sql(b)
+    return (f"(CASE WHEN len(list_distinct(list_concat({x}, {y}))) > 0 THEN len(list_intersect({x}, {y})) "
+            f"/ len(list_distinct(list_concat({x}, {y}))) ELSE {S.d(0.0)} END)")
+
+
+def _base_ctes(src: str, col: str, p: str) -> list[tuple[str, str]]:
+    """Adds {p}dup and {p}base: duplicate removal where it shrinks below 90 %."""
+    return [*_dedup_ctes(src, col, f"{p}dd"), (f"{p}base_", f"""SELECT * EXCLUDE ({p}dd), length({p}dd) < length({col}) * 0.9 AS {p}dup,
+        CASE WHEN length({p}dd) < length({col}) * 0.9 THEN {p}dd ELSE {col} END AS {p}base FROM {p}dd""")]
+
+
+def _truncate_sql(x: str) -> str:
+    z = S.sentences(x)
+    mid = f"({z})[(len({z}) // 2) + 1]"
+    return (f"(CASE WHEN len({z}) <= 3 THEN {x} ELSE {_strip_sql(f'({z})[1]')} || '. ' || {_strip_sql(mid)} || '. ' "
+            f"|| {_strip_sql(f'({z})[len({z})]')} || '.' END)")
+
+
+def _tag_sql(p: str, label: str) -> str:
+    return f"(CASE WHEN {p}dup THEN {S.s('deduplicate+' + label)} ELSE {S.s(label)} END)"
+
+
+def _auto_ctes(p: str, col: str, thr: float) -> list[tuple[str, str]]:
+    """After _base_ctes and {p}agg: adds {p}auto and its label {p}autolab."""
+    words = S.ws_word_count
+    return [(f"{p}r1", f"SELECT *, {_filler_sql(_verbose_sql(f'{p}agg'))} AS {p}rr, {_filler_sql(_verbose_sql(f'{p}base'))} AS {p}q2 FROM {p}agg"),
+            *_dedup_ctes(f"{p}r1", f"{p}q2", f"{p}q3"),
+            (f"{p}r2", f"SELECT * EXCLUDE ({p}q2, {p}q3), {_compress_sql(_redundant_sql(f'{p}q3'))} AS {p}rules FROM {p}q3"),
+            (f"{p}r3", f"""SELECT *, CASE WHEN {words(f'{p}rr')} < {words(f'{p}agg')} AND {_jaccard_sql(f'{p}base', f'{p}rr')} >= {S.d(thr)} THEN 1
+                WHEN {_jaccard_sql(f'{p}base', f'{p}agg')} >= {S.d(thr)} AND {words(f'{p}agg')} < {words(col)} THEN 2 ELSE 3 END AS {p}ch FROM {p}r2"""),
+            (f"{p}auto_", f"""SELECT * EXCLUDE ({p}ch, {p}rr, {p}rules), CASE {p}ch WHEN 1 THEN {p}rr WHEN 2 THEN {p}agg ELSE {p}rules END AS {p}auto,
+                CASE {p}ch WHEN 1 THEN {_tag_sql(p, 't5+rules')} WHEN 2 THEN {_tag_sql(p, 't5')} ELSE {_tag_sql(p, 'rules')} END AS {p}autolab FROM {p}r3""")]
+
+
+_OUTS = {"t5": ("s_agg", "'t5'"), "paraphrase": ("s_agg", "'t5'"), "auto": ("s_auto", "s_autolab"), "aggressive": ("s_agg", "'aggressive'"),
+         "verbose": (_verbose_sql("s_base"), _tag_sql("s_", "verbose")), "filler": (_filler_sql("s_base"), _tag_sql("s_", "filler")),
+         "compress": (_compress_sql("s_base"), _tag_sql("s_", "compress")), "truncate": (_truncate_sql("s_base"), _tag_sql("s_", "truncate"))}
+
+
+def _core_only_sql(x: str) -> str:
+    return _core_sql(x, "31")
+
+
+_OUTS["core"] = (_core_only_sql(_polite_sql("s_base")), "'core_extraction'")
+_THR = K.SIMPLIFIER_MIN_SIMILARITY
+_ALT_CTES = [("src", PROMPTS_SQL), *_base_ctes("src", "text", "s_"), *_aggressive_ctes("s_base_", "s_base", "s_agg"), *_auto_ctes("s_", "text", _THR),
+             ("outs", " UNION ALL ".join(f"SELECT doc_id, text, s_base, {k} AS strategy_rank, {_OUTS[n][0]} AS o, {_OUTS[n][1]} AS strategy_used FROM s_auto_"
+                                         for k, n in enumerate(K.SIMPLIFY_STRATEGIES))),
+             ("scored", f"""SELECT *, {_strip_sql('o')} AS simplified, {S.ws_word_count('text')} AS ot, {S.ws_word_count('o')} AS nt,
+                {S.round_half(_jaccard_sql('s_base', 'o'), 4)} AS semantic_similarity FROM outs"""),
+             ("reduced", f"SELECT *, CASE WHEN ot > 0 THEN (ot - nt) / ot * 100 ELSE {S.d(0.0)} END AS red FROM scored WHERE simplified <> text AND semantic_similarity >= {S.d(_THR)}"),
+             ("firsts", f"""SELECT *, {S.round_half('red', 2)} AS token_reduction_percent, {S.round_half(f'red * {S.d(0.8)}', 2)} AS estimated_energy_reduction_percent
+                FROM reduced QUALIFY row_number() OVER (PARTITION BY doc_id, simplified ORDER BY strategy_rank) = 1""")]
+
+
+@register("prompt_rewrites", S.with_ctes(_ALT_CTES, """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY estimated_energy_reduction_percent DESC, strategy_rank) AS INTEGER) AS alt_rank,
+    simplified, strategy_used, ot AS original_token_count, nt AS simplified_token_count, token_reduction_percent, estimated_energy_reduction_percent, semantic_similarity FROM firsts"""))
+def prompt_rewrites(spark, sf_dir):
+    return alternatives(prompts(spark, sf_dir), "doc_id")
+
+
 # O1–O5 -----------------------------------------------------------------------
 @register("optimize_best", None)
 def optimize_best(spark, sf_dir):
@@ -261,10 +331,6 @@ def compliance_flags(spark, sf_dir):
 
 
 # M1 / M3: Jaccard over a pair table (user turn vs the following turn) -------
-def _lower_words_sql(x: str) -> str:
-    return f"list_distinct({S.ws_words(f'lower({x})')})"
-
-
 @register("turn_similarity", f"""SELECT a.conv_id, a.turn,
     CASE WHEN len(list_distinct(list_concat({_lower_words_sql('a.text')}, {_lower_words_sql('b.text')}))) > 0
       THEN len(list_intersect({_lower_words_sql('a.text')}, {_lower_words_sql('b.text')}))
