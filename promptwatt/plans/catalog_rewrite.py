@@ -267,7 +267,7 @@ _ALT_CTES = [("src", PROMPTS_SQL), *_base_ctes("src", "text", "s_"), *_aggressiv
 
 
 @register("prompt_rewrites", S.with_ctes(_ALT_CTES, """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY estimated_energy_reduction_percent DESC, strategy_rank) AS INTEGER) AS alt_rank,
-    simplified, strategy_used, ot AS original_token_count, nt AS simplified_token_count, token_reduction_percent, estimated_energy_reduction_percent, semantic_similarity FROM firsts"""))
+    simplified, strategy_used, ot AS original_token_count, nt AS simplified_token_count, token_reduction_percent, estimated_energy_reduction_percent, semantic_similarity FROM firsts""", ("s_base_", "s_agg", "s_r1", "s_auto_", "outs", "reduced")))
 def prompt_rewrites(spark, sf_dir):
     return alternatives(prompts(spark, sf_dir), "doc_id")
 

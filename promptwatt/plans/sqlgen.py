@@ -280,6 +280,6 @@ def anomaly_ctes(src: str, prefix: str = "a", *, threshold: float = K.ANOMALY_TH
     return [c1, c2, c3]
 
 
-def with_ctes(ctes, final: str) -> str:
-    body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in ctes)
+def with_ctes(ctes, final: str, materialized: tuple[str, ...] = ()) -> str:
+    body = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in materialized else ''}(\n{sql}\n)" for name, sql in ctes)
     return f"WITH {body}\n{final}"
