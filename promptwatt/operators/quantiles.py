@@ -19,29 +19,29 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     """keys and ``quantiles``, the linearly interpolated quantiles of the
     non-null values of ``value`` at ``probs``, one row for each key."""
     keys = keys or []
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    rows = df.select(*keys, F.col(value).cast("double").alias("_quantile_v")).filter("_quantile_v is not null")
     edges = [min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)]
-    stats = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.percentile_approx("_v", edges, ACCURACY).alias("_e"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    stats = rows.groupBy(*keys).agg(F.count("*").alias("_quantile_n"), F.percentile_approx("_quantile_v", edges, ACCURACY).alias("_quantile_e"), F.min("_quantile_v").alias("_quantile_lo"), F.max("_quantile_v").alias("_quantile_hi"))
     # a margin of less than two ranks could miss the neighbour: then all values are inside
-    few = F.col("_n") * MARGIN < 2
-    spans = F.array(*[F.struct(F.lit(k).alias("k"), F.when(few | F.lit(p <= MARGIN), F.col("_lo")).otherwise(F.col("_e")[2 * k]).alias("a"),
-                               F.when(few | F.lit(p >= 1 - MARGIN), F.col("_hi")).otherwise(F.col("_e")[2 * k + 1]).alias("b"),
-                               (F.lit(p) * (F.col("_n") - 1)).alias("at")) for k, p in enumerate(probs)])
-    stats = stats.select(*[F.col(k).alias(f"_key{j}") for j, k in enumerate(keys)], spans.alias("_s"))
+    few = F.col("_quantile_n") * MARGIN < 2
+    spans = F.array(*[F.struct(F.lit(k).alias("k"), F.when(few | F.lit(p <= MARGIN), F.col("_quantile_lo")).otherwise(F.col("_quantile_e")[2 * k]).alias("a"),
+                               F.when(few | F.lit(p >= 1 - MARGIN), F.col("_quantile_hi")).otherwise(F.col("_quantile_e")[2 * k + 1]).alias("b"),
+                               (F.lit(p) * (F.col("_quantile_n") - 1)).alias("at")) for k, p in enumerate(probs)])
+    stats = stats.select(*[F.col(k).alias(f"_quantile_key{j}") for j, k in enumerate(keys)], spans.alias("_quantile_s"))
     if keys:
         same = F.lit(True)
         for j, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_key{j}"))
+            same = same & F.col(k).eqNullSafe(F.col(f"_quantile_key{j}"))
         joined = rows.join(stats, same)
     else:
         joined = rows.crossJoin(F.broadcast(stats))
-    each = joined.select(*keys, "_v", F.explode("_s").alias("_e")).filter(F.col("_v") <= F.col("_e.b"))
-    inside = F.when(F.col("_v") >= F.col("_e.a"), F.col("_v"))  # null stands for all below the bracket
-    counts = each.groupBy(*keys, F.col("_e.k").alias("_k"), F.col("_e.at").alias("_at"), inside.alias("_v")).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys, "_k").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_upto", F.sum("_c").over(w)).filter("_v is not null")
-    low, high = F.floor("_at"), F.ceil("_at")
-    holds = lambda r: (F.col("_upto") > r) & (F.col("_upto") - F.col("_c") <= r)
-    found = ranked.groupBy(*keys, "_k", "_at").agg(F.max(F.when(holds(low), F.col("_v"))).alias("_x"), F.max(F.when(holds(high), F.col("_v"))).alias("_y"))
-    found = found.withColumn("_q", F.col("_x") + (F.col("_at") - F.floor("_at")) * (F.col("_y") - F.col("_x")))
-    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_q"))), lambda s: s["_q"]).alias("quantiles"))
+    each = joined.select(*keys, "_quantile_v", F.explode("_quantile_s").alias("_quantile_e")).filter(F.col("_quantile_v") <= F.col("_quantile_e.b"))
+    inside = F.when(F.col("_quantile_v") >= F.col("_quantile_e.a"), F.col("_quantile_v"))  # null stands for all below the bracket
+    counts = each.groupBy(*keys, F.col("_quantile_e.k").alias("_quantile_k"), F.col("_quantile_e.at").alias("_quantile_at"), inside.alias("_quantile_v")).agg(F.count("*").alias("_quantile_c"))
+    w = Window.partitionBy(*keys, "_quantile_k").orderBy(F.asc_nulls_first("_quantile_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_quantile_upto", F.sum("_quantile_c").over(w)).filter("_quantile_v is not null")
+    low, high = F.floor("_quantile_at"), F.ceil("_quantile_at")
+    holds = lambda r: (F.col("_quantile_upto") > r) & (F.col("_quantile_upto") - F.col("_quantile_c") <= r)
+    found = ranked.groupBy(*keys, "_quantile_k", "_quantile_at").agg(F.max(F.when(holds(low), F.col("_quantile_v"))).alias("_quantile_x"), F.max(F.when(holds(high), F.col("_quantile_v"))).alias("_quantile_y"))
+    found = found.withColumn("_quantile_q", F.col("_quantile_x") + (F.col("_quantile_at") - F.floor("_quantile_at")) * (F.col("_quantile_y") - F.col("_quantile_x")))
+    return found.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_quantile_k", "_quantile_q"))), lambda s: s["_quantile_q"]).alias("quantiles"))
