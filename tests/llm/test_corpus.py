@@ -179,6 +179,24 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     assert {r.doc_id for r in decontaminate.clean(df, it).collect()} == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_decontamination_finds_every_verbatim_item_of_a_large_benchmark(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(4000)]
+    common = words[:200]
+    text = lambda n: " ".join(rng.choice(common) if rng.random() < 0.6 else rng.choice(words) for _ in range(n))
+    items = [(k, text(rng.choice((5, 8, rng.randint(15, 59))))) for k in range(1200)]
+    assert sum(len(t) for _, t in items) < decontaminate.BLOCK_CHARS  # one block
+    docs = []
+    for d in range(300):
+        body = [f"own{d}x{j}" if rng.random() < 0.5 else rng.choice(words) for j in range(rng.randint(150, 250))]
+        at = rng.randrange(len(body))
+        docs.append((d, " ".join(body[:at] + items[4 * d][1].split() + body[at:])))
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(df, it).collect()}
+    assert set(got) == {(d, 4 * d) for d in range(300)} and all(r.lcs_share == 1 for r in got.values())
+    assert decontaminate.clean(df, it).count() == 0
+
+
 def test_latent_vectors_are_singular_vectors(spark):
     rng = np.random.default_rng(1)
     a = rng.random((40, 25)) * (rng.random((40, 25)) < 0.3)
