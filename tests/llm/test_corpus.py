@@ -126,6 +126,28 @@ def test_quality_classifier_keeps_clean_and_rejects_junk(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality_classifier.classify(docs, labels).filter("kept").collect()}
 
 
+def test_rare_language_has_its_own_model_and_quantile_at_every_sample_size(spark):
+    rng = random.Random(4)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(40))
+    rows = [(k, text("abcdefghij"), "big") for k in range(900)] + [(900 + k, text("stuvwxyz"), "rare") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    for limit in (100, 2000):  # of a sample over all languages together, about 6 of 100 would be rare
+        models, ids = quality_classifier.prepared(docs, labels, limit)
+        assert set(models.value) == {"big", "rare", quality_classifier.POOLED}
+        scores = quality_classifier.scored(docs, models)
+        bars = quality_classifier.thresholds(scores, ids)
+        own = collections.defaultdict(list)
+        for r in scores.collect():
+            own[r.model].append(r.log_perplexity)
+            own[quality_classifier.POOLED].append(r.pooled)
+        assert {k: len(v) for k, v in own.items()} == {"big": 900, "rare": 60, quality_classifier.POOLED: 960}
+        assert bars == pytest.approx({k: float(np.quantile(v, quality_classifier.QUANTILE)) for k, v in own.items()})
+    trusted = docs.select("doc_id", "lang")
+    drawn = quality_classifier.training_sample(trusted, ["big", "rare"], 100).join(trusted, "doc_id").groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in drawn} == {"big": 50, "rare": 50}
+
+
 def test_quality_classifier_edge_cases(spark):
     labels = spark.createDataFrame([(3, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 0), (10, 1, None)], "doc_id long, quality int, toxic int")
     docs = edge_docs(spark)
