@@ -142,12 +142,28 @@ def test_rare_language_has_its_own_model_and_quantile_at_every_sample_size(spark
             own[r.model].append(r.log_perplexity)
             own[quality_classifier.POOLED].append(r.pooled)
         assert {k: len(v) for k, v in own.items()} == {"big": 900, "rare": 60, quality_classifier.POOLED: 960}
-        assert bars == pytest.approx({k: float(np.quantile(v, quality_classifier.QUANTILE)) for k, v in own.items()})
+        seen = {r.doc_id: r.seen for r in ids.collect()}
+        assert len(seen) == 960 and 0 < sum(seen.values()) <= limit
+        unseen = collections.defaultdict(list)
+        for r in scores.collect():
+            if not seen[r.doc_id]:
+                unseen[r.model].append(r.log_perplexity)
+                unseen[quality_classifier.POOLED].append(r.pooled)
+        q = lambda v: float(np.quantile(v, quality_classifier.QUANTILE))
+        assert bars == pytest.approx({k: max(q(v), q(unseen[k])) for k, v in own.items()})
     trusted = docs.select("doc_id", "lang")
     drawn = quality_classifier.training_sample(trusted, ["big", "rare"], 100).join(trusted, "doc_id").groupBy("lang").count().collect()
     assert {r["lang"]: r["count"] for r in drawn} == {"big": 50, "rare": 50}
 
 
+def test_threshold_is_the_quantile_and_the_length_term_alone(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    models, ids = quality_classifier.prepared(docs, labels)
+    bars = quality_classifier.thresholds(quality_classifier.scored(docs, models), ids)
+    for r in quality_classifier.classify(docs, labels).collect():
+        assert math.log10(r.threshold) == pytest.approx(bars[r.model] + quality_classifier.SCATTER / math.sqrt(max(r.chars, 1)))
+
+
 def test_quality_classifier_edge_cases(spark):
     labels = spark.createDataFrame([(3, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 0), (10, 1, None)], "doc_id long, quality int, toxic int")
     docs = edge_docs(spark)
