@@ -8,9 +8,8 @@ towards that of its suffix (Witten-Bell: with N occurrences and T distinct next
 bytes, P = (n + T * P_suffix) / (N + T); the root adds half a count to each of
 the 256 bytes). A context is retained if its distribution diverges from its
 suffix's: N * KL(context, suffix) > T / 2 * ln(all bytes), the price of its T
-parameters. Suffixes of retained contexts are retained too; if more than
-MAX_STATES remain, those with the greatest divergence stay, which bounds the
-model that tasks receive. A byte is scored in the state of its longest retained
+parameters. Suffixes of retained contexts are retained too; no context that passes
+the test is dropped, so the model that tasks receive grows with their number. A byte is scored in the state of its longest retained
 suffix.
 
 The base score needs the training count of every token. The HOT_WORDS most
@@ -19,7 +18,7 @@ the table of counts by word.
 
 Defined results: null texts are empty and consist of the end token only; a null
 doc_id has remainder 0 (training); repeated rows are rows of their own and all
-train; ties among contexts or words at a bound are broken by value; an empty
+train; ties among words at a bound are broken by value; an empty
 table gives an empty result; further columns are ignored.
 """
 
@@ -37,7 +36,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import byte_texts, stored
 
 DEPTH = 5
-MAX_STATES = 65_536
 HOT_WORDS = 100_000
 END = b"\n"
 #: Partial counts are handed on, or merged, at these sizes.
@@ -147,24 +145,22 @@ def tree(grams: DataFrame) -> dict:
     for d in range(2, DEPTH + 1):
         all_states = all_states.unionByName(states[d])
     all_states = stored(all_states, "suffix-states")
-    kept = all_states.filter("diverges").orderBy(F.desc("gain"), "depth", "state").limit(MAX_STATES)
-    wanted = {(r.depth, r.state) for r in kept.select("depth", "state").collect()}  # MAX_STATES at most
-    for d in range(DEPTH, 1, -1):
-        wanted |= {(d - 1, s & (1 << 8 * (d - 1)) - 1) for k, s in wanted if k == d}
-    spark = grams.sparkSession
-    closed = spark.createDataFrame(sorted(wanted), "depth int, state long")  # DEPTH * MAX_STATES at most
+    closed = {}
+    for d in range(DEPTH, 0, -1):
+        own = all_states.filter((F.col("depth") == d) & F.col("diverges")).select("state")
+        if d < DEPTH:
+            own = own.unionByName(closed[d + 1].select(F.col("state").bitwiseAND((1 << 8 * d) - 1).alias("state")))
+        closed[d] = stored(own.distinct(), "suffix-closed")
     root = smooth[0].orderBy("gram").toArrow()
     out = {"root": np.full(256, math.log10(0.5 / (total + 128.0))), "states": {}, "entries": {}}
     out["root"][root["gram"].to_numpy()] = np.log10(root["p"].to_numpy())
-    backs = all_states.join(F.broadcast(closed), ["depth", "state"]).toArrow()
     for d in range(1, DEPTH + 1):
-        own = F.broadcast(closed.filter(F.col("depth") == d).select("state"))
-        e = smooth[d].join(own, "state").select("gram", "p").orderBy("gram").toArrow()
+        e = smooth[d].join(closed[d], "state").select("gram", "p").orderBy("gram").toArrow()
         out["entries"][d] = (e["gram"].to_numpy().astype(np.uint64), np.log10(e["p"].to_numpy()))
-        at = np.flatnonzero(backs["depth"].to_numpy() == d)
-        s = backs["state"].to_numpy()[at].astype(np.uint64)
+        backs = all_states.filter(F.col("depth") == d).join(closed[d], "state").select("state", "back").toArrow()
+        s = backs["state"].to_numpy().astype(np.uint64)
         order = np.argsort(s)
-        out["states"][d] = (s[order], np.log10(backs["back"].to_numpy()[at][order]))
+        out["states"][d] = (s[order], np.log10(backs["back"].to_numpy()[order]))
     return out
 
 

@@ -86,6 +86,30 @@ def test_suffix_tree_distributions_sum_to_one_and_match_a_plain_tree(spark):
         assert got.sum() == pytest.approx(1) and got == pytest.approx([p(state, bytes([a])) for a in range(256)])
 
 
+def test_suffix_tree_keeps_every_context_that_diverges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "MAX_STATES", 3, raising=False)  # a cap on contexts, if there is one
+    texts = ["abracadabra abra cadabra " * 30, "the cat sat on the mat " * 20]
+    model = suffix_tree.tree(suffix_tree.counts(spark.createDataFrame([(t,) for t in texts], "text string"))[1])
+    n = collections.Counter(s[k - d:k + 1] for t in texts for s in [b"\n" * suffix_tree.DEPTH + b" ".join(t.encode().split()) + b"\n"]
+                            for k in range(suffix_tree.DEPTH, len(s)) for d in range(suffix_tree.DEPTH + 1))
+    total, after = sum(c for g, c in n.items() if len(g) == 1), collections.defaultdict(dict)
+    for g, c in n.items():
+        after[g[:-1]][g[-1:]] = c
+
+    def p(context, byte):
+        if not context:
+            return (n[byte] + 0.5) / (total + 128)
+        own = after[context]
+        return (own.get(byte, 0) + len(own) * p(context[1:], byte)) / (sum(own.values()) + len(own))
+
+    kept = set()
+    for context, own in list(after.items()):
+        if context and sum(c * math.log(c / sum(own.values()) / p(context[1:], a)) for a, c in own.items()) > len(own) / 2 * math.log(total + 1):
+            kept |= {context[k:] for k in range(len(context))}
+    got = {int(s).to_bytes(d, "big") for d, (states, _) in model["states"].items() for s in states}
+    assert got == kept and len(kept) > 15
+
+
 def test_lm_edge_cases(spark):
     assert suffix_tree.score(edge_docs(spark)).count() == len(TEXTS)
     assert suffix_tree.score(empty_docs(spark)).count() == 0
