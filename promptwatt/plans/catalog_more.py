@@ -233,6 +233,13 @@ def clean_prompts(spark, sf_dir):
     return d.select("doc_id", T.clean_prompt(F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 12).cast("int"))).alias("prompt"))
 
 
+# C2 over the whole text of every document
+@register("clean_prompts_whole", f"""SELECT doc_id, CASE WHEN length(x) > 5 THEN x END AS prompt FROM (
+    SELECT doc_id, {S.collapse_ws("text")} AS x FROM documents)""")
+def clean_prompts_whole(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", T.clean_prompt("text").alias("prompt"))
+
+
 # A named strategy (rows-only check) ----
 @register("optimize_named", None)
 def optimize_named(spark, sf_dir):

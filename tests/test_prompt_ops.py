@@ -146,6 +146,15 @@ def test_named_strategies_and_steps(spark):
     assert auto.optimization_steps[0].startswith("Applied ")
 
 
+def test_a_registered_query_cleans_whole_texts(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.prompt for r in E.queries()["clean_prompts_whole"](spark, sf).collect()}
+    want = {i: " ".join(t.split()) for i, t in texts.items()}
+    assert got == {i: t if len(t) > 5 else None for i, t in want.items()} and max(map(len, want.values())) > 11
+
+
 def test_clean_prompt_length_rule(spark):
     from promptwatt.functions.text import clean_prompt
     df = spark.createDataFrame([("  a   b c ",), ("a  bc d",), ("abcdef",), ("abcde",), (None,)], "t string")
