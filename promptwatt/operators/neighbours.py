@@ -5,15 +5,14 @@ dealt to pivots (a bounded choice by hash), sorted by pivot and distance to it,
 cut into tiles of near-equal size. A tile is known by its centre and radius. Two
 bounds hold for a point's k-th neighbour: the k-th distance in its own tile, and
 the distance within which the nearest tiles together must hold k points (which
-widens the search where a tile holds fewer). A tile is compared with every tile
-that may, by the triangle inequality, hold a point inside the bound of one of its
-points, so the neighbours are exact. How many tiles that leaves depends on the
-vectors: few for a handful of features, nearly all for noise in many dimensions,
+widens the search where a tile holds fewer). A point is compared with the points of
+every tile that may, by the triangle inequality, hold one inside its bound, so the
+neighbours are exact. How many that leaves depends on the vectors: few for a handful of features, nearly all for noise in many dimensions,
 whose cost is then quadratic in the number of distinct vectors.
 
-Tiles meet as rows (a tile, the points of the tiles it is compared with) in tasks
-that hold one tile, a batch of points and the best k so far. The number of tiles
-is at most about 2 * MAX_TILES, which bounds what is broadcast.
+Points are sent to the tiles within reach, where a task holds one tile, a batch of
+points and the best k so far. The number of tiles is at most about 2 * MAX_TILES,
+which bounds what is broadcast.
 """
 
 from __future__ import annotations
@@ -26,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
-from ..session import ensure_checkpoint_dir
+from ..session import stored
 from .quantiles import exact_quantiles
 
 TILE_ROWS = 2048
 MAX_TILES = 4096
-#: Tiles that a tile is compared with in one task.
+#: Tiles whose points a tile is compared with in one task.
 PARTNERS = 32
 #: Distances count as equal when they agree to so many decimals.
 DECIMALS = 9
@@ -48,11 +47,6 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T), 0)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def _kth(d: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     """The least distance in each row within which k points lie (inf if none)."""
     order = np.argsort(d, axis=1)
@@ -86,7 +80,7 @@ def tiles(found: DataFrame, k: int) -> DataFrame:
                 yield pa.record_batch([*part.columns, pa.array(d.argmin(1)), pa.array(np.sqrt(d.min(1)))], [*part.schema.names, "cell", "away"])
 
     dealt = found.mapInArrow(deal, "vector array<double>, point long, weight long, cell long, away double")
-    ordered = dealt.repartitionByRange("cell", "away", "point").sortWithinPartitions("cell", "away", "point")
+    ordered = dealt.repartitionByRange(max(1, -(-n // rows)), "cell", "away", "point").sortWithinPartitions("cell", "away", "point")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made, held, cell = TaskContext.get().partitionId(), 0, [], None
@@ -114,54 +108,81 @@ def tiles(found: DataFrame, k: int) -> DataFrame:
         if held:
             yield tile()
 
-    return _kept(ordered.mapInArrow(cut, "vector array<double>, point long, weight long, bound double, tile long"))
+    return stored(ordered.mapInArrow(cut, "vector array<double>, point long, weight long, bound double, tile long"))
 
 
-def partners(dealt: DataFrame, k: int) -> DataFrame:
-    """(tile, other, part): the tiles whose points a tile must be compared with,
-    dealt into parts of PARTNERS; its own comes first."""
-    dims = dealt.select(F.size("vector").alias("n")).first()
-    if dims is None:
-        return dealt.sparkSession.createDataFrame([], "tile long, other long, part long")
-    means = dealt.groupBy("tile").agg(F.sum("weight").alias("weight"), *[F.avg(F.col("vector")[j]).alias(f"c{j}") for j in range(dims.n)])
-    centres = means.select("tile", "weight", F.array(*[f"c{j}" for j in range(dims.n)]).alias("centre"))
-    far = F.sqrt(F.aggregate(F.zip_with("vector", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
-    radii = dealt.join(F.broadcast(centres), "tile").groupBy("tile").agg(F.max(far).alias("radius"))
-    about = centres.join(radii, "tile").orderBy("tile").toArrow()  # at most some 2 * MAX_TILES rows
-    names, weight, radius = (about[c].to_numpy() for c in ("tile", "weight", "radius"))
-    model = dealt.sparkSession.sparkContext.broadcast((names, weight, radius * (1 + 1e-9) + 1e-12, _matrix(about["centre"].combine_chunks())))
+class About:
+    """Centres, radii, weights and widest bounds of all tiles (at most some
+    2 * MAX_TILES)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weight, radius, centre = model.value
-        near: dict[int, set[int]] = {}
+    def __init__(self, dealt: DataFrame):
+        dims = len(dealt.first().vector)
+        means = dealt.groupBy("tile").agg(F.sum("weight").alias("weight"), F.max("bound").alias("bound"), *[F.avg(F.col("vector")[j]).alias(f"c{j}") for j in range(dims)])
+        centres = means.select("tile", "weight", "bound", F.array(*[f"c{j}" for j in range(dims)]).alias("centre"))
+        far = F.sqrt(F.aggregate(F.zip_with("vector", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
+        radii = dealt.join(F.broadcast(centres.select("tile", "centre")), "tile").groupBy("tile").agg(F.max(far).alias("radius"))
+        table = centres.join(radii, "tile").orderBy("tile").toArrow()
+        self.names, self.weight, self.bound = (table[c].to_numpy() for c in ("tile", "weight", "bound"))
+        self.radius = table["radius"].to_numpy() * (1 + 1e-9) + 1e-12
+        self.centre = _matrix(table["centre"].combine_chunks())
+
+
+def _slack(bound: np.ndarray) -> np.ndarray:
+    return bound * (1 + 1e-9) + 1e-6
+
+
+def meetings(dealt: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(tile, part, tightened bounds of its points) and (tile, part, points that may
+    be neighbours of the tile's points). A part holds the points of PARTNERS tiles."""
+    model = dealt.sparkSession.sparkContext.broadcast(About(dealt))
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                d = np.sqrt(_squares(_matrix(part.column("vector")), centre))
-                bound = np.minimum(part.column("bound").to_numpy(), _kth(d + radius, weight, k + 1)) * (1 + 1e-9) + 1e-6
-                reach = d - radius <= bound[:, None]
-                mine = part.column("tile").to_numpy()
-                for tile in np.unique(mine):
-                    near.setdefault(int(tile), set()).update(names[reach[mine == tile].any(0)].tolist())
-        pairs = [(a, b) for a, x in near.items() for b in x]
-        yield pa.record_batch([pa.array([p[j] for p in pairs], pa.int64()) for j in (0, 1)], ["tile", "other"])
-
-    pairs = dealt.select("tile", "vector", "bound").mapInArrow(run, "tile long, other long").distinct()
-    order = Window.partitionBy("tile").orderBy(F.col("other") != F.col("tile"), "other")
-    return pairs.withColumn("part", F.floor((F.row_number().over(order) - 1) / PARTNERS))
+                yield part, np.sqrt(_squares(_matrix(part.column("vector")), model.value.centre))
+
+    def tighten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, d in slices(batches):
+            t = model.value
+            bound = np.minimum(part.column("bound").to_numpy(), _kth(d + t.radius, t.weight, k + 1))
+            near = d - t.radius <= _slack(bound)[:, None]
+            groups = np.add.reduceat(near, np.arange(0, len(t.names), PARTNERS), axis=1) > 0
+            parts = pa.array([np.flatnonzero(g) for g in groups], pa.list_(pa.int64()))
+            yield pa.record_batch([*[part.column(c) for c in ("tile", "point", "weight", "vector")], pa.array(bound), parts], ["tile", "point", "weight", "vector", "bound", "parts"])
+
+    own = stored(dealt.mapInArrow(tighten, "tile long, point long, weight long, vector array<double>, bound double, parts array<long>"), "tile-points")
+    widest = {r.tile: r.bound for r in own.groupBy("tile").agg(F.max("bound").alias("bound")).collect()}  # a row for each tile
+    reach = dealt.sparkSession.sparkContext.broadcast(np.array([widest[t] for t in model.value.names.tolist()]))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, d in slices(batches):
+            t = model.value
+            row, to = np.nonzero(d - t.radius <= _slack(reach.value))
+            source = np.searchsorted(t.names, part.column("tile").to_numpy())[row] // PARTNERS
+            for at in range(0, len(row), 1 << 14):
+                some = pa.array(row[at:at + (1 << 14)])
+                yield pa.record_batch([pa.array(t.names[to[at:at + (1 << 14)]]), pa.array(source[at:at + (1 << 14)]),
+                                       *[part.column(c).take(some) for c in ("point", "weight", "vector", "bound")]], ["tile", "part", "point", "weight", "vector", "bound"])
+
+    sent = dealt.mapInArrow(send, "tile long, part long, point long, weight long, vector array<double>, bound double")
+    # a tile's points go to every part that one of them needs
+    needed = own.select("tile", F.explode("parts").alias("part")).distinct()
+    left = own.drop("parts").join(needed, "tile")
+    return left, sent
 
 
 def nearest(df: DataFrame, id_col: str, vector: Column, k: int = 20) -> DataFrame:
     """point, other, distance and weight: the k nearest other rows of each distinct
     vector, nearest first and smaller ids first among equals; equal neighbours are
     one row with their number as weight. A vector's own copies are its neighbours."""
-    found = _kept(points(df, id_col, vector))
-    dealt = tiles(found, k)
-    pairs = _kept(partners(dealt, k))
-    own = dealt.select("tile", "point", "weight", "vector", "bound")
-    left = pairs.select("tile", "part").distinct().join(own, "tile").select("tile", "part", F.lit(0).alias("kind"), "point", "weight", "vector", "bound")
-    right = pairs.join(own.withColumnRenamed("tile", "other"), "other").select("tile", "part", F.lit(1).alias("kind"), "point", "weight", "vector", "bound")
-    rows = left.unionByName(right).repartition("tile", "part").sortWithinPartitions("tile", "part", "kind")
+    found = stored(points(df, id_col, vector), "points")
+    if not found.head(1):
+        return found.sparkSession.createDataFrame([], "point long, other long, distance double, weight long")
+    left, right = meetings(tiles(found, k), k)
+    names = ["tile", "part", "kind", "point", "weight", "vector", "bound"]
+    rows = left.withColumn("kind", F.lit(0)).select(*names).unionByName(right.withColumn("kind", F.lit(1)).select(*names))
+    rows = rows.repartition("tile", "part").sortWithinPartitions("tile", "part", "kind")
     rows = rows.mapInArrow(_best_of_parts(k), "point long, other long, weight long, distance double")
     rank = Window.partitionBy("point").orderBy("distance", "other").rowsBetween(Window.unboundedPreceding, -1)
     copies = found.filter("weight > 1").select("point", F.col("point").alias("other"), (F.col("weight") - 1).alias("weight"), F.lit(0.0).alias("distance"))
@@ -216,6 +237,8 @@ def _best_of_parts(k: int):
                 if keys[at][2] == 0:
                     own.append(part)
                     continue
+                if not own:  # no point of the tile needs this part
+                    continue
                 if state is None:
                     mine = pa.Table.from_batches(own).combine_chunks()
                     x, limit = _matrix(mine["vector"].combine_chunks()), mine["bound"].to_numpy().copy()
@@ -232,16 +255,16 @@ def outlier_factor(df: DataFrame, id_col: str, vector: Column, k: int = 20, cont
     is_outlier (lof above the quantile that leaves the `contamination` share). Each
     row has k neighbours, all others if they are fewer; rows without a whole
     vector, or the only one, have nulls and are no outliers."""
-    rows = _kept(df.select(F.col(id_col), F.transform(vector, lambda x: x.cast("double")).alias("_vector")))  # read for the points and the result
-    edges = _kept(nearest(rows, id_col, F.col("_vector"), k))
+    rows = stored(df.select(F.col(id_col), F.transform(vector, lambda x: x.cast("double")).alias("_vector")))  # read for the points and the result
+    edges = stored(nearest(rows, id_col, F.col("_vector"), k))
     reach = edges.groupBy("point").agg(F.max("distance").alias("k_distance"))
     far = edges.join(reach.withColumnRenamed("point", "other"), "other")
     each = F.greatest("distance", "k_distance") * F.col("weight")
-    density = _kept(far.groupBy("point").agg((1 / (F.sum(each) / F.sum("weight") + F.lit(EPSILON))).alias("density")))
+    density = stored(far.groupBy("point").agg((1 / (F.sum(each) / F.sum("weight") + F.lit(EPSILON))).alias("density")))
     beside = edges.join(density.select(F.col("point").alias("other"), F.col("density").alias("_d")), "other")
     ratio = beside.groupBy("point").agg((F.sum(F.col("_d") * F.col("weight")) / F.sum("weight")).alias("_near"))
     scored = density.join(ratio, "point").join(reach, "point").withColumn("lof", T.round_half(F.col("_near") / F.col("density"), 6)).drop("_near")
     points_of = points(rows, id_col, F.col("_vector")).select(F.col("vector").alias("_vector"), "point")
-    out = _kept(rows.join(points_of.join(scored, "point").drop("point"), "_vector", "left").drop("_vector"))
+    out = stored(rows.join(points_of.join(scored, "point").drop("point"), "_vector", "left").drop("_vector"))
     limit = exact_quantiles(out, "lof", [1 - contamination]).select(F.get("quantiles", F.lit(0)).alias("_limit"))
     return out.crossJoin(F.broadcast(limit)).withColumn("is_outlier", F.coalesce(F.col("lof") > F.col("_limit"), F.lit(False))).drop("_limit")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # core conf may be read-only at runtime
             pass
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """df written as Parquet in the shared checkpoint folder and read back: its
+    lineage ends there, and no executor's loss takes it away."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -57,7 +57,8 @@ def test_pruned_tiles_are_fewer_than_all_pairs(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id long, v array<double>")
     dealt = neighbours.tiles(neighbours.points(df, "id", F.col("v")).checkpoint(), 5)
     n = dealt.select("tile").distinct().count()
-    assert n >= 30 and neighbours.partners(dealt, 5).count() < 0.5 * n * n
+    own, sent = neighbours.meetings(dealt, 5)
+    assert n >= 30 and sent.count() < 0.3 * n * 1800 and own.select("point").distinct().count() == 1800
 
 
 def test_outlier_factor_of_few_missing_or_no_vectors(spark):
