@@ -1,8 +1,8 @@
 """Nearest neighbours of all rows of a vector table, and the local outlier factor.
 
 Equal vectors become one point with a weight, so copies cost nothing. Points are
-dealt to pivots (a bounded choice by hash), sorted by pivot and distance to it, and
-cut into tiles of near-equal size. A tile is known by its centre and radius. Two
+dealt to pivots (a bounded choice by hash), and the points of a pivot are cut by their
+distance to it into tiles of near-equal size. A tile is known by its centre and radius. Two
 bounds hold for a point's k-th neighbour: the k-th distance in its own tile, and
 the distance within which the nearest tiles together must hold k points (which
 widens the search where a tile holds fewer). A point is compared with the points of
@@ -21,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
 from ..session import stored
 from .quantiles import exact_quantiles
 
-TILE_ROWS = 2048
+#: Rows of a tile for each dimension: few dimensions gain from small tiles, many
+#: dimensions mostly pay for sending points to each.
+DIM_ROWS = 128
 MAX_TILES = 4096
 #: Tiles whose points a tile is compared with in one task.
 PARTNERS = 32
@@ -66,49 +67,54 @@ def points(df: DataFrame, id_col: str, vector: Column) -> DataFrame:
 
 def tiles(found: DataFrame, k: int) -> DataFrame:
     """Points with their tile and `bound`, the k-th distance inside the tile."""
-    n = found.count()
-    rows = max(TILE_ROWS, -(-n // MAX_TILES))
+    n, dims = found.agg(F.count("*"), F.max(F.size("vector"))).first()
+    rows = max(DIM_ROWS * dims, -(-n // MAX_TILES))
     pivots = found.orderBy(F.xxhash64("point"), "point").limit(max(1, min(MAX_TILES, n // rows))).select("vector").collect()  # bounded
     spark = found.sparkSession
     centres = spark.sparkContext.broadcast(np.array([r.vector for r in pivots]))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, TILE_ROWS):
-                part = batch.slice(at, TILE_ROWS)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 d = _squares(_matrix(part.column("vector")), centres.value)
                 yield pa.record_batch([*part.columns, pa.array(d.argmin(1)), pa.array(np.sqrt(d.min(1)))], [*part.schema.names, "cell", "away"])
 
-    dealt = found.mapInArrow(deal, "vector array<double>, point long, weight long, cell long, away double")
-    ordered = dealt.repartitionByRange(max(1, -(-n // rows)), "cell", "away", "point").sortWithinPartitions("cell", "away", "point")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made, held, cell = TaskContext.get().partitionId(), 0, [], None
-
-        def tile() -> pa.RecordBatch:
+    dealt = stored(found.mapInArrow(deal, "vector array<double>, point long, weight long, cell long, away double"), "cells")
+    # rings of a cell hold about `rows` points each; a jitter parts points at one distance
+    away = F.col("away") * (1 + F.pmod(F.xxhash64("point"), F.lit(1024)) * 1e-9)
+    cells = dealt.groupBy("cell").agg(F.count("*").alias("n"))
+    most = cells.agg(F.max("n")).first()[0]
+    shares = [k / 64 for k in range(1, 64)] if most <= 64 * rows else [k * rows / most for k in range(1, -(-most // rows))]
+    edges = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.percentile_approx(away, shares, 10_000).alias("edges"))
+    # every so many of the shares is an edge, so that each cell has the rings it needs
+    each = F.greatest(F.lit(1), F.floor((len(shares) + 1) * F.lit(float(rows)) / F.col("n")))
+    edges = edges.select("cell", F.filter("edges", lambda e, i: (i + 1) % each == 0).alias("edges"))
+    ring = F.size(F.filter("edges", lambda e: e < away))
+    placed = dealt.join(F.broadcast(edges), "cell").select("vector", "point", "weight", (F.col("cell") * 65536 + ring).alias("tile"))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def whole(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             part = pa.Table.from_batches(held).combine_chunks()
             x, w = _matrix(part["vector"].combine_chunks()), part["weight"].to_numpy()
-            bound = np.concatenate([_kth(np.sqrt(_squares(x[at:at + 256], x)), w, k + 1) for at in range(0, len(x), 256)])
-            cols = [part[c].combine_chunks() for c in ("vector", "point", "weight")]
-            return pa.record_batch([*cols, pa.array(bound), pa.array(np.full(len(x), task * (1 << 32) + made))], ["vector", "point", "weight", "bound", "tile"])
+            found = np.concatenate([_kth(np.sqrt(_squares(x[at:at + 256], x)), w, k + 1) for at in range(0, len(x), 256)])
+            return pa.record_batch([*[part[c].combine_chunks() for c in ("vector", "point", "weight")], pa.array(found), part["tile"].combine_chunks()], ["vector", "point", "weight", "bound", "tile"])
 
-        size = 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            cells = batch.column("cell").to_numpy()
-            at = 0
-            while at < len(cells):
-                stop = min(int(np.searchsorted(cells, cells[at], side="right")), at + rows - size)
-                if held and cells[at] != cell or size >= rows:
-                    yield tile()
-                    made, held, size = made + 1, [], 0
-                    continue
-                cell = cells[at]
-                held.append(batch.slice(at, stop - at))
-                size, at = size + stop - at, stop
+            names = batch.column("tile").to_numpy()
+            cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+            for at, stop in zip(cuts, cuts[1:]):
+                if stop > at:
+                    if held and held[0].column("tile")[0].as_py() != names[at]:
+                        yield whole(held)
+                        held = []
+                    held.append(batch.slice(at, stop - at))
         if held:
-            yield tile()
+            yield whole(held)
 
-    return stored(ordered.mapInArrow(cut, "vector array<double>, point long, weight long, bound double, tile long"))
+    ordered = placed.repartition("tile").sortWithinPartitions("tile")
+    return stored(ordered.mapInArrow(bound, "vector array<double>, point long, weight long, bound double, tile long"), "tiles")
 
 
 class About:

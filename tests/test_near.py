@@ -36,9 +36,9 @@ def vectors(spark):
     return rows
 
 
-@pytest.mark.parametrize("tile_rows, partners", [(2048, 32), (16, 3), (5, 1)])
-def test_outlier_factor_matches_the_definition(spark, vectors, monkeypatch, tile_rows, partners):
-    monkeypatch.setattr(neighbours, "TILE_ROWS", tile_rows)
+@pytest.mark.parametrize("dim_rows, partners", [(128, 32), (6, 3), (2, 1)])
+def test_outlier_factor_matches_the_definition(spark, vectors, monkeypatch, dim_rows, partners):
+    monkeypatch.setattr(neighbours, "DIM_ROWS", dim_rows)
     monkeypatch.setattr(neighbours, "PARTNERS", partners)
     df = spark.createDataFrame(vectors, "id long, v array<double>").repartition(5)
     got = sorted((r.id, r.k_distance, r.density, r.lof, r.is_outlier) for r in neighbours.outlier_factor(df, "id", F.col("v"), 10).collect())
@@ -51,7 +51,7 @@ def test_outlier_factor_matches_the_definition(spark, vectors, monkeypatch, tile
 
 
 def test_pruned_tiles_are_fewer_than_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "TILE_ROWS", 40)
+    monkeypatch.setattr(neighbours, "DIM_ROWS", 20)
     rng = np.random.default_rng(8)
     rows = [(i, (rng.normal(size=2) + 30 * (i % 9)).tolist()) for i in range(1800)]
     df = spark.createDataFrame(rows, "id long, v array<double>")
