@@ -1,14 +1,14 @@
 """Isolation forest (A10) on Spark.
 
-Fit: each of ``n_trees`` trees draws its own deterministic subsample
-(Bernoulli on a 64-bit hash of (row id, tree) with rate ≈ 3·sample/N, then the
-``sample`` smallest hashes); rows are routed to their trees and grouped by
-tree id, and each group is grown into a small node table with numpy in
-``applyInPandas``. The forest is at most n_trees × (2·sample − 1) nodes — its
-size is bounded by the parameters, not by the data — so it is broadcast to
-the scoring ``mapInPandas`` pass over the full table. The anomaly threshold
-is the ``contamination`` quantile of the scores (percentile_approx), an
-aggregate, not a collect.
+Fit: each of ``n_trees`` trees draws its own deterministic subsample, the ``sample``
+rows with the smallest hashes of (row id, tree), found among the about 3 * sample
+rows below a bound; rows are routed to their trees, and each tree is grown into a
+small node table in ``applyInPandas``. Features and thresholds come from hashes of
+(tree, node), so any engine can repeat the forest. Nodes are numbered as in a heap:
+the children of n are 2n and 2n + 1. The forest is at most n_trees x (2 * sample - 1)
+nodes -- its size is bounded by the parameters, not by the data -- so it is broadcast
+to the scoring ``mapInPandas`` pass over the full table. The anomaly threshold is the
+exact ``contamination`` quantile of the scores.
 """
 
 from __future__ import annotations
@@ -20,7 +20,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..functions import text as T
+from ..session import stored
+from .labels import unit_hash
+from .linear import unit
+from .quantiles import exact_quantiles
 
 NODE_SCHEMA = "tree long, node long, feature int, threshold double, left long, right long, size long"
 
@@ -31,29 +35,24 @@ def _c(n: float) -> float:
     return 2.0 * (math.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n
 
 
-def _grow(tree_id: int, X: np.ndarray, max_depth: int, rng: np.random.Generator) -> list[tuple]:
+def _grow(tree_id: int, X: np.ndarray, max_depth: int, seed: int) -> list[tuple]:
     nodes = []
-    stack = [(np.arange(len(X)), 0, 0)]   # (row idx, depth, node id)
-    next_id = 1
+    stack = [(np.arange(len(X)), 0, 1)]   # (row idx, depth, node id)
     while stack:
         idx, depth, nid = stack.pop()
-        if depth >= max_depth or len(idx) <= 1:
-            nodes.append((tree_id, nid, -1, 0.0, -1, -1, len(idx)))
-            continue
         sub = X[idx]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        cand = np.flatnonzero(hi > lo)
+        cand = np.flatnonzero(sub.max(axis=0) > sub.min(axis=0)) if depth < max_depth and len(idx) > 1 else []
         if len(cand) == 0:
             nodes.append((tree_id, nid, -1, 0.0, -1, -1, len(idx)))
             continue
-        f = int(rng.choice(cand))
-        thr = float(rng.uniform(lo[f], hi[f]))
-        left, right = next_id, next_id + 1
-        next_id += 2
-        nodes.append((tree_id, nid, f, thr, left, right, len(idx)))
+        key = f"{tree_id}:{nid}:{seed}"
+        f = int(cand[int(unit(f"{key}:feature") * len(cand))])
+        lo, hi = float(sub[:, f].min()), float(sub[:, f].max())
+        thr = lo + unit(f"{key}:threshold") * (hi - lo)
+        nodes.append((tree_id, nid, f, thr, 2 * nid, 2 * nid + 1, len(idx)))
         mask = sub[:, f] < thr
-        stack.append((idx[mask], depth + 1, left))
-        stack.append((idx[~mask], depth + 1, right))
+        stack.append((idx[mask], depth + 1, 2 * nid))
+        stack.append((idx[~mask], depth + 1, 2 * nid + 1))
     return nodes
 
 
@@ -68,19 +67,19 @@ def fit(df: DataFrame, feature_cols: list[str], id_col: str, *, n_trees: int = 1
     """Grow the forest; returns the node table (a small DataFrame)."""
     n = df.count()
     m = min(sample, n)
-    bound = sample_bound(n, m)
+    bound = (sample_bound(n, m) + (1 << 63)) / (1 << 64)   # as a share of the hashes
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = F.filter(trees, lambda t: F.xxhash64(F.col(id_col), t, F.lit(seed)) <= F.lit(bound))
-    rows = (df.select(id_col, *feature_cols).withColumn("tree", F.explode(picked))
-              .withColumn("_h", F.xxhash64(F.col(id_col), F.col("tree"), F.lit(seed + 1))))
-    w = Window.partitionBy("tree").orderBy("_h")
+    drawn = F.transform(trees, lambda t: F.struct(t.alias("t"), unit_hash(F.concat_ws("/", F.col(id_col).cast("string"), t.cast("string")), seed, "sample").alias("h")))
+    rows = (df.select(id_col, *feature_cols, F.explode(F.filter(drawn, lambda d: d["h"] < bound)).alias("_d"))
+              .select(id_col, *feature_cols, F.col("_d.t").alias("tree"), F.col("_d.h").alias("_h")))
+    w = Window.partitionBy("tree").orderBy("_h", id_col)
     rows = rows.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= m).drop("_rk", "_h")
     depth = int(math.ceil(math.log2(max(m, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
         X = pdf[feature_cols].to_numpy(dtype=float)
-        nodes = _grow(t, X, depth, np.random.default_rng(seed * 1000 + t))
+        nodes = _grow(t, X, depth, seed)
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "size"])
 
     return rows.groupBy("tree").applyInPandas(grow, NODE_SCHEMA), m
@@ -117,7 +116,7 @@ def score(df: DataFrame, nodes: DataFrame, feature_cols: list[str], sample: int,
             rows = np.arange(n)
             depth_sum = np.zeros(n)
             for feat, thr, left, right, csize in trees:       # vectorised over the batch
-                nid = np.zeros(n, dtype=int)
+                nid = np.ones(n, dtype=int)
                 d = np.zeros(n)
                 while True:
                     f = feat[nid]
@@ -142,14 +141,13 @@ def detect(df: DataFrame, feature_cols: list[str], id_col: str, *, n_trees: int
     stats = df.agg(*[x for c in feature_cols for x in (F.avg(c).alias(f"{c}__m"),
                                                       F.stddev_pop(c).alias(f"{c}__s"))])
     z = df.crossJoin(F.broadcast(stats))
-    z = z.select(*df.columns, *[F.when(F.col(f"{c}__s") > 0, (F.col(c) - F.col(f"{c}__m")) / F.col(f"{c}__s"))
-                                .otherwise(F.lit(0.0)).alias(f"_z_{c}") for c in feature_cols])
+    z = z.select(*df.columns, *[T.round_half(F.when(F.col(f"{c}__s") > 0, (F.col(c) - F.col(f"{c}__m")) / F.col(f"{c}__s"))
+                                             .otherwise(F.lit(0.0)), 6).alias(f"_z_{c}") for c in feature_cols])
     zcols = [f"_z_{c}" for c in feature_cols]
-    ensure_checkpoint_dir(df.sparkSession)
-    z = z.checkpoint()   # read by fit, count and score
+    z = stored(z, "isolation-rows")   # read by fit, count and score
     nodes, m = fit(z, zcols, id_col, n_trees=n_trees, sample=sample, seed=seed)
-    scored = score(z, nodes, zcols, m).checkpoint()   # read for the threshold and the result
-    thr = scored.agg(F.percentile_approx("if_score", 1 - contamination, 10_000).alias("_thr"))
+    scored = stored(score(z, nodes, zcols, m).withColumn("if_score", T.round_half(F.col("if_score"), 6)), "isolation-scores")   # read for the threshold and the result
+    thr = exact_quantiles(scored, "if_score", [1 - contamination]).select(F.get("quantiles", F.lit(0)).alias("_thr"))
     out = scored.crossJoin(F.broadcast(thr))
     return (out.withColumn("if_anomaly", F.col("if_score") > F.col("_thr"))
                .withColumn("decision_score", F.col("_thr") - F.col("if_score"))

@@ -305,18 +305,11 @@ def training_set(spark, sf_dir):
             .withColumn("energy_joules", T.round_half(F.col("energy_joules"), 6)))
 
 
-# A1 + A10: isolation forest over the anomaly features (rows-only check) ----------
+# A1: the features that detectors read --------------------------------------------
 _IF_COLS = ["token_count", "complexity_score", "char_count", "avg_word_length",
             "vocabulary_richness", "lexical_density", "token_to_word_ratio", "complexity_to_length_ratio"]
 
 
-@register("isolation_forest", None)
-def isolation_forest(spark, sf_dir):
-    from ..operators import isolation as ISO
-    from ..operators.anomaly import anomaly_features
-    m = anomaly_features(measurements(spark, sf_dir)).select("doc_id", *_IF_COLS)
-    return ISO.detect(m, _IF_COLS, "doc_id").select("doc_id", "if_score", "if_anomaly", "decision_score")
-
 
 # Feature statistics and fence flags -------------------------------------------
 @register("anomaly_feature_stats", with_meas(" UNION ALL ".join(
