@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
         found = tempfile.mkdtemp(prefix="promptwatt-shared-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
-    return found
+    return sc.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -48,3 +50,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def byte_texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def slices(ends: np.ndarray, begin: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most `limit` bytes together, or one row."""
+    k = 0
+    while k < len(ends):
+        stop = max(k + 1, int(np.searchsorted(ends, begin + limit, side="right")))
+        yield k, stop
+        begin, k = int(ends[stop - 1]), stop

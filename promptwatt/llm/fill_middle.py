@@ -30,6 +30,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import slices
+
 #: Marks of prefix, suffix and middle.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 SLICE_BYTES = 4 << 20
@@ -97,15 +99,6 @@ class Lines:
         return self.starts.rank(end) - self.starts.rank(begin)
 
 
-def slices(ends: np.ndarray, begin: int, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of at most `limit` bytes together, or one row."""
-    k = 0
-    while k < len(ends):
-        stop = max(k + 1, int(np.searchsorted(ends, begin + limit, side="right")))
-        yield k, stop
-        begin, k = int(ends[stop - 1]), stop
-
-
 def _cut(text: pa.Array, draws: list[np.ndarray], percents: tuple[int, int]) -> dict[str, pa.Array]:
     """Columns n, form, prefix_chars, middle_chars and output of a slice."""
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]

@@ -13,14 +13,14 @@ attempt and renamed at the end, so a task that runs twice leaves one whole shard
 
 Texts are encoded by the tokenizers library. Its byte-level pre-tokenizer never
 joins a space to what precedes it, so a text cut before single spaces between
-other characters encodes piece by piece; pieces met before are looked up. Texts
-with a special token, or with white space next to a cut, go through the library
-whole.
+other characters encodes piece by piece; the distinct pieces of a slice of texts are
+encoded once, frequent ones met before are looked up. Texts with a special token, or with
+white space next to a cut, go through the library whole.
 
 Defined results: null texts are empty and become a single end id; repeated rows
 are documents of their own, in the order of their texts; null doc_ids come first;
-an empty table writes no shard and gives an empty result; extra columns are
-ignored.
+an empty table writes no shard and gives an empty result; a very long text is a
+slice of its own; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,17 +33,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fresh_path, stored
+from .common import fresh_path, slices, stored
 
 SEQUENCE = 2048
 BATCH_ROWS = 256
 END_ID = 2
-#: Pieces that a worker remembers; it starts afresh when it holds more.
-HELD_PIECES = 1_000_000
+#: Bytes of pieces that a worker remembers (some PIECE_BYTES for each beside its
+#: ids); it starts afresh when it would hold more.
+HELD_BYTES = 64 << 20
+PIECE_BYTES = 240
+#: Bytes of texts encoded at a time.
+SLICE_BYTES = 6 << 20
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -57,7 +62,10 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "HI"[self.kind.itemsize // 4]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes | None] = {}
+        mark = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def _plain(self, piece: str) -> bool:
         return piece != "" and piece.strip() == piece and not ("<|" in piece and any(s in piece for s in self.special))
@@ -65,25 +73,76 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
-        heads = [c.pop(0) for c in cut]
-        if len(self.pieces) > HELD_PIECES:
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, each after a space, one after the other, and their numbers.
+        Many pieces go through the library as one text, parted by a newline, whose id
+        parts their ids again."""
+        texts = [" " + "\n ".join(pieces[k:k + 1000]) + "\n" for k in range(0, len(pieces), 1000)]
+        ids = np.frombuffer(b"".join(self._whole(texts)), self.kind) if self.mark is not None else np.zeros(0, self.kind)
+        ends = np.flatnonzero(ids == self.mark) if self.mark is not None else ids
+        if len(ends) != len(pieces):
+            each = self._whole([" " + p for p in pieces])
+            return np.frombuffer(b"".join(each), self.kind), np.array([len(x) for x in each], np.int64) // self.kind.itemsize
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _table(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct pieces: the ids of all, where each begins, its number of ids, and
+        whether a text with it can't be cut. Pieces met twice are remembered."""
+        held = [self.pieces.get(p) for p in pieces]
+        new = [k for k, x in enumerate(held) if x is None and self._plain(pieces[k])]
+        lines = [k for k in new if "\n" in pieces[k]]
+        if lines:
+            for k, x in zip(lines, self._whole([" " + pieces[k] for k in lines])):
+                held[k] = x
+            new = [k for k in new if held[k] is None]
+        ids, sizes = self._joined([pieces[k] for k in new])
+        starts = np.cumsum(sizes) - sizes
+        again = np.flatnonzero(counts[new] > 1)
+        if self.held > HELD_BYTES:
             self.pieces.clear()
-        new = list(set().union(*cut).difference(self.pieces))
-        plain = [p for p in new if self._plain(p)]
-        if len(plain) < len(new):  # no bytes: a text with such a piece can't be cut
-            self.pieces.update(dict.fromkeys(new))
-        self.pieces.update(zip(plain, self._whole([" " + p for p in plain])))
-        cuttable = [not c or self._plain(h) for c, h in zip(cut, heads)]
-        out: list[bytes | None] = self._whole([h if ok else "" for h, ok in zip(heads, cuttable)])
-        for k, c in enumerate(cut):
-            try:
-                out[k] = b"".join([out[k], *map(self.pieces.__getitem__, c)]) if cuttable[k] else None
-            except TypeError:
-                out[k] = None
-        odd = [k for k, x in enumerate(out) if x is None]
-        for k, x in zip(odd, self._whole([texts[k] for k in odd])):
+            self.held = 0
+        for k, a, n in zip(again.tolist(), starts[again].tolist(), sizes[again].tolist()):
+            x = ids[a:a + n].tobytes()
+            size = PIECE_BYTES + 2 * len(pieces[new[k]]) + len(x)
+            if self.held + size > HELD_BYTES:
+                self.held = HELD_BYTES + 1  # full: starts afresh with the next slice
+                break
+            self.pieces[pieces[new[k]]] = x
+            self.held += size
+        known = [k for k, x in enumerate(held) if x is not None]
+        own = np.array([len(held[k]) for k in known], np.int64) // self.kind.itemsize
+        all_starts, all_sizes, odd = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.ones(len(pieces), bool)
+        all_starts[known], all_sizes[known] = np.cumsum(own) - own, own
+        all_starts[new], all_sizes[new] = starts + own.sum(), sizes
+        odd[known] = odd[new] = False
+        return np.concatenate([np.frombuffer(b"".join([held[k] for k in known]), self.kind), ids]), all_starts, all_sizes, odd
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The words of all texts stay in Arrow; only distinct ones become Python
+        objects, and the ids of all words are gathered at once."""
+        cut = pc.split_pattern(texts, " ")
+        words, bounds = cut.flatten(), cut.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        first = bounds[:-1]
+        heads = words.take(pa.array(first)).to_pylist()
+        later = np.ones(len(words), bool)
+        later[first] = False
+        coded = words.filter(pa.array(later)).dictionary_encode()
+        place = coded.indices.to_numpy()
+        flat, starts, sizes, odd_piece = self._table(coded.dictionary.to_pylist(), np.bincount(place, minlength=len(coded.dictionary)))
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(starts[place] - (ends - lengths), lengths) + np.arange(len(lengths) and ends[-1])]
+        pieces = bounds - np.arange(len(bounds))  # the words but for the heads
+        upto = np.concatenate([[0], ends])[pieces]
+        marked = np.concatenate([[0], np.cumsum(odd_piece[place])])[pieces]
+        odd = np.diff(marked) > 0
+        odd |= (np.diff(bounds) > 1) & ~np.array([self._plain(h) for h in heads])
+        out = self._whole(["" if x else h for h, x in zip(heads, odd.tolist())])
+        for k, (a, b) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist())):
+            out[k] += ids[a:b].tobytes()
+        some = np.flatnonzero(odd).tolist()
+        for k, x in zip(some, self._whole(texts.take(pa.array(some, pa.int64())).to_pylist())):
             out[k] = x
         return out
 
@@ -162,9 +221,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, sequenc
             if writer is None:
                 fs, path = filesystem(folder)
                 writer = ShardWriter(fs, f"{path}/shard-{shard:06d}", sequence, encoder(model.value).kind)
-            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for k in range(0, len(ids), 512):
-                writer.add(ids[k:k + 512], encoder(model.value).encode(texts[k:k + 512]))
+            ids, texts = batch.column("doc_id").to_pylist(), pc.fill_null(batch.column("text"), "")
+            for i, j in slices(np.cumsum(pc.binary_length(texts).to_numpy()), 0, SLICE_BYTES):
+                writer.add(ids[i:j], encoder(model.value).encode(texts.slice(i, j - i)))
         if writer is not None:
             writer.close()
             yield pa.record_batch({"shard": [shard], "n_tokens": [writer.n], "n_docs": [writer.docs]})
