@@ -18,8 +18,8 @@ the table of counts by word.
 
 Defined results: null texts are empty and consist of the end token only; a null
 doc_id has remainder 0 (training); repeated rows are rows of their own and all
-train; ties among words at a bound are broken by value; an empty
-table gives an empty result; further columns are ignored.
+train; ties among words at a bound are broken by value; a very long
+text is read by itself; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,22 +30,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import byte_texts, stored
+from .common import byte_texts, slices, stored
 
 DEPTH = 5
 HOT_WORDS = 100_000
 END = b"\n"
 #: Partial counts are handed on, or merged, at these sizes.
-FLUSH_WORDS, FLUSH_GRAMS, CHUNK = 200_000, 1 << 21, 1 << 21
+FLUSH_WORDS, FLUSH_GRAMS, CHUNK = 100_000, 1 << 20, 1 << 19
+#: Bytes of texts that are split into words at a time.
+SLICE_BYTES = 2 << 20
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 1
 
 
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, of at most SLICE_BYTES of text (or one text) at a time."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+        for i, j in slices(np.cumsum(sizes), 0, SLICE_BYTES):
+            yield batch.slice(i, j - i)
+
+
 def chunks(texts: list[list[bytes]]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Of some word lists at a time: their range, the windows of DEPTH + 1 bytes
     as numbers (one for each byte scored) and where each text's windows begin."""
@@ -93,7 +104,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
     grams: list = []
     held = 0
-    for batch in batches:
+    for batch in parts_of(batches):
         texts = [t.lower().split() for t in byte_texts(batch, "text")]
         words[b""] += len(texts)  # the end token, which no word equals
         for t in texts:
@@ -199,7 +210,7 @@ def score(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in parts_of(batches):
             texts = [t.lower().split() for t in byte_texts(batch, "text")]
             out: dict[str, list] = {k: [] for k in ("hot_known", "hot_score", "rare")}
             for t in texts:
