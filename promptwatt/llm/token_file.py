@@ -14,7 +14,7 @@ attempt and renamed at the end, so a task that runs twice leaves one whole shard
 Texts are encoded by the tokenizers library. Its byte-level pre-tokenizer never
 joins a space to what precedes it, so a text cut before single spaces between
 other characters encodes piece by piece; the distinct pieces of a slice of texts are
-encoded once, frequent ones met before are looked up. Texts with a special token, or with
+encoded once, those met before are looked up. Texts with a special token, or with
 white space next to a cut, go through the library whole.
 
 Defined results: null texts are empty and become a single end id; repeated rows
@@ -43,10 +43,9 @@ from .common import fresh_path, slices, stored
 SEQUENCE = 2048
 BATCH_ROWS = 256
 END_ID = 2
-#: Bytes of pieces that a worker remembers (some PIECE_BYTES for each beside its
-#: ids); it starts afresh when it would hold more.
-HELD_BYTES = 64 << 20
-PIECE_BYTES = 240
+#: Bytes of pieces that a worker remembers between slices; it starts afresh when it
+#: holds more.
+HELD_BYTES = 32 << 20
 #: Bytes of texts encoded at a time.
 SLICE_BYTES = 6 << 20
 INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -64,8 +63,11 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         mark = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.pieces: dict[str, bytes] = {}
-        self.held = 0
+        self._forget()
+
+    def _forget(self) -> None:
+        """Pieces met so far: their names, ids one after the other, numbers of ids."""
+        self.names, self.flat, self.sizes = pa.array([], pa.string()), np.zeros(0, self.kind), np.zeros(0, np.int64)
 
     def _plain(self, piece: str) -> bool:
         return piece != "" and piece.strip() == piece and not ("<|" in piece and any(s in piece for s in self.special))
@@ -85,41 +87,28 @@ class Encoder:
             return np.frombuffer(b"".join(each), self.kind), np.array([len(x) for x in each], np.int64) // self.kind.itemsize
         return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
 
-    def _table(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of distinct pieces: the ids of all, where each begins, its number of ids, and
-        whether a text with it can't be cut. Pieces met twice are remembered."""
-        held = [self.pieces.get(p) for p in pieces]
-        new = [k for k, x in enumerate(held) if x is None and self._plain(pieces[k])]
-        lines = [k for k in new if "\n" in pieces[k]]
-        if lines:
-            for k, x in zip(lines, self._whole([" " + pieces[k] for k in lines])):
-                held[k] = x
-            new = [k for k in new if held[k] is None]
-        ids, sizes = self._joined([pieces[k] for k in new])
-        starts = np.cumsum(sizes) - sizes
-        again = np.flatnonzero(counts[new] > 1)
-        if self.held > HELD_BYTES:
-            self.pieces.clear()
-            self.held = 0
-        for k, a, n in zip(again.tolist(), starts[again].tolist(), sizes[again].tolist()):
-            x = ids[a:a + n].tobytes()
-            size = PIECE_BYTES + 2 * len(pieces[new[k]]) + len(x)
-            if self.held + size > HELD_BYTES:
-                self.held = HELD_BYTES + 1  # full: starts afresh with the next slice
-                break
-            self.pieces[pieces[new[k]]] = x
-            self.held += size
-        known = [k for k, x in enumerate(held) if x is not None]
-        own = np.array([len(held[k]) for k in known], np.int64) // self.kind.itemsize
-        all_starts, all_sizes, odd = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.ones(len(pieces), bool)
-        all_starts[known], all_sizes[known] = np.cumsum(own) - own, own
-        all_starts[new], all_sizes[new] = starts + own.sum(), sizes
-        odd[known] = odd[new] = False
-        return np.concatenate([np.frombuffer(b"".join([held[k] for k in known]), self.kind), ids]), all_starts, all_sizes, odd
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Encodes pieces not met before and remembers them; gives the place of each,
+        -1 if a text with it can't be cut."""
+        plain = [k for k, p in enumerate(pieces) if self._plain(p)]
+        simple = [k for k in plain if "\n" not in pieces[k]]
+        lines = [k for k in plain if "\n" in pieces[k]]
+        ids, sizes = self._joined([pieces[k] for k in simple])
+        more = self._whole([" " + pieces[k] for k in lines])
+        names = pa.array([pieces[k] for k in simple + lines], pa.string())
+        sizes = np.concatenate([sizes, np.array([len(x) for x in more], np.int64) // self.kind.itemsize])
+        place = np.full(len(pieces), -1)
+        place[simple + lines] = len(self.sizes) + np.arange(len(sizes))
+        self.names = pa.concat_arrays([self.names, names])
+        self.flat = np.concatenate([self.flat, ids, np.frombuffer(b"".join(more), self.kind)])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        return place
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        """The words of all texts stay in Arrow; only distinct ones become Python
-        objects, and the ids of all words are gathered at once."""
+        """The words of all texts stay in Arrow; only distinct ones not met before
+        become Python objects, and the ids of all words are gathered at once."""
+        if self.names.nbytes + self.flat.nbytes + self.sizes.nbytes > HELD_BYTES:
+            self._forget()
         cut = pc.split_pattern(texts, " ")
         words, bounds = cut.flatten(), cut.offsets.to_numpy().astype(np.int64)
         bounds -= bounds[0]
@@ -128,15 +117,18 @@ class Encoder:
         later = np.ones(len(words), bool)
         later[first] = False
         coded = words.filter(pa.array(later)).dictionary_encode()
-        place = coded.indices.to_numpy()
-        flat, starts, sizes, odd_piece = self._table(coded.dictionary.to_pylist(), np.bincount(place, minlength=len(coded.dictionary)))
-        lengths = sizes[place]
+        found = pc.index_in(coded.dictionary, value_set=self.names)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        at[at < 0] = self._learn(coded.dictionary.filter(found.is_null()).to_pylist())
+        place = at[coded.indices.to_numpy()]
+        odd_piece = place < 0
+        lengths = np.where(odd_piece, 0, self.sizes[place] if len(self.sizes) else 0)
+        starts = np.cumsum(self.sizes) - self.sizes
         ends = np.cumsum(lengths)
-        ids = flat[np.repeat(starts[place] - (ends - lengths), lengths) + np.arange(len(lengths) and ends[-1])]
+        ids = self.flat[np.repeat((starts[place] if len(starts) else place) - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
         pieces = bounds - np.arange(len(bounds))  # the words but for the heads
         upto = np.concatenate([[0], ends])[pieces]
-        marked = np.concatenate([[0], np.cumsum(odd_piece[place])])[pieces]
-        odd = np.diff(marked) > 0
+        odd = np.diff(np.concatenate([[0], np.cumsum(odd_piece)])[pieces]) > 0
         odd |= (np.diff(bounds) > 1) & ~np.array([self._plain(h) for h in heads])
         out = self._whole(["" if x else h for h, x in zip(heads, odd.tolist())])
         for k, (a, b) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist())):

@@ -429,8 +429,8 @@ def test_encoder_gives_the_librarys_ids_in_any_slices(monkeypatch):
     import pyarrow as pa
     from tokenizers import Tokenizer
     rng = random.Random(9)
-    pieces = ["one", "Two,", "three.", "dos", "ñu", "\U0001F600", "<|endoftext|>", "<|", "a\nb", "\n", "x" * 40, "", "\t", " ", "12", "it's"]
-    texts = ["", " ", "  ", "one", " one", "one ", "one  two"] + [" ".join(rng.choices(pieces, weights=[9, 9, 9, 9, 9, 5, .3, .3, 3, .5, 3, .7, .5, .5, 5, 5], k=rng.randint(0, 30))) for _ in range(400)]
+    pieces = ["one", "one.", "one...", "1,", "it's!", "\u00e9;", "\u0660?", "(x).", "?!", "Two,", "three.", "dos", "ñu", "\U0001F600", "<|endoftext|>", "<|", "a\nb", "\n", "x" * 40, "", "\t", " ", "12", "it's"]
+    texts = ["", " ", "  ", "one", " one", "one ", "one  two"] + [" ".join(rng.choices(pieces, weights=[5, 5, 5, 3, 3, 3, 3, 3, 3, 9, 9, 9, 9, 5, .3, .3, 3, .5, 3, .7, .5, .5, 5, 5], k=rng.randint(0, 30))) for _ in range(400)]
     whole = Tokenizer.from_file(TOKENIZER)
     want = [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]
     for held in (token_file.HELD_BYTES, 2000, 0):
@@ -438,4 +438,3 @@ def test_encoder_gives_the_librarys_ids_in_any_slices(monkeypatch):
         encoder = token_file.Encoder(whole.to_str())
         got = [x for at in range(0, len(texts), 37) for x in encoder.encode(pa.array(texts).slice(at, 37))]
         assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
-        assert sum(token_file.PIECE_BYTES + len(x) for x in encoder.pieces.values()) <= held
