@@ -40,9 +40,9 @@ DEPTH = 5
 HOT_WORDS = 100_000
 END = b"\n"
 #: Partial counts are handed on, or merged, at these sizes.
-FLUSH_WORDS, FLUSH_GRAMS, CHUNK = 100_000, 1 << 20, 1 << 19
+FLUSH_WORDS, FLUSH_GRAMS, CHUNK = 100_000, 1 << 20, 1 << 20
 #: Bytes of texts that are split into words at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 
 
 def held_out(doc_id: Column) -> Column:
