@@ -33,7 +33,11 @@ SESSION_GAP_S = 6 * 3600
 
 
 def event_log(spark, sf_dir) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return event_rows(read_table(spark, sf_dir, "events"))
+
+
+def event_rows(e: DataFrame) -> DataFrame:
+    """Rows of ``events`` (a table or a stream) as log rows."""
     idx = (F.pmod(F.col("user_id"), F.lit(5)) + 1).cast("int")
     k = F.get_json_object("props", "$.k").cast("long")
     v = F.col("value")

@@ -18,7 +18,6 @@ from ..operators import energy as E
 from ..operators import evaluate as V
 from ..operators import features as FT
 from ..operators import labels as LB
-from ..operators import optimize as O
 from ..session import read_table
 from . import sqlgen as S
 from .catalog import docs, register
@@ -226,13 +225,6 @@ def flattened_categories(spark, sf_dir):
 
 
 # C2 ----
-@register("clean_prompts", f"""SELECT doc_id, CASE WHEN length(x) > 5 THEN x END AS prompt FROM (
-    SELECT doc_id, {S.collapse_ws("substr(text, 1, CAST(doc_id % 12 AS INTEGER))")} AS x FROM documents)""")
-def clean_prompts(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents")
-    return d.select("doc_id", T.clean_prompt(F.substring(F.col("text"), F.lit(1), (F.col("doc_id") % 12).cast("int"))).alias("prompt"))
-
-
 # C2 over the whole text of every document
 @register("clean_prompts_whole", f"""SELECT doc_id, CASE WHEN length(x) > 5 THEN x END AS prompt FROM (
     SELECT doc_id, {S.collapse_ws("text")} AS x FROM documents)""")
@@ -240,12 +232,6 @@ def clean_prompts_whole(spark, sf_dir):
     return read_table(spark, sf_dir, "documents").select("doc_id", T.clean_prompt("text").alias("prompt"))
 
 
-# A named strategy (rows-only check) ----
-@register("optimize_named", None)
-def optimize_named(spark, sf_dir):
-    return O.optimize(prompts(spark, sf_dir), "doc_id", strategy="compress")
-
-
 # R11 ---------------------------------------------------------------------------------
 @register("replaced_words", S.with_ctes([("src", PROMPTS_SQL)], f"""SELECT doc_id, array_to_string(list_transform({S.ws_words('text')}, lambda w:
     CASE lower(w) {" ".join(f"WHEN {S.s(a)} THEN {S.s(b)}" for a, b in K.WORD_REPLACEMENTS)} ELSE w END), ' ') AS replaced FROM src"""))

@@ -272,23 +272,95 @@ def prompt_rewrites(spark, sf_dir):
     return alternatives(prompts(spark, sf_dir), "doc_id")
 
 
-# O1–O5 -----------------------------------------------------------------------
-@register("optimize_best", None)
+# Candidates, their scores and the choice -------------------------------
+_MIN = K.OPTIMIZER_MIN_SIMILARITY
+_P0 = S.d(0.0)
+
+
+def _optimizer_ctes(top: int) -> list[tuple[str, str]]:
+    """`alt`: a row for each candidate (k of 1 to 5) with its scores and place among
+    those kept; `orig`: the prompts with energy and complexity."""
+    thr = max(0.55, _MIN - 0.10)
+    red = lambda o, x: f"(CASE WHEN {o} > 0 THEN ({o} - {x}) / {o} * 100 ELSE {_P0} END)"
+    achieved = S.round_half(S.round_half(red("CAST(" + S.ws_word_count("text") + " AS DOUBLE)", S.ws_word_count("o_auto")), 2), 0)
+    steps = (f"['Applied ' || o_autolab || ' strategy', CASE WHEN contains(o_autolab, 't5') THEN {S.s(K.SIMPLIFY_STEPS[0])} ELSE {S.s(K.SIMPLIFY_STEPS[1])} END, "
+             f"'Achieved ' || CAST(CAST({achieved} AS BIGINT) AS VARCHAR) || '% token reduction']")
+    more = lambda cond, name: f"CASE WHEN {cond} THEN {S.str_list(K.STRATEGY_STEPS[name])} ELSE [] END"
+    texts = ["text", "t5", "c1", "comp", "trunc", "combined"]
+    ctes = [("src", PROMPTS_SQL), *_base_ctes("src", "text", "o_"), *_aggressive_ctes("o_base_", "o_base", "o_agg"), *_auto_ctes("o_", "text", thr),
+            ("k1", f"""SELECT doc_id, text, {steps} AS steps, {_strip_sql('o_agg')} AS t5, {_strip_sql('o_auto')} AS c1, {_strip_sql(_compress_sql('o_base'))} AS comp,
+                {_strip_sql(_truncate_sql('o_base'))} AS trunc FROM o_auto_"""),
+            *_base_ctes("k1", "c1", "p_"), ("k2", f"SELECT * EXCLUDE (p_dup, p_base), {_strip_sql(_truncate_sql('p_base'))} AS c2 FROM p_base_"),
+            *_base_ctes("k2", "c2", "q_"), *_aggressive_ctes("q_base_", "q_base", "q_agg"),
+            ("k3", f"SELECT * EXCLUDE (q_agg, q_dup, q_base), {_strip_sql('q_agg')} AS c3, {_jaccard_sql('text', 'c1')} AS s1, {_jaccard_sql('text', 'c2')} AS s2 FROM q_agg"),
+            ("k4", f"""SELECT *, CASE WHEN s1 < {S.d(_MIN)} THEN c1 WHEN s2 < {S.d(_MIN)} THEN c2 ELSE c3 END AS combined,
+                list_concat(list_concat(steps, {more(f's1 >= {S.d(_MIN)}', 'truncate')}), {more(f's1 >= {S.d(_MIN)} AND s2 >= {S.d(_MIN)}', 'paraphrase')}) AS combined_steps FROM k3"""),
+            ("cand", " UNION ALL ".join(f"SELECT doc_id, {k} AS k, text AS t, {x} AS x, combined_steps FROM k4" for k, x in enumerate(texts)))]
+    ctes += S.features_ctes("cand", "x", prefix="f", keep_internals=True) + S.complexity_ctes("f4", "x", prefix="x", reuse_internals=True, keep_components=False)
+    ctes += [("xd", "SELECT * EXCLUDE (_clean, _words, _sents) FROM x5")] + S.energy_ctes("xd", prefix="e")
+    score = (f"(CASE WHEN red > 0 THEN {S.d(0.50)} * (red / 50) + {S.d(0.25)} * sim + {S.d(0.15)} * greatest({_P0}, cred / 50) "
+             f"+ {S.d(0.10)} * greatest({_P0}, 1 - length(x) / length(t)) ELSE {S.d(0.1)} * sim END)")
+    return ctes + [
+        ("each1", "SELECT doc_id, k, t, x, combined_steps, energy_joules AS e, complexity_score AS cx FROM e2"),
+        ("orig", "SELECT doc_id, e AS oe, cx AS ocx FROM each1 WHERE k = 0"),
+        ("each2", f"""SELECT c.*, oe, ocx, {red('oe', 'e')} AS red, {red('ocx', 'cx')} AS cred, {_jaccard_sql('t', 'x')} AS sim,
+            trim({_strip_sql('x')}) = trim({_strip_sql('t')}) AS same FROM each1 c JOIN orig USING (doc_id) WHERE k > 0"""),
+        ("each3", f"SELECT *, {S.round_half(f'greatest({_P0}, least({S.d(1.0)}, {score}))', 4)} AS score, NOT same AND sim >= {S.d(_MIN)} AS kept FROM each2"),
+        ("alt", f"""SELECT *, {S.str_list(K.OPTIMIZER_STRATEGIES)}[k] AS strategy,
+            CASE WHEN kept THEN row_number() OVER (PARTITION BY doc_id, kept ORDER BY score DESC, k) END AS place, any_value(kept) OVER (PARTITION BY doc_id) AS any_,
+            least({top}, count(*) FILTER (kept) OVER (PARTITION BY doc_id)) AS n_alternatives FROM each3"""),
+    ]
+
+
+def _best_sql(choice: str, used: str, steps: str) -> str:
+    saved = "(oe - e)"
+    overall = (f"{S.d(0.35)} * greatest({_P0}, red / 50) + {S.d(0.35)} * sim + {S.d(0.20)} * greatest({_P0}, cred / 50) "
+               f"+ {S.d(0.10)} * (CASE WHEN length(x) < length(t) THEN {S.d(1.0)} ELSE {S.d(0.5)} END)")
+    return f"""SELECT doc_id, x AS optimized_prompt, {S.round_half('oe', 6)} AS original_energy_joules, {S.round_half('e', 6)} AS optimized_energy_joules,
+        {S.round_half(f'greatest({_P0}, {saved})', 6)} AS energy_saved_joules, {S.round_half(f'greatest({_P0}, red)', 2)} AS energy_reduction_percent,
+        {S.round_half('sim', 4)} AS semantic_similarity, {S.round_half(f'greatest({_P0}, cred)', 2)} AS complexity_reduction, {used} AS strategy_used,
+        {steps} AS optimization_steps, CAST(n_alternatives AS INTEGER) AS n_alternatives, {S.round_half(f'greatest({_P0}, least({S.d(1.0)}, {overall}))', 4)} AS optimization_score
+        FROM alt WHERE {choice}"""
+
+
+_HELD = ("src", "o_base_", "o_agg", "o_r1", "o_auto_", "k1", "p_base_", "k2", "q_base_", "q_agg", "k4", "cand", "f4", "x5", "e2", "each1", "each3", "alt")
+_AUTO_BEST = _best_sql("CASE WHEN n_alternatives > 0 THEN coalesce(place = 1, false) ELSE k = 5 END", "CASE WHEN n_alternatives > 0 THEN strategy ELSE 'combined' END",
+                       "CASE WHEN n_alternatives > 0 THEN 'Applied ' || strategy || ' strategy' ELSE array_to_string(combined_steps, '; ') END")
+
+
+def best_rows(optimized: DataFrame) -> DataFrame:
+    """The choice with its steps as one text and the number of alternatives."""
+    return (optimized.withColumn("optimization_steps", F.array_join("optimization_steps", "; ")).withColumn("n_alternatives", F.size("alternatives"))
+            .drop("original_prompt", "alternatives"))
+
+
+@register("optimize_best", S.with_ctes(_optimizer_ctes(5), _AUTO_BEST, _HELD))
 def optimize_best(spark, sf_dir):
-    return O.optimize(prompts(spark, sf_dir), "doc_id").drop("original_prompt")
+    return best_rows(O.optimize(prompts(spark, sf_dir), "doc_id"))
+
+
+# A named strategy ----
+@register("optimize_named", S.with_ctes(_optimizer_ctes(3), _best_sql("k = 3", "'compress'", S.s("; ".join(K.STRATEGY_STEPS["compress"]))), _HELD))
+def optimize_named(spark, sf_dir):
+    return best_rows(O.optimize(prompts(spark, sf_dir), "doc_id", strategy="compress"))
 
 
-@register("optimize_alternatives", None)
+@register("optimize_alternatives", S.with_ctes(_optimizer_ctes(5), f"""SELECT doc_id, CAST(place AS INTEGER) AS rank, strategy, {S.round_half('sim', 4)} AS similarity,
+    {S.round_half('e', 2)} AS energy_joules, {S.round_half('red', 2)} AS energy_reduction_percent, {S.round_half('cred', 2)} AS complexity_reduction_percent, score AS optimization_score
+    FROM alt WHERE place <= 5""", _HELD))
 def optimize_alternatives(spark, sf_dir):
     return O.ranked_alternatives(O.optimize(prompts(spark, sf_dir), "doc_id"), "doc_id").drop("prompt")
 
 
-@register("savings_by_strategy", None)
+@register("savings_by_strategy", S.with_ctes(_optimizer_ctes(5) + [("best", _AUTO_BEST)], f"""SELECT strategy_used, count(*) AS prompts,
+    {S.round_half('sum(original_energy_joules)', 4)} AS energy_before_joules, {S.round_half('sum(optimized_energy_joules)', 4)} AS energy_after_joules,
+    {S.round_half('(sum(original_energy_joules) - sum(optimized_energy_joules)) / sum(original_energy_joules) * 100', 2)} AS percent_saved,
+    {S.round_half('avg(energy_reduction_percent)', 2)} AS avg_reduction_percent FROM best GROUP BY strategy_used""", _HELD))
 def savings_by_strategy(spark, sf_dir):
     return O.savings_summary(O.optimize(prompts(spark, sf_dir), "doc_id"))
 
 
-# O6 / O8 ---------------------------------------------------------------------
+# O6 / O8 -------------------------------------------------------------------------
 def _scored(spark, sf_dir):
     d = features(prompts(spark, sf_dir), "text", keep_internals=True)
     d = complexity(d, "text", words_col="_words", sents_col="_sents")

@@ -34,6 +34,19 @@ def start_log_sink(log_stream: DataFrame, path: str, checkpoint: str, *, availab
     return w.start(path)
 
 
+def start_file_sink(stream: DataFrame, path: str, checkpoint: str):
+    """Appends the rows of a stream to Parquet files until all input found is read. The
+    sink's log names the files of each batch, so a batch that is run again replaces
+    itself."""
+    return (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(path))
+
+
+def late_rows(query) -> int:
+    """Rows that a finished query dropped because they came behind its watermark."""
+    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+
+
 def hourly_energy_stream(log_stream: DataFrame, *, lateness: str = "1 hour",
                          ts_col: str = "timestamp") -> DataFrame:
     """ST2: energy per region per hour; events up to ``lateness`` late are
