@@ -38,10 +38,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is a shared folder set by the operator; only when it
     is unset (local tests) do we pick a scratch folder of our own.
     """
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
