@@ -9,12 +9,15 @@ tokens; by default the least one at which every source is seen once in full, so
 that mixing drops no document.
 
 Realisation: every source is cut into BLOCKS blocks by a hash of the document,
-and each epoch of a source visits its blocks in an order of its own. Whole
-epochs take every block; the last, partial one takes blocks in its order until
-the source's share of the budget is used up, and documents of the block on the
-border up to the last that still fits. A hot source is thus many blocks, never
-one group of documents; a window holds the blocks of one source (BLOCKS rows at
-most) or the documents of one border block.
+and each epoch of a source visits its blocks in a permutation of its own. Whole
+epochs take every block; the last, partial one takes a prefix of its permutation,
+until the source's share of the budget is used up, and documents of the block on the
+border up to the last that still fits. The epochs of a source, one after the other,
+are its run, and a row's place is its share of the run: tokens before it over all
+tokens of the run. All sources begin at 0 and end at 1, so the rows up to any
+place hold the sources at the target weights. A hot source is thus many blocks,
+never one group of documents; a window holds the visits of one source (BLOCKS rows
+an epoch) or the documents of one border block.
 
 Defined results: null and empty texts have no tokens and come with every whole
 epoch; a null source is a source of its own; a source without any tokens is seen
@@ -111,18 +114,38 @@ def counted(docs: DataFrame) -> DataFrame:
                              "_mix_block": F.pmod(_order("doc_id"), F.lit(BLOCKS)).cast("int")})
 
 
-def plan(rows: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Rows of counted() with `_mix_copies`, how often each comes, and the
-    weight of its source."""
+def block_plan(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """_mix_of (the source), weight, block, size, full (whole epochs), and of the
+    last epoch: left (tokens for the block and those after it), whole (takes all)."""
     seen = mixed.select(F.col("source").alias("_mix_of"), "weight", F.floor("epochs").cast("int").alias("full"),
                         F.floor((F.col("epochs") - F.floor("epochs")) * F.col("tokens")).cast("long").alias("rest"))
-    blocks = (rows.groupBy("source", "_mix_block").agg(F.sum("_mix_tokens").alias("size"))
+    blocks = (rows.groupBy("source", F.col("_mix_block").alias("block")).agg(F.sum("_mix_tokens").alias("size"))
               .join(seen, F.col("source").eqNullSafe(F.col("_mix_of"))))
-    in_source = Window.partitionBy("source").orderBy(_order("full", "_mix_block"), "_mix_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_source = Window.partitionBy("source").orderBy(_order("full", "block"), "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     left = F.greatest(F.lit(0).cast("long"), F.col("rest") - F.sum("size").over(in_source) + F.col("size"))
-    blocks = blocks.withColumn("left", left).select(
-        "_mix_of", F.col("_mix_block").alias("_mix_of_block"), F.col("weight").alias("_mix_weight"), F.col("full").alias("_mix_full"),
-        F.col("left").alias("_mix_left"), ((F.col("left") >= F.col("size")) & (F.col("rest") > 0)).alias("_mix_whole"))
+    return blocks.withColumn("left", left).select("_mix_of", "weight", "block", "size", "full", "left", ((F.col("left") >= F.col("size")) & (F.col("rest") > 0)).alias("whole"))
+
+
+def visits(blocks: DataFrame) -> DataFrame:
+    """source, epoch, block and the part of the source's run, from `begin`, `width`
+    long, that the visit takes."""
+    last = F.when(F.col("whole"), F.col("size")).otherwise(F.col("left"))
+    number = F.col("full") + (F.col("whole") | (F.col("left") > 0)).cast("int")
+    each = blocks.withColumn("last", last).filter(number > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), number)))
+    each = each.withColumn("taken", F.when(F.col("epoch") <= F.col("full"), F.col("size")).otherwise(F.col("last")))
+    order = Window.partitionBy("_mix_of").orderBy("epoch", _order((F.col("epoch") - 1).cast("int"), "block"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.sum("taken").over(Window.partitionBy("_mix_of"))
+    part = lambda c: F.coalesce(c / F.nullif(whole, F.lit(0)), F.lit(0.0))
+    return each.select(F.col("_mix_of").alias("_mix_from"), F.col("epoch").alias("_mix_at"), F.col("block").alias("_mix_visit"),
+                       part(F.coalesce(F.sum("taken").over(order), F.lit(0))).alias("begin"), F.when(whole > 0, part(F.col("taken"))).otherwise(1.0).alias("width"))
+
+
+def plan(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Rows of counted() with `_mix_copies`, how often each comes, and the
+    weight of its source."""
+    blocks = block_plan(rows, mixed).select(
+        "_mix_of", F.col("block").alias("_mix_of_block"), F.col("weight").alias("_mix_weight"), F.col("full").alias("_mix_full"),
+        F.col("left").alias("_mix_left"), F.col("whole").alias("_mix_whole"))
     rows = rows.join(blocks, F.col("source").eqNullSafe(F.col("_mix_of")) & (F.col("_mix_block") == F.col("_mix_of_block")))
     # only the documents of border blocks need an order
     border = ~F.col("_mix_whole") & (F.col("_mix_left") > 0)
@@ -139,15 +162,17 @@ def repeated(planned: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float | None = MAX_REPEATS, budget: int | None = None) -> DataFrame:
     """A row for each time that a row of docs (doc_id, text, source) comes:
-    doc_id, source, weight, tokens, epoch, block and `place`. Sorted by place,
-    the epochs follow each other, in each the blocks of all sources in the order
-    of that epoch, and in a block its documents."""
+    doc_id, source, weight, tokens, epoch, block and `place`, its share of its
+    source's run. Sorted by place, the rows up to any of them hold the sources at
+    their weights, up to a block or a document."""
     rows = stored(counted(docs.select(F.col("doc_id").cast("long"), "source", "text")).drop("text"), "mix-tokens")
     mixed = stored(weights(source_tokens(rows), target_entropy, max_repeats, budget), "mix-weights")
     out = repeated(plan(rows, mixed))
-    place = F.format_string("%06d-%016x-%016x", "_mix_epoch", _order("_mix_epoch", "_mix_block", "source"), _order("_mix_epoch", "doc_id"))
+    at = visits(block_plan(rows, mixed))
+    out = out.join(at, F.col("source").eqNullSafe(F.col("_mix_from")) & (F.col("_mix_epoch") == F.col("_mix_at")) & (F.col("_mix_block") == F.col("_mix_visit")))
+    inside = F.pmod(_order("_mix_epoch", "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return out.select("doc_id", "source", F.col("_mix_weight").alias("weight"), F.col("_mix_tokens").alias("tokens"),
-                      F.col("_mix_epoch").alias("epoch"), F.col("_mix_block").alias("block"), place.alias("place"))
+                      F.col("_mix_epoch").alias("epoch"), F.col("_mix_block").alias("block"), (F.col("begin") + F.col("width") * inside).alias("place"))
 
 
 def mixed_documents(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float | None = MAX_REPEATS, budget: int | None = None) -> DataFrame:

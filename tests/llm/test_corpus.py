@@ -438,3 +438,40 @@ def test_encoder_gives_the_librarys_ids_in_any_slices(monkeypatch):
         encoder = token_file.Encoder(whole.to_str())
         got = [x for at in range(0, len(texts), 37) for x in encoder.encode(pa.array(texts).slice(at, 37))]
         assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
+
+
+def test_classifier_reads_scripts_above_the_basic_ones(spark):
+    rng = random.Random(4)
+    common, rare = [chr(0x4E00 + k) for k in range(300)], [chr(0x7000 + k) for k in range(4000)]
+    phrase = ["".join(rng.choices(common, k=4)) for _ in range(120)]
+    text = lambda: "".join(rng.choices(phrase, k=60))
+    rows = [(k, text(), "zh") for k in range(80)] + [(100 + k, text(), "zh") for k in range(20)]
+    rows += [(200 + k, "".join(rng.choices(rare, k=240)), "zh") for k in range(20)] + [(300 + k, "".join(rng.choices(common, k=240)), "zh") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(80)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality_classifier.classify(docs, labels).collect()}
+    assert sum(kept[k] for k in [*range(80), *range(100, 120)]) >= 98
+    assert not any(kept[k] for k in range(200, 220)) and not any(kept[k] for k in range(300, 320))
+
+
+def test_mix_holds_its_weights_up_to_any_place(spark):
+    rows = spark.range(12_000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(5 + id % 13 as int))").alias("text"),
+                                      F.expr("case when id % 3 > 0 then 'hot' when id % 2 = 0 then 'b' else concat('s', id % 5) end").alias("source"))
+    for budget in (None, 70_000):
+        out = mixing.mix(rows, 0.95, 8.0, budget).collect()
+        weight = {r.source: r.weight for r in out}
+        assert max(r.epoch for r in out) > 1 and max(weight.values()) < 0.5
+        for tenth in range(1, 11):
+            some = collections.Counter()
+            for r in out:
+                if r.place < tenth / 10:
+                    some[r.source] += r.tokens
+            for s, w in weight.items():
+                assert abs(some[s] / sum(some.values()) - w) < 0.02
+    # the blocks of a source's last epoch are a prefix of that epoch's permutation
+    last = {s: max(r.epoch for r in out if r.source == s) for s in weight}
+    for s, e in last.items():
+        taken = {r.block for r in out if r.source == s and r.epoch == e}
+        whole = spark.range(mixing.BLOCKS).select("id", mixing._order(F.lit(e - 1), F.col("id").cast("int")).alias("o")).orderBy("o", "id").collect()
+        held = {r.block for r in mixing.counted(rows).filter(F.col("source") == s).select(F.col("_mix_block").alias("block")).distinct().collect()}
+        assert taken <= held and {b.id for b in [w for w in whole if w.id in held][:len(taken) - 1]} <= taken
