@@ -41,6 +41,7 @@ FURNITURE_TAGS = frozenset(("nav", "footer", "aside"))
 INHERITED_TAGS = ("article", "main", "nav", "header", "footer", "aside", "ul", "table")
 N_GROUPS, N_TAGS = len(GROUPS), OTHER + 1
 N_FEATURES = N_TAGS + 3 * N_GROUPS + len(INHERITED_TAGS) + 18
+FORM, LAYOUT = re.compile(r"<form\b", re.I), re.compile(r"<(?:main|article|nav)\b", re.I)
 STOPS = re.compile(r"[.,;:!?]")
 
 
@@ -57,6 +58,18 @@ def groups_of(attributes: str) -> tuple[int, ...]:
     return tuple(sorted(out))
 
 
+def wide_forms(html: str) -> set[tuple[int, int]]:
+    """Line and column of forms that hold parts of the page's layout (some servers
+    wrap whole pages in one), which are blocks like others."""
+    out = set()
+    for m in FORM.finditer(html):
+        end = html.find("</form", m.end()) if "</form" in html else -1
+        if LAYOUT.search(html, m.end(), len(html) if end < 0 else end):
+            before = html[:m.start()]
+            out.add((before.count("\n") + 1, m.start() - before.rfind("\n") - 1))
+    return out
+
+
 class Page(HTMLParser):
     """Nodes in page order: tag, parent, groups; of runs also text and the
     number of characters inside links."""
@@ -70,6 +83,7 @@ class Page(HTMLParser):
         self.open: dict[str, int] = {}
         self.skipping = self.links = self.run_links = 0
         self.run: list[str] = []
+        self.wide = wide_forms(html)
         self.feed(html)
         self.close()
         self.flush()
@@ -117,6 +131,8 @@ class Page(HTMLParser):
             return
         if not self.skipping:
             self.flush()
+        if tag == "form" and self.wide and self.getpos() in self.wide:
+            tag = "div"
         if tag in ENDS_P:
             self._imply({"p"}, SCOPES)
         if tag in CLOSES:

@@ -12,7 +12,8 @@ all descendants of a dropped node are dropped, from the leaves up in one pass.
 
 The text is that of the kept runs: character references decoded, white space
 inside a block one space, blocks joined by \\n in page order; a line break element
-ends a block. Scripts, styles, forms and the like never hold text.
+ends a block. Scripts, styles, forms and the like never hold text; a form around a
+page's layout (main, article or nav) is a block like others.
 
 Defined results: null and empty pages, and pages without main text, give an empty
 text; repeated rows are extracted alike; broken markup is closed as browsers do,
