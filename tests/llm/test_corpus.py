@@ -259,6 +259,67 @@ def test_decontamination_finds_every_verbatim_item_of_a_large_benchmark(spark):
     assert decontaminate.clean(df, it).count() == 0
 
 
+def test_latent_space_is_smaller_than_the_passages_and_joins_words_that_occur_together(spark):
+    rng = random.Random(3)
+    topics = [[f"t{t}w{j}" for j in range(12)] for t in range(8)]
+    twin = {f"t{t}w{j}": f"t{t}other{j}" for t in range(8) for j in range(4)}  # used where the item's word could stand
+    text = lambda t, n, share: " ".join(twin.get(w, w) if rng.random() < share else w for w in (rng.choice(topics[t]) for _ in range(n)))
+    items = [(k, text(k % 8, 30, 0.0)) for k in range(40)]
+    docs = [(d, text(d % 8, 200, 0.5)) for d in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert decontaminate.prepared(items, df)["latent"].shape == (40, 20)
+    model = decontaminate.prepared(items, df, rank=8)  # as many as topics
+    number, idf = model["number"], model["idf"]
+    assert all(w.encode() in number for w in twin.values())  # from the windows, not from the items
+
+    def plain(words):
+        x = np.zeros(len(idf))
+        for w in words:
+            x[number[w]] += idf[number[w]]
+        return x / np.linalg.norm(x)
+
+    ours, wrong, gain = [], [], []
+    for k, t in items:
+        words = [twin.get(w, w).encode() for w in t.split()]
+        latent = decontaminate.cosines(model, np.array([number[w] for w in words]), [(0, len(words))])[0]
+        ours.append(latent[k])
+        wrong.append(max(latent[j] for j in range(40) if j % 8 != k % 8))
+        gain.append(latent[k] - plain(words) @ plain([w.encode() for w in t.split()]))
+    assert min(ours) > max(wrong) and min(ours) >= decontaminate.MIN_COSINE
+    assert sum(gain) / len(gain) > 0.1 and sum(g > 0 for g in gain) >= 38
+
+
+def test_decontamination_recall_of_paraphrases_against_brute_force(spark):
+    rng = random.Random(23)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7))) for _ in range(2500)]
+    common = words[:60]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.5 else rng.choice(words) for _ in range(n)]
+    items = [(k, " ".join(text(rng.randint(18, 50))) + ". " + " ".join(text(5)) + ".") for k in range(150)]
+    docs = []
+    for d in range(240):
+        body, own = text(rng.randint(60, 200)), decontaminate.words_of(items[d % 150][1])
+        # every fourth word, at least, is another one: no run of five words is left, the answer stays
+        own = [rng.choice(words) if j % 4 == d % 4 and j < len(own) - 5 else w.decode() for j, w in enumerate(own)]
+        own = [w if j < len(own) - 5 or j != len(own) - 3 else rng.choice(words) for j, w in enumerate(own)]
+        at = rng.randrange(len(body))
+        docs.append((d, " ".join(body[:at] + own + body[at:])))
+    want = set()
+    for d, t in docs:
+        w = decontaminate.words_of(t)
+        for k, it in items:
+            own, answer = decontaminate.words_of(it), decontaminate.answer_of(it)
+            for a in range(0, max(1, len(w) - len(own)), 4):
+                part = w[a:a + 2 * len(own)]
+                share = decontaminate.common_length(own, decontaminate.masks_of(own), part) / len(own)
+                if share >= 0.8 or share >= 0.6 and decontaminate.common_length(answer, decontaminate.masks_of(answer), part) / len(answer) >= 0.8:
+                    want.add((d, k))
+                    break
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.matches(df, it).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert len(want) >= 150 and len(want & got) >= 0.9 * len(want) and len(got - want) <= 0.02 * len(got)
+
+
 def test_latent_vectors_are_singular_vectors(spark):
     rng = np.random.default_rng(1)
     a = rng.random((40, 25)) * (rng.random((40, 25)) < 0.3)
