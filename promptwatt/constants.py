@@ -431,3 +431,14 @@ STRATEGY_STEPS = {
     "truncate": ("Truncated to essential content", "Focused on key sentences"),
     "paraphrase": ("Generated alternative phrasing", "Selected most efficient version"),
 }
+
+# ---------------------------------------------------------------------------
+# Bundled hooks (operators/hooks.py): values of this library.
+# ---------------------------------------------------------------------------
+PIECE_CHARS, PIECE_SPECIALS = 4, 2
+# Endings of words and their Penn tags; the first that fits counts.
+SUFFIX_TAGS = (
+    ("ly", "RB"), ("ing", "VBG"), ("ed", "VBD"), ("ise", "VB"), ("ous", "JJ"), ("ful", "JJ"),
+    ("able", "JJ"), ("al", "JJ"), ("est", "JJS"), ("er", "JJR"), ("s", "NNS"), ("n", "NN"),
+)
+SUFFIX_REST = "DT"

@@ -89,7 +89,7 @@ def _pos_ratios(tags_col: str | None) -> list[Column]:
     total = F.size(tags)
     cols = []
     for nm, tagset in zip(names, (NOUN_TAGS, VERB_TAGS, ADJ_TAGS, ADV_TAGS)):
-        k = F.size(F.filter(tags, lambda x, ts=tagset: x.isin(*ts)))
+        k = T.count_in(tags, tagset)
         cols.append(T.safe_div(k, total).alias(nm))
     return cols
 

@@ -10,5 +10,6 @@ from . import catalog_more  # noqa: F401
 from . import catalog_near  # noqa: F401
 from . import catalog_models  # noqa: F401
 from . import catalog_streams  # noqa: F401
+from . import catalog_hooks  # noqa: F401
 
 REGISTRY = catalog.REGISTRY
