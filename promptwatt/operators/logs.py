@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import text as T
-from .quantiles import exact_quantiles
+from .quantiles import CELLS, exact_quantiles
 
 LOG_COLUMNS = ("id", "timestamp", "prompt_hash", "prompt_preview", "token_count",
                "complexity_score", "energy_kwh", "carbon_kg", "water_liters", "is_anomaly",
@@ -113,7 +113,7 @@ def energy_percentiles(log: DataFrame, start=None, end=None, *, col: str = "ener
     """L4: exact p25/p50/p75/p95 with linear interpolation over the whole
     period; one row, of zeros for an empty period."""
     ps = [0.25, 0.50, 0.75, 0.95]
-    r = exact_quantiles(in_period(log, start, end), col, ps).agg(F.first("quantiles").alias("_q"))
+    r = exact_quantiles(in_period(log, start, end), col, ps, cells=CELLS).agg(F.first("quantiles").alias("_q"))
     return r.select(*[F.coalesce(T.round_half(F.get("_q", F.lit(i)), 6), F.lit(0.0)).alias(f"p{int(p * 100)}")
                       for i, p in enumerate(ps)])
 
@@ -246,7 +246,7 @@ def benchmarks(log: DataFrame, model_col: str, category_col: str) -> DataFrame:
     exact p25/50/75/95."""
     ps = [0.25, 0.50, 0.75, 0.95]
     log = log.select(F.col(model_col).alias("model_type"), F.col(category_col).alias("prompt_category"), "energy_kwh", "token_count")
-    q = exact_quantiles(log, "energy_kwh", ps, ["model_type", "prompt_category"]).select(
+    q = exact_quantiles(log, "energy_kwh", ps, ["model_type", "prompt_category"], cells=CELLS).select(
         F.col("model_type").alias("_m"), F.col("prompt_category").alias("_p"), F.col("quantiles").alias("_q"))
     g = log.groupBy("model_type", "prompt_category").agg(
         T.round_half(F.avg("energy_kwh"), 6).alias("avg_energy_kwh"),

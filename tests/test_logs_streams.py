@@ -173,3 +173,25 @@ def test_isolation_sampling_bound_never_empties_the_forest():
     for n in (1, 100, 10 ** 6, 10 ** 10, 10 ** 13):
         drawn = (sample_bound(n, 256) + 2 ** 63) / 2 ** 64 * n
         assert drawn >= min(n, 700) * 0.99 and sample_bound(n, 256) < 2 ** 63
+
+
+def test_exact_quantiles_by_cells_are_the_same(spark):
+    import numpy as np
+    from promptwatt.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(7)
+    ps = [0.0, 0.25, 0.5, 0.95, 1.0]
+    for n in (0, 1, 2, 9000):
+        x = np.where(rng.random(n) < 0.3, 1.5, np.exp(rng.normal(0, 3, n)))  # ties and a long tail
+        rows = [(None if k % 4 == 3 else k % 4, float(v)) for k, v in enumerate(x)]
+        df = spark.createDataFrame(rows, "k int, v double").repartition(3)
+        for cells in (1, 16, 4096):
+            got = exact_quantiles(df, "v", ps, cells=cells).collect()
+            assert len(got) == 1 and np.allclose(got[0].quantiles, np.quantile(x, ps) if n else [])  # none of an empty table
+        got = {r.k: r.quantiles for r in exact_quantiles(df, "v", ps, ["k"], cells=64).collect()}
+        assert set(got) == {k for k, _ in rows}
+        for k, q in got.items():
+            assert np.allclose(q, np.quantile([v for j, v in rows if j == k], ps))
+    inf = float("inf")
+    odd = spark.createDataFrame([(v,) for v in (-inf, -1e308, -1.0, -0.0, 0.0, 2.0, 2.0, 1e308, inf, None)], "v double")
+    for p in ([0.25, 0.75], [0.5], [0.125]):
+        assert exact_quantiles(odd, "v", p, cells=8).first()[0] == exact_quantiles(odd, "v", p).first()[0]
