@@ -18,7 +18,7 @@ from ..operators import labels as LB
 from ..operators.complexity import complexity
 from ..operators.energy import estimate_energy
 from ..operators.features import features
-from ..session import read_table
+from ..session import read_table, stored
 from . import sqlgen as S
 from .catalog import docs, register
 
@@ -41,6 +41,12 @@ def measurements(spark, sf_dir) -> DataFrame:
     return d.withColumnRenamed("energy_joules", "predicted")
 
 
+def held_measurements(spark, sf_dir, *cols) -> DataFrame:
+    """These columns of the measurements, computed once and kept as a table, for
+    queries that read them more than once."""
+    return stored(measurements(spark, sf_dir).select(*cols), "measurements")
+
+
 def _pow15(x: str) -> str:
     return f"pow({x}, {S.d(1.5)})"
 
@@ -104,7 +110,7 @@ def _r(x, n=6):
     CAST(min(token_count) AS DOUBLE) AS min_tokens, CAST(max(token_count) AS DOUBLE) AS max_tokens,
     min(label_b) AS min_energy, max(label_b) AS max_energy, avg(label_b) AS mean_energy FROM m""")]))
 def calibration_fit(spark, sf_dir):
-    f = V.calibration_fit(measurements(spark, sf_dir), "token_count", "label_b")
+    f = V.calibration_fit(held_measurements(spark, sf_dir, "token_count", "label_b"), "token_count", "label_b")
     return f.select(*[T.round_half(F.col(c), 6).alias(c) if c not in ("min_tokens", "max_tokens") else F.col(c)
                       for c in ("energy_intercept", "energy_slope", "linear_r2", "correlation", "min_tokens",
                                 "max_tokens", "min_energy", "max_energy", "mean_energy", "residual_std",
@@ -154,13 +160,13 @@ def _rounded_metrics(df: DataFrame, keys=()):
       CASE WHEN NOT (within_20 >= {S.d(70.0)}) THEN 'within_20' END], lambda z: z IS NOT NULL), ',') AS failed_standards
     FROM vm)""", extra=[_ybar(None), ("vm", _metrics_sql(None))]))
 def validation_metrics(spark, sf_dir):
-    m = V.regression_metrics(measurements(spark, sf_dir), "label_a", "predicted")
+    m = V.regression_metrics(held_measurements(spark, sf_dir, "label_a", "predicted"), "label_a", "predicted")
     return V.standards_check(_rounded_metrics(m))
 
 
 @register("validation_by_lang", with_meas(_metrics_sql("lang"), extra=[_ybar("lang")]))
 def validation_by_lang(spark, sf_dir):
-    return _rounded_metrics(V.regression_metrics(measurements(spark, sf_dir), "label_a", "predicted",
+    return _rounded_metrics(V.regression_metrics(held_measurements(spark, sf_dir, "lang", "label_a", "predicted"), "label_a", "predicted",
                                                  group_by=["lang"]), ["lang"])
 
 
@@ -175,7 +181,7 @@ _DCOLS = ("token_count", "word_count", "char_count", "avg_word_length", "avg_sen
         {_r(f'quantile_cont({c}, 0.25)')} AS q1, {_r(f'quantile_cont({c}, 0.5)')} AS median,
         {_r(f'quantile_cont({c}, 0.75)')} AS q3 FROM m""" for c in _DCOLS)))
 def describe_features(spark, sf_dir):
-    d = V.describe(measurements(spark, sf_dir), list(_DCOLS))
+    d = V.describe(held_measurements(spark, sf_dir, *_DCOLS), list(_DCOLS))
     return d.select("column", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("mean", "std", "min", "max", "q1", "median", "q3")])
 
 
@@ -205,7 +211,7 @@ _BIN_SQL = ("CASE WHEN avg_word_length > 0 AND avg_word_length <= 5 THEN 'Simple
     {_r('quantile_cont(label_a, 0.25)')} AS q1, {_r('quantile_cont(label_a, 0.5)')} AS median,
     {_r('quantile_cont(label_a, 0.75)')} AS q3, {_r('max(label_a)')} AS max FROM m GROUP BY 1"""))
 def word_length_bins(spark, sf_dir):
-    d = V.distribution_by(measurements(spark, sf_dir), V.right_closed_bins(F.col("avg_word_length")), "label_a")
+    d = V.distribution_by(held_measurements(spark, sf_dir, "avg_word_length", "label_a"), V.right_closed_bins(F.col("avg_word_length")), "label_a")
     return d.select("bin", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("min", "q1", "median", "q3", "max")])
 
 
@@ -213,7 +219,7 @@ def word_length_bins(spark, sf_dir):
       least(floor((label_a - _lo) / ((_hi - _lo) / 20)), 19) END AS INTEGER) AS bucket, count(*) AS count
     FROM m CROSS JOIN (SELECT min(label_a) AS _lo, max(label_a) AS _hi FROM m) GROUP BY 1"""))
 def energy_histogram(spark, sf_dir):
-    return V.histogram(measurements(spark, sf_dir), "label_a", 20)
+    return V.histogram(held_measurements(spark, sf_dir, "label_a"), "label_a", 20)
 
 
 # D5 --------------------------------------------------------------------------------
@@ -237,7 +243,7 @@ _MEANS = ("token_count", "avg_word_length")
     {_r('(avg(label_a) FILTER (label_a > _med) - avg(label_a) FILTER (label_a <= _med)) / avg(label_a) FILTER (label_a > _med) * 100')} AS potential_savings_percent
     FROM m CROSS JOIN (SELECT quantile_cont(label_a, 0.5) AS _med FROM m)"""))
 def median_split(spark, sf_dir):
-    d = V.median_split(measurements(spark, sf_dir), "label_a", "label_a", _MEANS)
+    d = V.median_split(held_measurements(spark, sf_dir, "label_a", *_MEANS), "label_a", "label_a", _MEANS)
     return d.select("high_count", "low_count", *[T.round_half(F.col(c), 6).alias(c) for c in d.columns if not c.endswith("_count") or c.endswith("token_count")])
 
 
@@ -296,8 +302,8 @@ _ID, _COPY = "CAST(doc_id AS VARCHAR)", "(CAST(doc_id AS VARCHAR) || ':' || CAST
         label_b * ({S.d(0.97)} + {S.d(0.06)} * {_unit(_COPY, 'e')}), 'augmented', copy
         FROM m CROSS JOIN (SELECT unnest(range(1, 6)) AS copy) WHERE doc_id % 10 = 0)"""))
 def training_set(spark, sf_dir):
-    m = measurements(spark, sf_dir).select("doc_id", "token_count", "complexity_score",
-                                           F.col("label_b").alias("energy_joules"))
+    m = held_measurements(spark, sf_dir, "doc_id", "token_count", "complexity_score",
+                          F.col("label_b").alias("energy_joules"))
     measured = m.filter(F.pmod("doc_id", F.lit(10)) == 0)
     aug = LB.augment(measured, id_col="doc_id")
     out = LB.union_sources(synthetic=m, measured=measured, augmented=aug)
@@ -319,8 +325,8 @@ _IF_COLS = ["token_count", "complexity_score", "char_count", "avg_word_length",
     for c in ("token_count", "complexity_score", "char_count", "avg_word_length"))))
 def anomaly_feature_stats(spark, sf_dir):
     from ..operators.anomaly import feature_statistics
-    st = feature_statistics(measurements(spark, sf_dir),
-                            ["token_count", "complexity_score", "char_count", "avg_word_length"])
+    cols = ["token_count", "complexity_score", "char_count", "avg_word_length"]
+    st = feature_statistics(held_measurements(spark, sf_dir, *cols), cols)
     return st.select("feature", *[T.round_half(F.col(c), 6).alias(c) for c in ("mean", "std", "q1", "q3")],
                      T.round_half(F.col("q3") - F.col("q1"), 6).alias("iqr"))
 
@@ -331,6 +337,6 @@ def energy_model_selection(spark, sf_dir):
     from ..operators import ml as ML
     cols = ["token_count", "word_count", "char_count", "complexity_score", "avg_word_length",
             "avg_sentence_length"]
-    m = measurements(spark, sf_dir).select("doc_id", *cols, "label_b")
+    m = held_measurements(spark, sf_dir, "doc_id", *cols, "label_b")
     _, metrics = ML.select_best(m, cols, "label_b", "doc_id", kinds=("boosting", "forest", "ridge", "elastic_net"))
     return metrics.select("model", "n", *[T.round_half(F.col(c), 6).alias(c) for c in ("r2", "rmse", "mae")])
