@@ -75,3 +75,12 @@ def test_prefix_search(spark):
         found += want != r.t
         assert r.o == want
     assert found > 10
+
+
+def test_all_trusted_documents_train(spark):
+    """No limit: of 26,000 trusted documents all but every fifth of a language train."""
+    from promptwatt.llm import quality_classifier as Q
+
+    trusted = spark.range(26_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1000, "rare").otherwise("big").alias("lang"))
+    got = {(r.lang, r.held): r["count"] for r in Q.training_sample(trusted, ["big", "rare"]).join(trusted, "doc_id").groupBy("lang", "held").count().collect()}
+    assert got == {("big", True): 5000, ("big", False): 20_000, ("rare", True): 200, ("rare", False): 800}
