@@ -5,13 +5,13 @@ passages in documents, then longest-common-subsequence and answer checks.
    block is one set of queries against all documents, so what tasks receive has a
    bound that does not depend on the size of the benchmark.
 2. The space is learnt from the block's passages (items cut into at most PASSAGE
-   words) and from document windows near them: of a sample of about FIT_DOCS
-   documents, drawn by a hash of doc_id, at most FIT_WINDOWS distinct windows in
-   which words of the block hold the share MIN_SHARE of the weight. Words that
-   occur with the block's words in MIN_WITH of these windows join the vocabulary,
-   so a synonym gets a place beside the word it stands for. Only this fit is
-   sampled: document frequencies are counted over all documents, and all windows
-   of all documents are searched.
+   words) and from all document windows near them: the distinct windows of all
+   documents in which words of the block hold the share MIN_SHARE of the weight.
+   Words that occur with the block's words in MIN_WITH of these windows, and in as
+   many of every PER of them, join the vocabulary, so a synonym gets a place beside
+   the word it stands for and the vocabulary has a bound (WINDOW / MIN_WITH * PER
+   words join at most). Nothing is sampled: windows, the words beside and document
+   frequencies come from all documents, and windows stay a distributed table.
 3. Randomised subspace iteration over the distributed TF-IDF rows gives their
    right singular vectors: each pass sums A^T (A W) over the tasks, and a final
    Gram matrix rotates the basis. The rank is at most half the number of passages
@@ -39,7 +39,6 @@ ignored by `matches` and kept by `clean`.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -53,10 +52,15 @@ BLOCK_CHARS = 1 << 18
 PASSAGE = 64
 WINDOW, STEP = 32, 16
 RANK, OVERSAMPLE, ITERATIONS, SEED = 256, 16, 3, 5
-FIT_DOCS, FIT_WINDOWS, MIN_WITH = 10_000, 4096, 3
+MIN_WITH, PER = 3, 4096
 MIN_SHARE, MIN_COSINE = 0.12, 0.5
-#: Windows whose cosines are taken together.
+#: Windows whose cosines, or whose part of the space, are taken together.
 TOGETHER = 256
+#: Tasks of a pass over the rows, each of which sends a sum as large as the basis, and
+#: words of the basis in a row of that sum.
+SUMS, SLICE = 64, 64
+#: Words a task counts before it hands on what it has.
+HELD_WORDS = 200_000
 SURE, LIKELY, ANSWER = 0.8, 0.6, 0.8
 MIN_WORDS, MAX_ANSWER = 5, 12
 
@@ -125,18 +129,27 @@ def latent_space(passages: DataFrame, words: int, rank: int = RANK) -> np.ndarra
             w = known.value
             total = np.zeros((w.shape[1], w.shape[1]) if gram else w.shape)
             for batch in batches:
-                for ids, x in zip(batch.column("ids").to_pylist(), batch.column("weights").to_pylist()):
-                    y = np.asarray(x) @ w[ids]
+                for at in range(0, batch.num_rows, TOGETHER):
+                    part = batch.slice(at, TOGETHER)
+                    sizes = part.column("ids").value_lengths().to_numpy()
+                    ids, x = part.column("ids").flatten().to_numpy(), part.column("weights").flatten().to_numpy()[:, None]
+                    y = np.add.reduceat(w[ids] * x, np.cumsum(sizes) - sizes)  # no row is empty
                     if gram:
-                        total += np.outer(y, y)
+                        total += y.T @ y
                     else:
-                        total[ids] += np.outer(x, y)  # a row's ids are distinct
-            yield pa.record_batch({"part": pa.array([total.tobytes()], pa.binary())})
+                        order = np.argsort(ids, kind="stable")
+                        here, first = np.unique(ids[order], return_index=True)
+                        total[here] += np.add.reduceat(y[np.repeat(np.arange(len(y)), sizes)[order]] * x[order], first)
+            cuts = range(0, len(total), SLICE)
+            yield pa.record_batch({"slice": pa.array(list(cuts), pa.int64()), "part": pa.array([total[k:k + SLICE].tobytes() for k in cuts], pa.binary())})
 
-        out = 0
-        for r in passages.select("ids", "weights").mapInArrow(run, "part binary").toLocalIterator():
-            out = out + np.frombuffer(r.part)
-        return np.reshape(out, (basis.shape[1], basis.shape[1]) if gram else basis.shape)
+        def add(parts: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(p.as_buffer()) for p in parts.column("part"))
+            return pa.table({"slice": parts.column("slice")[:1], "part": pa.array([total.tobytes()], pa.binary())})
+
+        parts = passages.filter("size(ids) > 0").select("ids", "weights").coalesce(SUMS).mapInArrow(run, "slice long, part binary")
+        found = sorted(parts.groupBy("slice").applyInArrow(add, "slice long, part binary").collect())  # as large as the basis
+        return np.concatenate([np.frombuffer(r.part) for r in found]).reshape((basis.shape[1], basis.shape[1]) if gram else basis.shape)
 
     size = min(rank + OVERSAMPLE, words)
     basis = np.linalg.qr(np.random.default_rng(SEED).standard_normal((words, size)))[0]
@@ -173,40 +186,57 @@ def powers(weight: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarra
     return c[last] - c[first]
 
 
-def near_windows(docs: DataFrame, vocabulary: set[bytes]) -> list[list[bytes]]:
-    """The windows the space is fitted on: at most FIT_WINDOWS distinct ones, by a
-    hash, of those near the vocabulary in about FIT_DOCS documents."""
-    parts = max(1, -(-docs.count() // FIT_DOCS))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == 0)
-    df, n_docs = document_frequencies(sample, vocabulary)
+def near_windows(docs: DataFrame, idf: dict[bytes, float], other: float) -> DataFrame:
+    """The windows the space is fitted on: line, the words of each distinct window of
+    all documents that is near the words of idf; other: the weight of other words."""
     sc = docs.sparkSession.sparkContext
-    known = sc.broadcast(({w: inverse(df.get(w, 0), n_docs) for w in vocabulary}, inverse(0, n_docs)))
+    known = sc.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, other = known.value
-        best: dict[bytes, int] = {}
-
-        def smallest() -> dict[bytes, int]:
-            return dict(sorted(best.items(), key=lambda x: (x[1], x[0]))[:FIT_WINDOWS])
-
+        idf = known.value
         for batch in batches:
+            lines: set[bytes] = set()
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
-                if not words:
-                    continue
                 weight = np.array([idf.get(w, 0.0) for w in words])
+                if not weight.any():
+                    continue
                 first, last = windows_of(len(words))
                 near = powers(weight, first, last) >= MIN_SHARE * powers(np.where(weight > 0, weight, other), first, last)
-                for a, b in zip(first[near].tolist(), last[near].tolist()):
-                    line = b" ".join(words[a:b])
-                    best[line] = zlib.crc32(line)
-                    if len(best) >= 4 * FIT_WINDOWS:
-                        best = smallest()
-        best = smallest()
-        yield pa.record_batch({"line": pa.array(list(best), pa.binary()), "h": pa.array(list(best.values()), pa.int64())})
+                lines.update(b" ".join(words[a:b]) for a, b in zip(first[near].tolist(), last[near].tolist()))
+            yield pa.record_batch({"line": pa.array(list(lines), pa.binary())})
 
-    found = sample.select("text").mapInArrow(run, "line binary, h long").distinct().orderBy("h", "line").limit(FIT_WINDOWS)
-    return [bytes(r.line).split() for r in found.collect()]  # bounded by FIT_WINDOWS windows of WINDOW words
+    return stored(docs.select("text").mapInArrow(run, "line binary").distinct(), "near-windows")
+
+
+def words_beside(windows: DataFrame, own: set[bytes]) -> list[bytes]:
+    """Words outside own that occur in enough of the windows."""
+    least = max(MIN_WITH, -(-MIN_WITH * windows.count() // PER))
+    known = windows.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter = Counter()
+
+        def held() -> pa.RecordBatch:
+            return pa.record_batch({"word": pa.array(list(n), pa.binary()), "n": pa.array(list(n.values()), pa.int64())})
+
+        for batch in batches:
+            for line in batch.column("line").to_pylist():
+                n.update(set(line.split()) - known.value)
+            if len(n) >= HELD_WORDS:
+                yield held()
+                n.clear()
+        yield held()
+
+    found = windows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return sorted(bytes(r.word) for r in found.collect())  # at most WINDOW / MIN_WITH * PER words
+
+
+def weighted(words: list[bytes], number: dict[bytes, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the known words, and their weights, of length 1 together."""
+    ids, n = np.unique([number[w] for w in words if w in number], return_counts=True)
+    x = n * idf[ids]
+    return ids, x / np.linalg.norm(x)
 
 
 def prepared(items: list[tuple[int, str]], docs: DataFrame, rank: int = RANK) -> dict | None:
@@ -215,29 +245,32 @@ def prepared(items: list[tuple[int, str]], docs: DataFrame, rank: int = RANK) ->
     if not items:
         return None
     own = sorted({w for _, _, words in items for w in words})
-    windows = near_windows(docs, set(own))
-    beside = Counter(w for words in windows for w in set(words))
-    for w in own:
-        beside.pop(w, None)
-    vocabulary = own + sorted(w for w, n in beside.items() if n >= MIN_WITH)  # the block's words come first
-    df, n_docs = document_frequencies(docs, set(vocabulary))
+    df, n_docs = document_frequencies(docs, set(own))
+    other = inverse(0, n_docs)
+    windows = near_windows(docs, {w: inverse(df.get(w, 0), n_docs) for w in own}, other)
+    beside = words_beside(windows, set(own))
+    vocabulary = own + beside  # the block's words come first
+    df |= document_frequencies(docs, set(beside))[0] if beside else {}
     number = {w: k for k, w in enumerate(vocabulary)}
     idf = np.array([inverse(df.get(w, 0), n_docs) for w in vocabulary])
 
-    def row(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids, n = np.unique([number[w] for w in words if w in number], return_counts=True)
-        x = n * idf[ids]
-        return ids, x / np.linalg.norm(x)
-
     passages, owners = [], []
     for k, (_, _, words) in enumerate(items):
         for a in range(0, len(words), PASSAGE):
-            passages.append(row(words[a:a + PASSAGE]))
+            passages.append(weighted(words[a:a + PASSAGE], number, idf))
             owners.append(k)
-    balance = math.sqrt(min(1.0, len(passages) / max(1, len(windows))))
-    rows = passages + [(ids, x * balance) for ids, x in map(row, windows)]
-    table = docs.sparkSession.createDataFrame([(ids.tolist(), x.tolist()) for ids, x in rows], "ids array<int>, weights array<double>")
-    table = stored(table.repartition(max(1, min(8, len(rows) // 512))), "latent-passages")
+    balance = math.sqrt(min(1.0, len(passages) / max(1, windows.count())))
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast((number, idf))
+
+    def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, idf = known.value
+        for batch in batches:
+            rows = [weighted(line.split(), number, idf) for line in batch.column("line").to_pylist()]
+            yield pa.record_batch({"ids": pa.array([ids for ids, _ in rows], pa.list_(pa.int32())), "weights": pa.array([x * balance for _, x in rows], pa.list_(pa.float64()))})
+
+    table = spark.createDataFrame([(ids.tolist(), x.tolist()) for ids, x in passages], "ids array<int>, weights array<double>")
+    table = stored(table.repartition(1).unionByName(windows.mapInArrow(window_rows, table.schema)), "latent-rows")
     space = latent_space(table, len(vocabulary), min(rank, max(1, len(passages) // 2)))
     latent = np.array([x @ space[ids] for ids, x in passages])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
@@ -245,7 +278,7 @@ def prepared(items: list[tuple[int, str]], docs: DataFrame, rank: int = RANK) ->
     runs = [np.unique(run_keys(np.array([number[w] for w in words]))) for _, _, words in items]
     keys, holders = np.concatenate(runs), np.repeat(np.arange(len(items)), [len(x) for x in runs])
     order = np.argsort(keys, kind="stable")
-    return {"number": number, "own": len(own), "idf": idf, "other": inverse(0, n_docs), "space": space.astype(np.float32),
+    return {"number": number, "own": len(own), "idf": idf, "other": other, "space": space.astype(np.float32),
             "latent": latent.astype(np.float32), "owners": np.array(owners), "anchors": (keys[order], holders[order]),
             "ids": [i for i, _, _ in items], "words": [w for _, _, w in items],
             "masks": [masks_of(w) for _, _, w in items], "answers": [(a := answer_of(t), masks_of(a)) for _, t, _ in items]}

@@ -180,6 +180,23 @@ def test_rare_language_has_its_own_model_and_quantile_at_every_sample_size(spark
     assert {r["lang"]: r["count"] for r in drawn} == {"big": 50, "rare": 50}
 
 
+def test_classifier_moves_hardly_more_texts_than_train(spark):
+    docs = spark.range(20_000).selectExpr("if(id = 7, null, id div 2) as doc_id", "concat('text ', id) as text", "'en' as lang")  # ids repeat, one is null
+    ids = spark.range(0, 10_000, 20).toDF("doc_id")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were too many ids
+    try:
+        got = quality_classifier.texts_of(docs, ids)
+        assert sorted(r.text for r in got.collect()) == sorted(f"text {i}" for i in range(20_000) if i != 7 and i // 2 % 20 == 0)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("ShuffledHashJoin"):]
+        assert "SortMergeJoin" not in plan and join.index("Exchange") < join.index("BroadcastHashJoin")  # the bitmap comes before the shuffle
+        none = quality_classifier.texts_of(docs, ids.limit(0))
+        assert none.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_threshold_is_the_quantile_and_the_length_term_alone(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     models, ids = quality_classifier.prepared(docs, labels)
@@ -320,6 +337,18 @@ def test_decontamination_recall_of_paraphrases_against_brute_force(spark):
     assert len(want) >= 150 and len(want & got) >= 0.9 * len(want) and len(got - want) <= 0.02 * len(got)
 
 
+def test_latent_space_is_fitted_on_the_windows_of_all_documents(spark):
+    # 24,000 documents hold a run of the item's words, each beside a word of its own number
+    docs = spark.range(24_000).selectExpr("id as doc_id", "concat('one two three four five n', id, if(id % 4000 = 11, ' seldom', if(id % 200 = 11, ' synonym', ''))) as text")
+    idf = {w: 1.0 for w in (b"one", b"two", b"three", b"four", b"five")}
+    windows = decontaminate.near_windows(docs, idf, 2.0)
+    assert windows.count() == 24_000
+    assert decontaminate.words_beside(windows, set(idf)) == [b"synonym"]  # in 3 of 4096 windows, or more
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat(if(id in (5, 6, 7), 'one two three four five synonym ', ''), 'n', id) as text")
+    number = decontaminate.prepared([(1, "one two three four five")], docs)["number"]
+    assert sorted(number) == sorted([*idf, b"synonym"])
+
+
 def test_latent_vectors_are_singular_vectors(spark):
     rng = np.random.default_rng(1)
     a = rng.random((40, 25)) * (rng.random((40, 25)) < 0.3)
