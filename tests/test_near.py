@@ -109,3 +109,31 @@ def test_similar_texts_match_brute_force(spark, monkeypatch, hot, tile, threshol
     got = {r.doc_id: (r.class_id, r.links) for r in similar.similar_texts(df, "doc_id", "text", threshold).collect()}
     assert got == links_plainly(rows, threshold)
     assert similar.similar_texts(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_chance_meetings_of_long_texts_move_no_words(spark, monkeypatch):
+    rows = [(i, " ".join([f"pair{i // 2}", *(f"w{i}x{j}" for j in range(600))])) for i in range(60)]
+    rows += [(100, rows[0][1] + " more"), (101, rows[0][1])]
+    kept, stored = {}, similar.stored
+    monkeypatch.setattr(similar, "stored", lambda df, name="table": kept.setdefault(name, stored(df, name)))
+    got = {r.doc_id: (r.class_id, r.links) for r in similar.similar_texts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 0.8).collect()}
+    assert got == links_plainly(rows, 0.8) and got[0] == (0, 2)
+    assert [tuple(r) for r in kept["near-pairs"].collect()] == [(0, 100)]
+
+
+@pytest.mark.parametrize("hot", [64, 2])
+def test_similar_texts_of_rows_that_come_twice(spark, monkeypatch, hot):
+    monkeypatch.setattr(similar, "HOT", hot)
+    rows = list(enumerate(near_copies(12, 30, 4, 5) + ["one two", None]))
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    once = links_plainly(rows, 0.8)
+    out = [(r.doc_id, (r.class_id, r.links)) for r in similar.similar_texts(df, "doc_id", "text", 0.8).collect()]
+    words = dict(rows)
+    assert sorted(out) == sorted([(i, (c, 2 * n + bool(words[i]))) for i, (c, n) in once.items()] * 2)
+
+
+def test_sketches_fold_to_the_smaller_size(spark):
+    a, b = [1, 2, 4, 8, 16, 32, 64, 128], [17, 34, 68, 136]
+    r = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
+        similar.folded(F.col("a"), F.lit(4)), similar.folded(F.col("b"), F.lit(4)), similar.folded(F.col("a"), F.lit(2))).first()
+    assert r[0] == b and r[1] == b and r[2] is None
