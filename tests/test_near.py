@@ -137,3 +137,18 @@ def test_sketches_fold_to_the_smaller_size(spark):
     r = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
         similar.folded(F.col("a"), F.lit(4)), similar.folded(F.col("b"), F.lit(4)), similar.folded(F.col("a"), F.lit(2))).first()
     assert r[0] == b and r[1] == b and r[2] is None
+
+
+def test_chance_meetings_at_a_hot_word_move_no_words(spark, monkeypatch):
+    monkeypatch.setattr(similar, "HOT", 3)
+    monkeypatch.setattr(similar, "TILE", 8)
+    rows = [(i, " ".join(["shared", *(f"w{i}x{j}" for j in range(100 + 20 * (i % 9)))])) for i in range(40)]
+    rows += [(100, rows[7][1] + " more")]
+    kept, stored = {}, similar.stored
+    monkeypatch.setattr(similar, "stored", lambda df, name="table": kept.setdefault(name, stored(df, name)))
+    monkeypatch.setattr(similar, "frequent_words", lambda sets: stored(sets.limit(0).select(F.lit(0).alias("word"), F.lit(0).alias("df")), "none").toPandas())
+    monkeypatch.setattr(similar, "_needed", lambda n, threshold: n * 0 + 1)  # whole sets as prefixes, also a valid bound
+    got = {r.doc_id: (r.class_id, r.links) for r in similar.similar_texts(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 0.8).collect()}
+    assert got == links_plainly(rows, 0.8) and got[7] == (7, 1)
+    assert {r["class"] for r in kept["hot-words"].collect()} == {i for i, _ in rows}
+    assert {r["class"] for r in kept["tile-rows"].collect()} == {7, 100}
