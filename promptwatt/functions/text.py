@@ -22,6 +22,16 @@ SENT_MARK = "\u0001"
 # K.EXOTIC_WS; three comparisons settle a character of most scripts.
 _EXOTIC = r"[\x1c-\x1f\x85\xa0[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]"
 
+# Control characters that are not whitespace.
+_CTRL_NOT_WS = r"[\x00-\x1b\x7f-\x9f&&[^\x09-\x0d\x85]]"
+# Both of them: low characters listed one by one are settled by one lookup.
+_ODD = ("[[" + r"\x{1680}-\x{3000}&&" + _EXOTIC[_EXOTIC.index("&&") + 2:-2] + "]"
+        + "".join(rf"\x{c:02x}" for c in (*range(0x09), *range(0x0e, 0x20), *range(0x7f, 0xa1))) + "]")
+# Letters by how common they are in English.
+_COMMON_FIRST = " etaoinshrdlcumwfgypbvkjxqz"
+# From a ' ' to a later one over lower-case words alone.
+_PLAIN_WORDS = r" [a-z[ \p{Ll}]]* "
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -48,12 +58,40 @@ def norm_ws(c: str | Column) -> Column:
 
 def clean(c: str | Column) -> Column:
     """Collapse whitespace, trim, strip control characters."""
-    return F.regexp_replace(collapse_ws(c), f"[{K.CTRL}]", "")
+    odd = is_odd(c)
+    return drop_control(collapse_ws(c, odd), has_control(c, odd))
+
+
+def is_odd(c: str | Column) -> Column:
+    """Whether the text holds non-ASCII whitespace or control characters other than
+    the whitespace ``\\s`` knows; most texts hold none, and one pass settles both."""
+    return col(c).cast("string").rlike(_ODD)
+
+
+def has_control(c: str | Column, odd: Column | None = None) -> Column:
+    """Whether the text holds control characters that are not whitespace."""
+    found = col(c).cast("string").rlike(_CTRL_NOT_WS)
+    return found if odd is None else F.when(odd, found).otherwise(F.lit(False))
+
+
+def drop_control(collapsed: Column, has_ctrl: Column) -> Column:
+    """The second half of C1: collapsed white space holds no control characters,
+    so only a text with others (:func:`has_control`) is passed over."""
+    return F.when(has_ctrl, F.regexp_replace(collapsed, f"[{K.CTRL}]", "")).otherwise(collapsed)
 
 
-def collapse_ws(c: str | Column) -> Column:
+def collapse_ws(c: str | Column, odd: Column | None = None) -> Column:
     """Whitespace collapse + trim only (the first half of C1)."""
-    return F.trim(F.regexp_replace(norm_ws(col(c).cast("string")), r"\s+", " "))
+    c = col(c).cast("string")
+    even = norm_ws(c) if odd is None else F.when(odd, norm_ws(c)).otherwise(c)
+    return F.trim(F.regexp_replace(even, r"\s+", " "))
+
+
+def without_plain_words(c: str | Column) -> Column:
+    """The text without the lower-case words between two spaces. All else stays
+    beside the same neighbours, so counts of other characters, of patterns made of
+    them and of words that aren't all lower-case are those of the whole text."""
+    return F.regexp_replace(col(c), _PLAIN_WORDS, " ")
 
 
 def clean_prompt(c: str | Column, min_chars: int = 6) -> Column:
@@ -66,7 +104,7 @@ def clean_prompt(c: str | Column, min_chars: int = 6) -> Column:
 def word_tokens(c: str | Column) -> Column:
     """Lower-cased, fully alphanumeric word tokens (array<string>)."""
     # A run holds only letters, digits and '-', so "all alphanumeric" is "no hyphen".
-    runs = F.regexp_extract_all(F.lower(col(c)), F.lit(r"[\p{L}\p{N}\-]+"), F.lit(0))
+    runs = F.regexp_extract_all(F.lower(col(c)), F.lit(r"[a-z[\p{L}\p{N}\-]]+"), F.lit(0))
     return F.filter(runs, lambda x: ~x.contains("-"))
 
 
@@ -80,6 +118,13 @@ def sentences(c: str | Column, normalized: bool = False) -> Column:
     return F.filter(F.split(marked, SENT_MARK), lambda s: s.rlike(nws))
 
 
+def even_sentences(c: str | Column) -> Column:
+    """:func:`sentences` of a trimmed text whose only white space is single ' ':
+    none is empty unless the text is."""
+    marked = F.regexp_replace(col(c), r"([.!?]+) ", "$1" + SENT_MARK)
+    return F.array_remove(F.split(marked, SENT_MARK), "")
+
+
 def ws_word_count(c: str | Column, normalized: bool = False) -> Column:
     """Number of whitespace-separated words (Python ``len(s.split())``)."""
     c = col(c) if normalized else norm_ws(c)
@@ -105,6 +150,15 @@ def count_sub(c: str | Column, sub: str) -> Column:
     return (removed / F.lit(len(sub.encode()))).cast("long")
 
 
+def contains_word(c: str | Column, word: str) -> Column:
+    """Whether the text holds a literal. A search tries each place of its first
+    byte, so the part from its rarest letter on is looked for first."""
+    starts = range(max(1, len(word) - 2))
+    part = word[max(starts, key=lambda i: (_COMMON_FIRST.find(word[i]), -i)):]
+    found = col(c).contains(word)
+    return found if part == word else col(c).contains(part) & found
+
+
 def count_regex(c: str | Column, pattern: str) -> Column:
     return F.regexp_count(col(c), F.lit(pattern)).cast("long")
 

@@ -16,14 +16,12 @@ from ..functions import text as T
 COMPONENTS = ("sentence_complexity", "vocabulary_complexity", "syntactic_complexity",
               "semantic_density", "structural_complexity")
 
-# Control characters that are not whitespace: only when a text holds one of
-# these can raw-text tokens differ from cleaned-text tokens.
-_CTRL_NOT_WS = r"[\x00-\x1b\x7f-\x9f&&[^\x09-\x0d\x85]]"
-# Both run on norm_ws(text), where Java's \s is the full whitespace class.
-_CAPITALIZED = r"(?=\p{Lu})(?<!\S)\p{Lu}[^\p{Lu}\p{Lt}\s]*\p{Ll}[^\p{Lu}\p{Lt}\s]*(?!\S)"
+# Runs on norm_ws(text), where Java's \s is the full whitespace class; nothing is gone
+# over twice, however long a word is.
+_CAPITALIZED = r"(?=\p{Lu})(?<!\S)\p{Lu}[^\p{Lu}\p{Lt}\p{Ll}\s]*+\p{Ll}[^\p{Lu}\p{Lt}\s]*+(?!\S)"
 # Section marks: runs of '#', and numbers or letters where a line begins. A '#' can't
 # be part of the latter, so both are counted alone; each starts at a fixed character.
-_HASHES = r"#+\s"
+_HASHES = f"#+[{K.WS}]"
 _LINE_MARKS = r"\n(?:\p{Nd}+\.|[a-z]\))"
 
 
@@ -32,53 +30,54 @@ def _clip(c: Column) -> Column:
 
 
 def complexity(df: DataFrame, text_col: str = "text", *, weights=None,
-               words_col: str | None = None, sents_col: str | None = None,
-               keep_components: bool = True) -> DataFrame:
+               parsed: bool = False, keep_components: bool = True) -> DataFrame:
     """Add ``complexity_score``, ``complexity_level`` and the five components.
 
-    ``words_col`` / ``sents_col``: word tokens and sentences of the cleaned
-    text, if already computed (see :func:`features`); they are reused unless
-    the raw text holds a non-whitespace control character.
+    ``parsed``: df holds the internals of :func:`features` for the same text. Word
+    tokens, sentences and what was counted in them are reused unless the raw text
+    holds a non-whitespace control character; only then can those of the raw text
+    differ from those of the cleaned text.
     """
     w = tuple(weights) if weights is not None else K.COMPLEXITY_WEIGHTS
     raw = F.col(text_col).cast("string")
     raw = F.coalesce(raw, F.lit(""))
-    staged = df.withColumn("_raw", raw).withColumns({"_rawn": T.norm_ws("_raw"), "_ctrl": F.col("_raw").rlike(_CTRL_NOT_WS)})
-    raw, rawn, has_ctrl = F.col("_raw"), F.col("_rawn"), F.col("_ctrl")
-    rw = T.word_tokens(raw)
-    rs = T.sentences(rawn, normalized=True)
-    if words_col is not None:
-        rw = F.when(has_ctrl, rw).otherwise(F.col(words_col))
-    if sents_col is not None:
-        rs = F.when(has_ctrl, rs).otherwise(F.col(sents_col))
-    staged = (staged.withColumn("_lower", F.lower(raw)).withColumn("_rw", rw).withColumn("_rs", rs)
-              .withColumn("_lens", F.transform("_rs", lambda s: T.ws_word_count(s, normalized=True))))
+    staged = df.withColumn("_raw", raw)
+    raw, rest = F.col("_raw"), F.col("_rt")
+
+    def reuse(mine: Column, theirs: str) -> Column:
+        return F.when(F.coalesce(F.col("_ctrl"), F.lit(False)), mine).otherwise(F.col(theirs)) if parsed else mine
+
+    staged = staged.withColumns({
+        "_rt": F.coalesce(F.col("_rest") if parsed else T.without_plain_words(raw), F.lit("")),
+        "_lower": F.lower(raw), "_rw": reuse(T.word_tokens(raw), "_words"),
+        "_rs": reuse(T.sentences(T.norm_ws(raw), normalized=True), "_sents")})
+    staged = staged.withColumn("_rl", reuse(F.transform("_rs", lambda s: T.ws_word_count(s, normalized=True)), "_lens"))
     lower = F.col("_lower")
     zero = F.lit(0).cast("long")
     stats = staged.select(
         "*",
         F.size("_rs").cast("long").alias("_ns"),
-        F.aggregate("_lens", zero, lambda a, x: a + x).alias("_s1"),
-        F.aggregate("_lens", zero, lambda a, x: a + x * x).alias("_s2"),
-        (T.count_chars(raw, ",;") + T.count_sub(lower, " and ")
-         + T.count_sub(lower, " but ")).alias("_clauses"),
+        F.aggregate("_rl", zero, lambda a, x: a + x).alias("_s1"),
+        F.aggregate("_rl", zero, lambda a, x: a + x * x).alias("_s2"),
+        (T.count_regex(rest, "[,;]") + T.count_regex(lower, " and ")
+         + T.count_regex(lower, " but ")).alias("_clauses"),
         F.size("_rw").cast("long").alias("_n"),
-        F.size(F.array_distinct("_rw")).cast("long").alias("_distinct"),
-        T.total_length("_rw").alias("_lensum"),
+        reuse(F.size(F.array_distinct("_rw")).cast("long"), "_distinct").alias("_rd"),
+        reuse(T.total_length("_rw"), "_len_sum").alias("_lensum"),
         T.count_in("_rw", K.TECHNICAL_TERMS).alias("_tech"),
         F.size(F.filter("_rw", lambda x: F.length(x) > 8)).cast("long").alias("_long"),
-        T.count_chars(raw, "([{").alias("_parens"),
-        T.count_chars(raw, "?").alias("_q"),
-        _sum_flags([lower.contains(x) for x in K.REASONING_WORDS]).alias("_qw"),
-        _sum_flags([lower.contains(x) for x in K.CONDITIONAL_MARKERS]).alias("_cond"),
-        (T.count_chars(raw, ":•-") + T.count_regex(raw, r"\p{Nd}+\.")).alias("_list"),
-        F.length(F.replace(raw, F.lit(" "), F.lit(""))).cast("long").alias("_nonspace"),
-        T.count_regex(rawn, _CAPITALIZED).alias("_caps"),
-        T.count_regex(raw, r"\p{Nd}+").alias("_nums"),
+        T.count_regex(rest, r"[(\[{]").alias("_parens"),
+        T.count_chars(rest, "?").alias("_q"),
+        _sum_flags([T.contains_word(lower, x) for x in K.REASONING_WORDS]).alias("_qw"),
+        _sum_flags([T.contains_word(lower, x) for x in K.CONDITIONAL_MARKERS]).alias("_cond"),
+        (T.count_regex(rest, "[:•-]") + T.count_regex(rest, r"\p{Nd}+\.")).alias("_list"),
+        T.count_sub(raw, " ").alias("_spaces"),
+        T.count_regex(T.norm_ws(rest), _CAPITALIZED).alias("_caps"),
+        T.count_regex(rest, r"\p{Nd}+").alias("_nums"),
         F.length(raw).cast("long").alias("_chars"),
-        T.count_sub(raw, "\n\n").alias("_paras"),
-        (T.count_sub(raw, "```") + T.count_chars(raw, "`\"'")).alias("_fmt"),
-        (T.count_regex(rawn, _HASHES) + T.count_regex(F.concat(F.lit("\n"), rawn), _LINE_MARKS)).alias("_sections"),
+        T.count_sub(rest, "\n\n").alias("_paras"),
+        (T.count_sub(rest, "```") + T.count_regex(rest, "[`\"']")).alias("_fmt"),
+        (T.count_regex(rest, _HASHES) + T.count_regex(F.concat(F.lit("\n"), rest), _LINE_MARKS)).alias("_sections"),
     )
     c = F.col
     ns, n = c("_ns"), c("_n")
@@ -89,7 +88,7 @@ def complexity(df: DataFrame, text_col: str = "text", *, weights=None,
         + F.lit(0.3) * F.when(ns > 1, _clip(F.sqrt(var) / 10)).otherwise(F.lit(0.0))
         + F.lit(0.3) * _clip(c("_clauses") / (ns * 3)))
     vocabulary = F.when(n == 0, F.lit(0.0)).otherwise(
-        F.lit(0.25) * (c("_distinct") / n)
+        F.lit(0.25) * (c("_rd") / n)
         + F.lit(0.25) * _clip((c("_lensum") / n) / 10)
         + F.lit(0.30) * _clip(c("_tech") / n * 10)
         + F.lit(0.20) * _clip(c("_long") / n * 3))
@@ -97,8 +96,9 @@ def complexity(df: DataFrame, text_col: str = "text", *, weights=None,
                  + F.lit(0.30) * _clip((c("_q") + c("_qw")) / 5)
                  + F.lit(0.25) * _clip(c("_cond") / 3)
                  + F.lit(0.20) * _clip(c("_list") / 5))
-    semantic = F.when((n == 0) | (c("_nonspace") == 0), F.lit(0.0)).otherwise(
-        F.lit(0.30) * _clip(c("_distinct") / c("_nonspace") * 50)
+    nonspace = c("_chars") - c("_spaces")
+    semantic = F.when((n == 0) | (nonspace == 0), F.lit(0.0)).otherwise(
+        F.lit(0.30) * _clip(c("_rd") / nonspace * 50)
         + F.lit(0.20) * _clip(c("_caps") / n * 5)
         + F.lit(0.20) * _clip(c("_nums") / n * 10)
         + F.lit(0.30) * _clip(c("_tech") / n * 8))

@@ -26,6 +26,11 @@ VERB_TAGS = ("VB", "VBD", "VBG", "VBN", "VBP", "VBZ")
 ADJ_TAGS = ("JJ", "JJR", "JJS")
 ADV_TAGS = ("RB", "RBR", "RBS")
 
+# What ``keep_internals`` keeps: the cleaned text, its word tokens and sentences, the
+# words of each sentence, whether the text holds control characters, the text without
+# plain words, the distinct word tokens and the length of all.
+INTERNALS = ("_clean", "_words", "_sents", "_lens", "_ctrl", "_rest", "_distinct", "_len_sum")
+
 
 def features(df: DataFrame, text_col: str = "text", *, tags_col: str | None = None,
              token_counter=None, max_tokens: int | None = None,
@@ -40,12 +45,16 @@ def features(df: DataFrame, text_col: str = "text", *, tags_col: str | None = No
     sentence length = words) used when no parse is wanted.
     """
     t = F.col(text_col)
-    out = (df.withColumn("_clean", T.clean(t))
-             .withColumn("_words", T.word_tokens(F.col("_clean")))
-             .withColumn("_sents", T.sentences(F.col("_clean"), normalized=True)))
+    odd, ctrl = F.col("_odd"), F.col("_ctrl")
+    out = (df.withColumn("_odd", T.is_odd(t))
+             .withColumns({"_clean": T.collapse_ws(t, odd), "_ctrl": T.has_control(t, odd), "_rest": T.without_plain_words(t.cast("string"))})
+             .withColumn("_clean", T.drop_control(F.col("_clean"), ctrl)).drop("_odd")
+             .withColumns({"_words": T.word_tokens("_clean"), "_sents": sentence_list("_clean", ctrl)})
+             .withColumn("_lens", sentence_lengths("_sents", ctrl)))
     n = F.size("_words").cast("long")
+    # sentences end at white space, so their words are those of the text
     tokens = (token_counter(F.col("_clean")) if token_counter is not None
-              else T.ws_word_count(F.col("_clean"), normalized=True))
+              else F.aggregate("_lens", F.lit(0).cast("long"), lambda a, x: a + x))
     if max_tokens is not None:
         tokens = F.least(tokens, F.lit(max_tokens))
     stop = T.count_in("_words", K.STOPWORDS)
@@ -57,13 +66,13 @@ def features(df: DataFrame, text_col: str = "text", *, tags_col: str | None = No
         F.length("_clean").cast("long").alias("char_count"),
         F.greatest(F.size("_sents"), F.lit(1)).cast("long").alias("sentence_count"),
         T.total_length("_words").alias("_len_sum"),
-        T.count_regex("_clean", K.PUNCT_CLASS).alias("_punct"),
+        T.count_regex("_rest", K.PUNCT_CLASS).alias("_punct"),
         stop.alias("_stop"),
         distinct.alias("_distinct"),
     )
     wc = F.col("word_count")
     out = out.select(
-        *[c for c in out.columns if c not in ("_len_sum", "_punct", "_stop", "_distinct")],
+        *[c for c in out.columns if c not in ("_punct", "_stop")],
         T.safe_div(F.col("_len_sum"), wc).alias("avg_word_length"),
         (wc / F.col("sentence_count")).alias("avg_sentence_length"),
         T.safe_div(F.col("_punct"), F.col("char_count")).alias("punct_ratio"),
@@ -78,7 +87,19 @@ def features(df: DataFrame, text_col: str = "text", *, tags_col: str | None = No
                   .withColumn("avg_sentence_length", F.col("word_count").cast("double")))
     if keep_internals:
         return out
-    return out.drop("_clean", "_words", "_sents")
+    return out.drop(*INTERNALS)
+
+
+def sentence_list(clean: str, ctrl: Column) -> Column:
+    """P2 of the cleaned text; only where control characters were dropped can its
+    white space be other than single ' '."""
+    return F.when(ctrl, T.sentences(clean, normalized=True)).otherwise(T.even_sentences(clean))
+
+
+def sentence_lengths(sents: str, ctrl: Column) -> Column:
+    """Whitespace words of each sentence of the cleaned text."""
+    return (F.when(ctrl, F.transform(sents, lambda s: T.ws_word_count(s, normalized=True)))
+            .otherwise(F.transform(sents, lambda s: T.count_sub(s, " ") + F.lit(1).cast("long"))))
 
 
 def _pos_ratios(tags_col: str | None) -> list[Column]:

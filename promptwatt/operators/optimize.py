@@ -16,7 +16,7 @@ from ..functions import rewrite as R
 from ..functions import text as T
 from .complexity import complexity
 from .energy import estimate_energy
-from .features import features
+from .features import INTERNALS, features
 from .rewrite import _strategy_columns, simplify
 
 CANDIDATES = K.OPTIMIZER_STRATEGIES  # t5, simplify, compress, truncate, combined
@@ -29,8 +29,8 @@ def score_text(df: DataFrame, col: str, prefix: str, energy_kwargs: dict | None
     requested outputs as ``{prefix}_{name}``)."""
     before = set(df.columns)
     x = features(df, col, keep_internals=True)
-    x = complexity(x, col, words_col="_words", sents_col="_sents")
-    x = estimate_energy(x.drop("_clean", "_words", "_sents"), **(energy_kwargs or {}))
+    x = complexity(x, col, parsed=True)
+    x = estimate_energy(x.drop(*INTERNALS), **(energy_kwargs or {}))
     new = [c for c in x.columns if c not in before]
     ren = {c: f"{prefix}_{c}" for c in keep}
     ren["energy_joules"] = f"{prefix}_energy"

@@ -17,7 +17,7 @@ from ..operators import evaluate as V
 from ..operators import labels as LB
 from ..operators.complexity import complexity
 from ..operators.energy import estimate_energy
-from ..operators.features import features
+from ..operators.features import INTERNALS, features
 from ..session import read_table, stored
 from . import sqlgen as S
 from .catalog import docs, register
@@ -28,8 +28,8 @@ LAYERS = (12, 24, 48, 96)
 
 def measurements(spark, sf_dir) -> DataFrame:
     d = features(docs(spark, sf_dir), "text", keep_internals=True)
-    d = complexity(d, "text", words_col="_words", sents_col="_sents", keep_components=False)
-    d = d.drop("_clean", "_words", "_sents", "text")
+    d = complexity(d, "text", parsed=True, keep_components=False)
+    d = d.drop(*INTERNALS, "text")
     d = d.withColumn("category", F.element_at(F.array(*[F.lit(c) for c in CATS]),
                                               (F.pmod("doc_id", F.lit(8)) + 1).cast("int")))
     d = d.withColumn("num_layers", F.element_at(F.array(*[F.lit(x) for x in LAYERS]),

@@ -62,7 +62,7 @@ _COMPLEX = S.features_ctes("src", "text", keep_internals=True) + S.complexity_ct
     CASE WHEN complexity_score < {D(0.4)} THEN 'green' WHEN complexity_score < {D(0.7)} THEN 'yellow' ELSE 'red' END AS color,
     CASE complexity_level {" ".join(f"WHEN {S.s(k)} THEN {S.s(v)}" for k, v in K.COMPLEXITY_IMPACT.items())} END AS impact FROM x5"""))
 def complexity_colors(spark, sf_dir):
-    d = CX.complexity(FT.features(docs(spark, sf_dir).select("doc_id", "text"), "text", keep_internals=True), "text", words_col="_words", sents_col="_sents")
+    d = CX.complexity(FT.features(docs(spark, sf_dir).select("doc_id", "text"), "text", keep_internals=True), "text", parsed=True)
     return d.select("doc_id", CX.color_band(F.col("complexity_score")).alias("color"), CX.complexity_impact(F.col("complexity_level")).alias("impact"))
 
 

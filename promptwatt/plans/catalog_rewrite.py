@@ -17,7 +17,7 @@ from ..functions import rewrite as R
 from ..functions import text as T
 from ..operators import optimize as O
 from ..operators.complexity import complexity
-from ..operators.features import features
+from ..operators.features import INTERNALS, features
 from ..operators.rewrite import alternatives
 from ..session import read_table, spread
 from . import sqlgen as S
@@ -363,8 +363,8 @@ def savings_by_strategy(spark, sf_dir):
 # O6 / O8 -------------------------------------------------------------------------
 def _scored(spark, sf_dir):
     d = features(prompts(spark, sf_dir), "text", keep_internals=True)
-    d = complexity(d, "text", words_col="_words", sents_col="_sents")
-    return d.drop("_clean", "_words", "_sents")
+    d = complexity(d, "text", parsed=True)
+    return d.drop(*INTERNALS)
 
 
 def _scored_sql():

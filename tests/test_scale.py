@@ -5,14 +5,18 @@ from __future__ import annotations
 
 import random
 import re
+import time
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from promptwatt import constants as K
 from promptwatt.functions import rewrite as R, text as T
+from promptwatt.operators import complexity as CX
 from promptwatt.operators.complexity import complexity
 from promptwatt.operators.features import features
+from promptwatt.plans.analyze import analyze
 from promptwatt.plans.registry import REGISTRY
 
 TEXTS = ["", " ", "#\n1. one\n# b) x\nb) y\n12. z", "a\u00a0b\u2003c\x1cd\u3000e", "x-y don't Stra\u00dfe \u0130I \u4e2d\u6587 42", "\x07bell, (a) [b] {c}? `q` \"r\" a:\u2022-b",
@@ -50,6 +54,42 @@ def test_text_primitives(spark):
             assert r.w == [x for x in runs.split(" ") if x and "-" not in x]
 
 
+def test_counts_without_plain_words(spark):
+    more = ["The a bb ccc Dd e-f Gg. x y", " a \n1. b c\na) d  e \u00e9a b,c ``` d ```` # e #f", "aA Bb \u00e9C \U00010400\U00010428 Dd\u3000Ee \u4e2d a b C\u00df", "\n\n\n a b \n\n"]
+    d = spark.createDataFrame([(t,) for t in [t for t in TEXTS if t is not None] + more], "t string")
+    patterns = [r"[.,!?;:\"'()\[\]{}\-]", "[:\u2022-]", r"\p{Nd}+\.", r"\p{Nd}+", "\n\n", "```", CX._HASHES]
+    rest = T.without_plain_words("t")
+    counts = [F.struct(T.count_regex("t", p).alias("whole"), T.count_regex(rest, p).alias("rest")) for p in patterns]
+    caps = T.count_regex(T.norm_ws(rest), CX._CAPITALIZED)
+    for r in d.select("t", F.array(*counts).alias("c"), caps.alias("caps")).collect():
+        assert all(c.whole == c.rest for c in r.c)
+        words = "".join(" " if x in K.EXOTIC_WS else x for x in r.t).split()
+        kinds = [[unicodedata.category(x) for x in w] for w in words]
+        assert r.caps == sum(k[0] == "Lu" and "Ll" in k and not {"Lu", "Lt"} & set(k[1:]) for k in kinds)
+
+
+def test_contains_word(spark):
+    words = (*K.REASONING_WORDS, *K.CONDITIONAL_MARKERS, "a", "ze")
+    texts = ["", "xplain", "explain", "an xplain explai", "hypothesize ypothesize", "pothesize", "whyhow if", "if ", "unless while although ", "a" * 50 + "nalyze", *words]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in d.select("t", F.array(*[T.contains_word("t", w) for w in words]).alias("f")).collect():
+        assert r.f == [w in r.t for w in words]
+
+
+def test_marks_take_no_pass_over_the_text(spark, rows):
+    d = analyze(spark.read.parquet(f"{rows}/documents.parquet"))
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?<![a-z_])replace\(_raw", plan)) <= 1
+    assert len(re.findall(r"array_distinct\(_words", plan)) == 1
+
+
+def test_long_word_is_gone_over_once(spark):
+    d = spark.createDataFrame([("A" + "b" * 300_000 + "C d",)], "text string")
+    began = time.monotonic()
+    assert complexity(d).first().complexity_score > 0
+    assert time.monotonic() - began < 60
+
+
 def _shortest(n: str) -> int:
     for size in range(50, min(len(n) // 2, 499) + 1):
         if n.count(n[:size]) >= 2 and n.count(n[:size]) * size / len(n) >= 0.7:
