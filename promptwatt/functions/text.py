@@ -20,7 +20,7 @@ from .. import constants as K
 
 SENT_MARK = "\u0001"
 # K.EXOTIC_WS; three comparisons settle a character of most scripts.
-_EXOTIC = r"[\x1c-\x1f\x85\xa0[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]"
+_EXOTIC = r"[\x1c\x1d\x1e\x1f\x85\xa0[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]"
 
 # Control characters that are not whitespace.
 _CTRL_NOT_WS = r"[\x00-\x1b\x7f-\x9f&&[^\x09-\x0d\x85]]"
@@ -84,7 +84,13 @@ def collapse_ws(c: str | Column, odd: Column | None = None) -> Column:
     """Whitespace collapse + trim only (the first half of C1)."""
     c = col(c).cast("string")
     even = norm_ws(c) if odd is None else F.when(odd, norm_ws(c)).otherwise(c)
-    return F.trim(F.regexp_replace(even, r"\s+", " "))
+    return collapse_even(even)
+
+
+def collapse_even(c: Column) -> Column:
+    """Whitespace collapse + trim of a text whose white space ``\\s`` knows; what is a
+    single ' ' already is left alone."""
+    return F.trim(F.regexp_replace(c, r"\s(?:\s+|(?<! ))", " "))
 
 
 def without_plain_words(c: str | Column) -> Column:
@@ -113,9 +119,14 @@ def sentences(c: str | Column, normalized: bool = False) -> Column:
 
     ``normalized``: the input holds no non-ASCII whitespace (cleaned text or
     :func:`norm_ws` output), so the faster ``\\s`` classes are exact."""
-    ws, nws = (r"\s", r"\S") if normalized else (f"[{K.WS}]", f"[^{K.WS}]")
-    marked = F.regexp_replace(col(c), f"([.!?]+){ws}+", "$1" + SENT_MARK)
-    return F.filter(F.split(marked, SENT_MARK), lambda s: s.rlike(nws))
+    nws = r"\S" if normalized else f"[^{K.WS}]"
+    return F.filter(F.split(mark_sentences(c, normalized), SENT_MARK), lambda s: s.rlike(nws))
+
+
+def mark_sentences(c: str | Column, normalized: bool = False) -> Column:
+    """The text with SENT_MARK for the white space after each sentence."""
+    ws = r"\s" if normalized else f"[{K.WS}]"
+    return F.regexp_replace(col(c), f"([.!?]+){ws}+", "$1" + SENT_MARK)
 
 
 def even_sentences(c: str | Column) -> Column:
@@ -139,7 +150,7 @@ def count_chars(c: str | Column, chars: str) -> Column:
 def ws_words(c: str | Column) -> Column:
     """Whitespace-separated words (array<string>), no empty pieces; without a
     lambda, so that one projection splits a text once however often it is asked."""
-    return F.array_remove(F.split(norm_ws(c), r"\s+"), "")
+    return F.array_remove(F.split(collapse_ws(c), " "), "")
 
 
 def count_sub(c: str | Column, sub: str) -> Column:

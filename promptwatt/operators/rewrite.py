@@ -25,6 +25,14 @@ ALL_STRATEGIES = ("t5", "paraphrase", "auto", "aggressive", "verbose", "filler",
                   "truncate", "core")
 
 
+def against(similarity, text_col: str):
+    """Similarity to the text in a column; Jaccard takes its words from the column
+    ``{text_col}_words``, so that they are parted once."""
+    if similarity is R.jaccard:
+        return lambda x: R.jaccard_of_sets(F.col(f"{text_col}_words"), R.word_set(x))
+    return lambda x: similarity(F.col(text_col), x)
+
+
 def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similarity: float,
                       paraphraser=None, similarity=R.jaccard) -> DataFrame:
     """Compute, once per row, the rewritten text of every strategy in
@@ -32,18 +40,26 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
     ``{p}_lab_{strategy}``; stages no strategy needs are not built."""
     needed = set(needed)
     t = F.col(text_col)
-    df = R.dedup_content(df, text_col, f"{p}_dd")
-    use_dd = F.length(F.col(f"{p}_dd")) < F.length(t) * 0.9
+    dd, base = f"{p}_dd", f"{p}_base"
+    df = R.dedup_content(df, text_col, dd)
+    use_dd = F.length(F.col(dd)) < F.length(t) * 0.9
     df = df.withColumn(f"{p}_dup", use_dd)
-    df = df.withColumn(f"{p}_base", F.when(use_dd, F.col(f"{p}_dd")).otherwise(t)).drop(f"{p}_dd")
-    base = f"{p}_base"
+    df = df.withColumn(base, F.when(F.col(f"{p}_dup"), F.col(dd)).otherwise(t))
     b, dup = F.col(base), F.col(f"{p}_dup")
+    same_as_base = against(similarity, base)
+    if similarity is R.jaccard:
+        df = df.withColumn(f"{base}_words", R.word_set(b))
 
     def tag(name):
         return F.when(dup, F.lit("deduplicate+" + name)).otherwise(F.lit(name))
 
+    # a base that is the text as it came has that text's duplicate removal
+    known = {R.dedup_content: (text_col, dd)}
+    if "core" in needed:
+        df = R.remove_politeness(df, base, f"{p}_pol")
+        known[R.remove_politeness] = (base, f"{p}_pol")
     if needed & {"t5", "paraphrase", "aggressive", "auto"}:
-        df = R.aggressive(df, base, f"{p}_agg")
+        df = R.aggressive(df, base, f"{p}_agg", known)
         neural = F.col(f"{p}_agg")
         if paraphraser is not None:  # hook U3: text -> array of paraphrases
             df = df.withColumn(f"{p}_par", paraphraser(b))
@@ -62,16 +78,18 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
             df = stage(df, base, f"{p}_{nm}")
             outs[nm] = (F.col(f"{p}_{nm}"), tag(nm))
     if "core" in needed:
-        df = R.core_question(R.remove_politeness(df, base, f"{p}_pol"), f"{p}_pol", f"{p}_core")
+        df = R.core_question(df, f"{p}_pol", f"{p}_core")
         outs["core"] = (F.col(f"{p}_core"), F.lit("core_extraction"))
     if "auto" in needed:
         df = R.remove_fillers(R.remove_verbose(df, f"{p}_neural", f"{p}_r1"), f"{p}_r1", f"{p}_rr")
-        df = R.compress(R.remove_redundancy(R.remove_fillers(R.remove_verbose(
-            df, base, f"{p}_q1"), f"{p}_q1", f"{p}_q2"), f"{p}_q2", f"{p}_q3"), f"{p}_q3", f"{p}_rules")
+        if "verbose" not in needed:
+            df = R.remove_verbose(df, base, f"{p}_verbose")
+        df = R.compress(R.remove_redundancy(R.remove_fillers(
+            df, f"{p}_verbose", f"{p}_q2"), f"{p}_q2", f"{p}_q3"), f"{p}_q3", f"{p}_rules")
         orig_tokens = T.ws_word_count(t)
         nt, rt = T.ws_word_count(F.col(f"{p}_neural")), T.ws_word_count(F.col(f"{p}_rr"))
-        rule_ok = (rt < nt) & (similarity(b, F.col(f"{p}_rr")) >= min_similarity)
-        neural_ok = (similarity(b, F.col(f"{p}_neural")) >= min_similarity) & (nt < orig_tokens)
+        rule_ok = (rt < nt) & (same_as_base(F.col(f"{p}_rr")) >= min_similarity)
+        neural_ok = (same_as_base(F.col(f"{p}_neural")) >= min_similarity) & (nt < orig_tokens)
         df = df.withColumn(f"{p}_ach", F.when(rule_ok, 1).when(neural_ok, 2).otherwise(3))
         ch = F.col(f"{p}_ach")
         outs["auto"] = (F.when(ch == 1, F.col(f"{p}_rr")).when(ch == 2, F.col(f"{p}_neural"))
@@ -82,11 +100,16 @@ def _strategy_columns(df: DataFrame, text_col: str, needed, p: str, min_similari
     return df
 
 
-def _metrics(text: Column, base: Column, out: Column, label: Column, similarity=R.jaccard) -> list[Column]:
-    ot, nt = T.ws_word_count(text), T.ws_word_count(out)
+def _metrics(text: Column, out: Column, label: Column, similar) -> list[Column]:
+    ot, nt = word_count(text), word_count(out)
     red = F.when(ot > 0, (ot - nt) / ot * 100).otherwise(F.lit(0.0))
     return [R._strip_ws(out), label, ot, nt, T.round_half(red, 2), T.round_half(red * 0.8, 2),
-            T.round_half(similarity(base, out), 4)]
+            T.round_half(similar(out), 4)]
+
+
+def word_count(c: Column) -> Column:
+    """T.ws_word_count, from the words that a word set is made of."""
+    return F.size(T.ws_words(F.lower(c))).cast("long")
 
 
 def simplify(df: DataFrame, text_col: str = "text", strategy: str = "auto", *,
@@ -103,8 +126,8 @@ def simplify(df: DataFrame, text_col: str = "text", strategy: str = "auto", *,
         raise ValueError(f"unknown strategy {strategy!r}")
     p = f"{prefix}_sx"
     df = _strategy_columns(df, text_col, {strategy}, p, min_similarity, paraphraser, similarity)
-    vals = _metrics(F.col(text_col), F.col(f"{p}_base"), F.col(f"{p}_out_{strategy}"),
-                    F.col(f"{p}_lab_{strategy}"), similarity)
+    vals = _metrics(F.col(text_col), F.col(f"{p}_out_{strategy}"), F.col(f"{p}_lab_{strategy}"),
+                    against(similarity, f"{p}_base"))
     keep = [c for c in df.columns if not c.startswith(p)]
     return df.select(*keep, *[v.alias(prefix + nm) for v, nm in zip(vals, OUT)])
 
@@ -122,14 +145,14 @@ def alternatives(df: DataFrame, id_col: str, text_col: str = "text", *,
     strategies = K.SIMPLIFY_STRATEGIES
     df = _strategy_columns(df.select(id_col, text_col), text_col, set(strategies), p,
                            min_similarity, paraphraser, similarity)
-    t, base = F.col(text_col), F.col(f"{p}_base")
-    structs = []
-    for i, nm in enumerate(strategies):
-        vals = _metrics(t, base, F.col(f"{p}_out_{nm}"), F.col(f"{p}_lab_{nm}"), similarity)
-        structs.append(F.struct(F.lit(i).alias("strategy_rank"),
-                                *[v.alias(o) for v, o in zip(vals, OUT)]))
-    df = df.select(id_col, text_col, F.array(*structs).alias("_all"))
-    ok = F.filter("_all", lambda a: (a["simplified"] != t) & (a["semantic_similarity"] >= min_similarity))
+    t, similar = F.col(text_col), against(similarity, f"{p}_base")
+    # the metrics are columns of their own, in which a text is parted once; structs and lambdas only read them
+    of = lambda i: {o: F.col(f"{p}_{o}_{i}") for o in OUT}
+    df = df.select(id_col, text_col, *[v.alias(f"{p}_{o}_{i}") for i, nm in enumerate(strategies) for v, o in zip(
+        _metrics(t, F.col(f"{p}_out_{nm}"), F.col(f"{p}_lab_{nm}"), similar), OUT)])
+    kept = [F.when((of(i)["simplified"] != t) & (of(i)["semantic_similarity"] >= min_similarity),
+                   F.struct(F.lit(i).alias("strategy_rank"), *[v.alias(o) for o, v in of(i).items()])) for i in range(len(strategies))]
+    ok = F.filter(F.array(*kept), lambda a: a.isNotNull())
     df = df.withColumn("_ok", ok)
     uniq = F.filter("_ok", lambda a, i: F.array_position(
         F.transform(F.col("_ok"), lambda b: b["simplified"]), a["simplified"]) == i + 1)
