@@ -17,7 +17,7 @@ from ..functions import text as T
 from .complexity import complexity
 from .energy import estimate_energy
 from .features import INTERNALS, features
-from .rewrite import _strategy_columns, simplify
+from .rewrite import _strategy_columns, against, simplify, word_count
 
 CANDIDATES = K.OPTIMIZER_STRATEGIES  # t5, simplify, compress, truncate, combined
 
@@ -45,8 +45,9 @@ def _percent(c: Column) -> Column:
 
 def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
                     revert: bool = False, paraphraser=None, similarity=R.jaccard) -> DataFrame:
-    """O1/O2: the five candidate texts as columns ``_cand_{strategy}``, and the
-    steps of the simplify and combined strategies.
+    """O1/O2: the five candidate texts as columns ``_cand_{strategy}``, their
+    similarity to the prompt as ``_sim_{strategy}``, and the steps of the simplify
+    and combined strategies.
 
     The simplifier runs with threshold max(0.55, min − 0.10). Combined =
     simplify → truncate → paraphrase, stopping once similarity to the prompt
@@ -64,9 +65,13 @@ def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
     d = simplify(d, "_o0_cand_auto", "truncate", prefix="_o5_", **hooks)
     d = simplify(d, "_o5_simplified", "t5", prefix="_o6_", **hooks)
     c1, c2, c3 = F.col("_o0_cand_auto"), F.col("_o5_simplified"), F.col("_o6_simplified")
-    s1, s2 = similarity(t, c1), similarity(t, c2)
-    tokens, lab = T.ws_word_count(t), F.col("_o0_lab_auto")
-    reduction = F.when(tokens > 0, (tokens - T.ws_word_count(F.col("_o0_out_auto"))) / tokens * 100).otherwise(F.lit(0.0))
+    if similarity is R.jaccard:
+        d = d.withColumn(f"{text_col}_words", R.word_set(t))
+    similar = against(similarity, text_col)
+    d = d.withColumns({"_o_s1": similar(c1), "_o_s2": similar(c2)})
+    s1, s2 = F.col("_o_s1"), F.col("_o_s2")
+    tokens, lab = word_count(t), F.col("_o0_lab_auto")
+    reduction = F.when(tokens > 0, (tokens - word_count(F.col("_o0_out_auto"))) / tokens * 100).otherwise(F.lit(0.0))
     steps = F.array(F.concat(F.lit("Applied "), lab, F.lit(" strategy")),
                     F.when(lab.contains("t5"), F.lit(K.SIMPLIFY_STEPS[0])).otherwise(F.lit(K.SIMPLIFY_STEPS[1])),
                     F.concat(F.lit("Achieved "), _percent(T.round_half(reduction, 2)), F.lit("% token reduction")))
@@ -74,13 +79,14 @@ def candidate_texts(df: DataFrame, text_col: str, *, min_similarity: float,
     all_steps = F.concat(steps, more(s1 >= min_similarity, "truncate"), more((s1 >= min_similarity) & (s2 >= min_similarity), "paraphrase"))
     if revert:
         combined = F.when(s1 < min_similarity, t).when(s2 < min_similarity, c1).otherwise(c3)
+        sim_combined = F.when(s1 < min_similarity, similar(t)).when(s2 < min_similarity, s1).otherwise(similar(c3))
     else:
         combined = F.when(s1 < min_similarity, c1).when(s2 < min_similarity, c2).otherwise(c3)
-    d = d.select(*[c for c in d.columns if not c.startswith("_o")],
-                 F.col("_o0_cand_t5").alias("_cand_t5"), c1.alias("_cand_simplify"),
-                 F.col("_o0_cand_compress").alias("_cand_compress"),
-                 F.col("_o0_cand_truncate").alias("_cand_truncate"), combined.alias("_cand_combined"), steps.alias("_steps_simplify"), all_steps.alias("_steps_combined"))
-    return d
+        sim_combined = F.when(s1 < min_similarity, s1).when(s2 < min_similarity, s2).otherwise(similar(c3))
+    cands = {"t5": F.col("_o0_cand_t5"), "simplify": c1, "compress": F.col("_o0_cand_compress"), "truncate": F.col("_o0_cand_truncate"), "combined": combined}
+    sims = {s: {"simplify": s1, "combined": sim_combined}.get(s, similar(c)) for s, c in cands.items()}
+    return d.select(*[c for c in d.columns if not c.startswith("_o") and c != f"{text_col}_words"], *[c.alias(f"_cand_{s}") for s, c in cands.items()],
+                    *[c.alias(f"_sim_{s}") for s, c in sims.items()], steps.alias("_steps_simplify"), all_steps.alias("_steps_combined"))
 
 
 def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
@@ -97,11 +103,13 @@ def optimize(df: DataFrame, id_col: str, text_col: str = "text", *,
     d = candidate_texts(df.select(id_col, text_col), text_col, min_similarity=min_similarity,
                         revert=revert, paraphraser=paraphraser, similarity=similarity).withColumnRenamed(text_col, "_t").withColumn("_row", F.monotonically_increasing_id())
     # one scoring chain over a row for each text; the prompt itself comes first
-    texts = F.array(F.col("_t"), *[F.col(f"_cand_{s}") for s in CANDIDATES])
-    x = score_text(d.select("_row", id_col, "_t", "_steps_simplify", "_steps_combined", F.posexplode(texts).alias("_k", "_x")), "_x", "_s", energy_kwargs)
-    x = x.withColumn("_sim", F.when(F.col("_k") > 0, similarity(F.col("_t"), F.col("_x"))))
-    same = F.trim(R._strip_ws(F.col("_x"))) == F.trim(R._strip_ws(F.col("_t")))
-    x = x.select("_row", id_col, "_steps_simplify", "_steps_combined", F.struct("_k", "_x", F.col("_s_energy").alias("e"), F.col("_s_cx").alias("cx"), F.col("_sim").alias("sim"), same.alias("same")).alias("_c"))
+    even = lambda c: F.trim(R._strip_ws(c))
+    text = lambda x, sim: F.struct(x.alias("x"), sim.alias("sim"), (even(x) == F.col("_even")).alias("same"))
+    d = d.withColumn("_even", even(F.col("_t")))
+    texts = F.array(text(F.col("_t"), F.lit(None).cast("double")), *[text(F.col(f"_cand_{s}"), F.col(f"_sim_{s}")) for s in CANDIDATES])
+    x = d.select("_row", id_col, "_steps_simplify", "_steps_combined", F.posexplode(texts).alias("_k", "_c"))
+    x = score_text(x.select("_row", id_col, "_steps_simplify", "_steps_combined", "_k", F.col("_c")["x"].alias("_x"), F.col("_c")["sim"].alias("sim"), F.col("_c")["same"].alias("same")), "_x", "_s", energy_kwargs)
+    x = x.select("_row", id_col, "_steps_simplify", "_steps_combined", F.struct("_k", "_x", F.col("_s_energy").alias("e"), F.col("_s_cx").alias("cx"), "sim", "same").alias("_c"))
     x = x.groupBy("_row").agg(*[F.first(c).alias(c) for c in (id_col, "_steps_simplify", "_steps_combined")], F.array_sort(F.collect_list("_c")).alias("_cs"))
     at = lambda k: F.get("_cs", F.lit(k))
     d = x.select(id_col, "_steps_simplify", "_steps_combined", "_cs", at(0)["_x"].alias(text_col), at(0)["e"].alias("_orig_energy"), at(0)["cx"].alias("_orig_cx"))
