@@ -6,12 +6,14 @@ distance to it into tiles of near-equal size. A tile is known by its centre and
 bounds hold for a point's k-th neighbour: the k-th distance in its own tile, and
 the distance within which the nearest tiles together must hold k points (which
 widens the search where a tile holds fewer). A point is compared with the points of
-every tile that may, by the triangle inequality, hold one inside its bound, so the
+every tile that may, by the triangle inequality (with the tile's centre and radius, and
+with its pivot and the ring around it), hold one inside the point's own bound, so the
 neighbours are exact. How many that leaves depends on the vectors: few for a handful of features, nearly all for noise in many dimensions,
 whose cost is then quadratic in the number of distinct vectors.
 
-Points are sent to the tiles within reach, where a task holds one tile, a batch of
-points and the best k so far. The number of tiles is at most about 2 * MAX_TILES,
+A point goes to the tiles within its reach, where a task holds one tile and compares
+batches of points with it. A tile that many points reach is held by several tasks.
+The number of tiles is at most about 2 * MAX_TILES,
 which bounds what is broadcast.
 """
 
@@ -31,7 +33,7 @@ from .quantiles import exact_quantiles
 #: dimensions mostly pay for sending points to each.
 DIM_ROWS = 128
 MAX_TILES = 4096
-#: Tiles whose points a tile is compared with in one task.
+#: So many times the points of a tile may visit it in one task.
 PARTNERS = 32
 #: Distances count as equal when they agree to so many decimals.
 DECIMALS = 9
@@ -66,7 +68,8 @@ def points(df: DataFrame, id_col: str, vector: Column) -> DataFrame:
 
 
 def tiles(found: DataFrame, k: int) -> DataFrame:
-    """Points with their tile and `bound`, the k-th distance inside the tile."""
+    """Points with their tile, `bound`, the k-th distance inside the tile, its pivot and
+    `away`, the distance to the pivot."""
     n, dims = found.agg(F.count("*"), F.max(F.size("vector"))).first()
     rows = max(DIM_ROWS * dims, -(-n // MAX_TILES))
     pivots = found.orderBy(F.xxhash64("point"), "point").limit(max(1, min(MAX_TILES, n // rows))).select("vector").collect()  # bounded
@@ -91,14 +94,14 @@ def tiles(found: DataFrame, k: int) -> DataFrame:
     each = F.greatest(F.lit(1), F.floor((len(shares) + 1) * F.lit(float(rows)) / F.col("n")))
     edges = edges.select("cell", F.filter("edges", lambda e, i: (i + 1) % each == 0).alias("edges"))
     ring = F.size(F.filter("edges", lambda e: e < away))
-    placed = dealt.join(F.broadcast(edges), "cell").select("vector", "point", "weight", (F.col("cell") * 65536 + ring).alias("tile"))
+    placed = dealt.join(F.broadcast(edges), "cell").select("vector", "point", "weight", F.col("away"), (F.col("cell") * 65536 + ring).alias("tile"))
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def whole(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             part = pa.Table.from_batches(held).combine_chunks()
             x, w = _matrix(part["vector"].combine_chunks()), part["weight"].to_numpy()
             found = np.concatenate([_kth(np.sqrt(_squares(x[at:at + 256], x)), w, k + 1) for at in range(0, len(x), 256)])
-            return pa.record_batch([*[part[c].combine_chunks() for c in ("vector", "point", "weight")], pa.array(found), part["tile"].combine_chunks()], ["vector", "point", "weight", "bound", "tile"])
+            return pa.record_batch([*[part[c].combine_chunks() for c in ("vector", "point", "weight")], pa.array(found), *[part[c].combine_chunks() for c in ("tile", "away")], pa.array([centres.value[part["tile"][0].as_py() // 65536]] * len(x))], ["vector", "point", "weight", "bound", "tile", "away", "pivot"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -114,68 +117,64 @@ def tiles(found: DataFrame, k: int) -> DataFrame:
             yield whole(held)
 
     ordered = placed.repartition("tile").sortWithinPartitions("tile")
-    return stored(ordered.mapInArrow(bound, "vector array<double>, point long, weight long, bound double, tile long"), "tiles")
+    return stored(ordered.mapInArrow(bound, "vector array<double>, point long, weight long, bound double, tile long, away double, pivot array<double>"), "tiles")
 
 
 class About:
-    """Centres, radii, weights and widest bounds of all tiles (at most some
+    """Centres, radii, weights, pivots and rings of all tiles (at most some
     2 * MAX_TILES)."""
 
     def __init__(self, dealt: DataFrame):
         dims = len(dealt.first().vector)
-        means = dealt.groupBy("tile").agg(F.sum("weight").alias("weight"), F.max("bound").alias("bound"), *[F.avg(F.col("vector")[j]).alias(f"c{j}") for j in range(dims)])
-        centres = means.select("tile", "weight", "bound", F.array(*[f"c{j}" for j in range(dims)]).alias("centre"))
+        means = dealt.groupBy("tile").agg(F.sum("weight").alias("weight"), F.min("away").alias("inner"), F.max("away").alias("outer"), F.first("pivot").alias("pivot"), *[F.avg(F.col("vector")[j]).alias(f"c{j}") for j in range(dims)])
+        centres = means.select("tile", "weight", "inner", "outer", "pivot", F.array(*[f"c{j}" for j in range(dims)]).alias("centre"))
         far = F.sqrt(F.aggregate(F.zip_with("vector", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
         radii = dealt.join(F.broadcast(centres.select("tile", "centre")), "tile").groupBy("tile").agg(F.max(far).alias("radius"))
         table = centres.join(radii, "tile").orderBy("tile").toArrow()
-        self.names, self.weight, self.bound = (table[c].to_numpy() for c in ("tile", "weight", "bound"))
+        self.names, self.weight, self.inner, self.outer = (table[c].to_numpy() for c in ("tile", "weight", "inner", "outer"))
+        _, first, self.cell = np.unique(self.names // 65536, return_index=True, return_inverse=True)
+        self.pivots = _matrix(table["pivot"].combine_chunks())[first]
         self.radius = table["radius"].to_numpy() * (1 + 1e-9) + 1e-12
         self.centre = _matrix(table["centre"].combine_chunks())
 
+    def least(self, x: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """A lower bound of the distance from each of x to the points of each tile;
+        d: the distances to the centres. Rounding of the sums of squares is taken off."""
+        to_pivot = np.sqrt(_squares(x, self.pivots))[:, self.cell]
+        ring = np.maximum(to_pivot - self.outer, self.inner - to_pivot)
+        size = np.sqrt((x * x).sum(1))[:, None] + np.sqrt((self.pivots * self.pivots).sum(1))[self.cell]
+        return np.maximum(d - self.radius, ring) - 1e-7 * size
+
 
 def _slack(bound: np.ndarray) -> np.ndarray:
     return bound * (1 + 1e-9) + 1e-6
 
 
 def meetings(dealt: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(tile, part, tightened bounds of its points) and (tile, part, points that may
-    be neighbours of the tile's points). A part holds the points of PARTNERS tiles."""
+    """(tile, part, its points), once for each part, and (tile, part, the points that may
+    have neighbours among them). A part holds PARTNERS of the latter for each of the former."""
     model = dealt.sparkSession.sparkContext.broadcast(About(dealt))
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    def tighten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = model.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                yield part, np.sqrt(_squares(_matrix(part.column("vector")), model.value.centre))
-
-    def tighten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, d in slices(batches):
-            t = model.value
-            bound = np.minimum(part.column("bound").to_numpy(), _kth(d + t.radius, t.weight, k + 1))
-            near = d - t.radius <= _slack(bound)[:, None]
-            groups = np.add.reduceat(near, np.arange(0, len(t.names), PARTNERS), axis=1) > 0
-            parts = pa.array([np.flatnonzero(g) for g in groups], pa.list_(pa.int64()))
-            yield pa.record_batch([*[part.column(c) for c in ("tile", "point", "weight", "vector")], pa.array(bound), parts], ["tile", "point", "weight", "vector", "bound", "parts"])
-
-    own = stored(dealt.mapInArrow(tighten, "tile long, point long, weight long, vector array<double>, bound double, parts array<long>"), "tile-points")
-    widest = {r.tile: r.bound for r in own.groupBy("tile").agg(F.max("bound").alias("bound")).collect()}  # a row for each tile
-    reach = dealt.sparkSession.sparkContext.broadcast(np.array([widest[t] for t in model.value.names.tolist()]))
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, d in slices(batches):
-            t = model.value
-            row, to = np.nonzero(d - t.radius <= _slack(reach.value))
-            source = np.searchsorted(t.names, part.column("tile").to_numpy())[row] // PARTNERS
-            for at in range(0, len(row), 1 << 14):
-                some = pa.array(row[at:at + (1 << 14)])
-                yield pa.record_batch([pa.array(t.names[to[at:at + (1 << 14)]]), pa.array(source[at:at + (1 << 14)]),
-                                       *[part.column(c).take(some) for c in ("point", "weight", "vector", "bound")]], ["tile", "part", "point", "weight", "vector", "bound"])
-
-    sent = dealt.mapInArrow(send, "tile long, part long, point long, weight long, vector array<double>, bound double")
-    # a tile's points go to every part that one of them needs
-    needed = own.select("tile", F.explode("parts").alias("part")).distinct()
-    left = own.drop("parts").join(needed, "tile")
-    return left, sent
+                x = _matrix(part.column("vector"))
+                d = np.sqrt(_squares(x, t.centre))
+                bound = np.minimum(part.column("bound").to_numpy(), _kth(d + t.radius, t.weight, k + 1))
+                near = t.least(x, d) <= _slack(bound)[:, None]
+                offsets = pa.array(np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32))
+                reach = pa.ListArray.from_arrays(offsets, pa.array(t.names[np.nonzero(near)[1]]))
+                yield pa.record_batch([*[part.column(c) for c in ("tile", "point", "weight", "vector")], pa.array(bound), reach], ["tile", "point", "weight", "vector", "bound", "reach"])
+
+    own = stored(dealt.mapInArrow(tighten, "tile long, point long, weight long, vector array<double>, bound double, reach array<long>"), "tile-points")
+    come = own.select(F.explode("reach").alias("tile")).groupBy("tile").agg(F.count("*").alias("come"))
+    live = own.groupBy("tile").agg(F.count("*").alias("live"))
+    parts = stored(live.join(come, "tile").select("tile", F.ceil(F.col("come") / (F.col("live") * PARTNERS)).alias("parts")), "tile-parts")  # a row for each tile
+    held = own.drop("reach", "bound").join(F.broadcast(parts), "tile").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    visits = own.select("point", "vector", "bound", F.explode("reach").alias("tile")).join(F.broadcast(parts), "tile")
+    return held.drop("parts"), visits.withColumn("part", F.pmod(F.xxhash64("point"), F.col("parts"))).drop("parts")
 
 
 def nearest(df: DataFrame, id_col: str, vector: Column, k: int = 20) -> DataFrame:
@@ -185,22 +184,21 @@ def nearest(df: DataFrame, id_col: str, vector: Column, k: int = 20) -> DataFram
     found = stored(points(df, id_col, vector), "points")
     if not found.head(1):
         return found.sparkSession.createDataFrame([], "point long, other long, distance double, weight long")
-    left, right = meetings(tiles(found, k), k)
-    names = ["tile", "part", "kind", "point", "weight", "vector", "bound"]
-    rows = left.withColumn("kind", F.lit(0)).select(*names).unionByName(right.withColumn("kind", F.lit(1)).select(*names))
+    held, visits = meetings(tiles(found, k), k)
+    # weight is null for a visitor, bound for a point of the tile
+    rows = held.withColumn("kind", F.lit(0)).unionByName(visits.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     rows = rows.repartition("tile", "part").sortWithinPartitions("tile", "part", "kind")
-    rows = rows.mapInArrow(_best_of_parts(k), "point long, other long, weight long, distance double")
+    rows = rows.mapInArrow(_best_of_tiles(k), "point long, other long, weight long, distance double")
     rank = Window.partitionBy("point").orderBy("distance", "other").rowsBetween(Window.unboundedPreceding, -1)
     copies = found.filter("weight > 1").select("point", F.col("point").alias("other"), (F.col("weight") - 1).alias("weight"), F.lit(0.0).alias("distance"))
     ranked = rows.unionByName(copies).withColumn("before", F.coalesce(F.sum("weight").over(rank), F.lit(0))).filter(F.col("before") < k)
     return ranked.select("point", "other", "distance", F.least("weight", F.lit(k) - F.col("before")).alias("weight"))
 
 
-def _best_of_parts(k: int):
-    def best(x: np.ndarray, limit: np.ndarray, other: pa.RecordBatch, state: list) -> None:
-        """Merges the points of a batch into each row's best k."""
-        y, name, weight = _matrix(other.column("vector")), other.column("point").to_numpy(), other.column("weight").to_numpy()
-        ids, top = state
+def _best_of_tiles(k: int):
+    def best(visitors: pa.RecordBatch, y: np.ndarray, name: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The best k points of a tile inside each visitor's bound."""
+        x, ids, limit = _matrix(visitors.column("vector")), visitors.column("point").to_numpy(), visitors.column("bound").to_numpy()
         for at in range(0, len(x), 512):
             xs = x[at:at + 512]
             # the rounded sums only choose; distances of those chosen are exact
@@ -211,24 +209,13 @@ def _best_of_parts(k: int):
             d = np.floor(d * 10 ** DECIMALS + 0.5) / 10 ** DECIMALS
             order = np.lexsort((name[col], d, row))
             row, col, d = row[order], col[order], d[order]
-            first = np.searchsorted(row, np.arange(len(xs) + 1))
-            for i in np.flatnonzero(np.diff(first)):
-                lo, hi = first[i], min(first[i + 1], first[i] + k)
-                new = list(zip(d[lo:hi].tolist(), name[col[lo:hi]].tolist(), weight[col[lo:hi]].tolist()))
-                held = top[at + i]
-                top[at + i] = sorted(held + new)[:k] if held else new
-                if len(top[at + i]) == k:
-                    limit[at + i] = min(limit[at + i], top[at + i][-1][0])
+            first = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, col, d = row[first], col[first], d[first]
+            if len(row):
+                yield pa.record_batch([pa.array(ids[at + row]), pa.array(name[col]), pa.array(weight[col]), pa.array(d)], ["point", "other", "weight", "distance"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, own, x, limit, state = None, [], None, None, None
-
-        def done() -> pa.RecordBatch:
-            rows = [(i, o, w, d) for i, t in zip(state[0].tolist(), state[1]) for d, o, w in t]
-            cols = list(zip(*rows)) or [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)], ["point", "other", "weight", "distance"])
-
+        group, own, tile = None, [], None
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("tile", "part", "kind")], 1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
@@ -237,21 +224,14 @@ def _best_of_parts(k: int):
                     continue
                 part, key = batch.slice(at, stop - at), tuple(keys[at][:2])
                 if key != group:
-                    if state is not None:
-                        yield done()
-                    group, own, state = key, [], None
+                    group, own, tile = key, [], None
                 if keys[at][2] == 0:
                     own.append(part)
                     continue
-                if not own:  # no point of the tile needs this part
-                    continue
-                if state is None:
+                if tile is None:
                     mine = pa.Table.from_batches(own).combine_chunks()
-                    x, limit = _matrix(mine["vector"].combine_chunks()), mine["bound"].to_numpy().copy()
-                    state = [mine["point"].to_numpy(), [[] for _ in range(len(x))]]
-                best(x, limit, part, state)
-        if state is not None:
-            yield done()
+                    tile = [_matrix(mine["vector"].combine_chunks()), mine["point"].to_numpy(), mine["weight"].to_numpy()]
+                yield from best(part, *tile)
 
     return run
 
